@@ -15,10 +15,10 @@ PAIR_SCHEMA = pa.schema([("l", pa.int32()), ("r", pa.int32()), ("cnt", pa.int64(
 
 
 def _flat(batch: pa.RecordBatch):
-    seq = batch.column(0)
+    seq = batch.column("seq")
     lengths = pc.list_value_length(seq).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = seq.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    weights = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+    weights = batch.column("weight").to_numpy(zero_copy_only=False).astype(np.int64)
     return flat, lengths, weights
 
 
@@ -110,7 +110,21 @@ def apply_merges(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len:
             seq_of = np.repeat(np.arange(lengths.size), lengths)
             lengths = lengths - np.bincount(seq_of[pos], minlength=lengths.size)
             flat = flat[keep]
-        yield state_batch(flat, lengths, weights, min_len)
+            batch = with_seq(batch, flat, lengths)
+        if min_len > 0:
+            batch = batch.filter(pa.array(lengths >= min_len))
+        yield batch
+
+
+def with_seq(batch: pa.RecordBatch, flat: np.ndarray, lengths: np.ndarray) -> pa.RecordBatch:
+    """The batch with its ``seq`` column replaced (other columns pass through)."""
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    seq = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+    cols = [seq if name == "seq" else batch.column(name) for name in batch.schema.names]
+    names = batch.schema.names
+    if "seq" not in names:
+        cols, names = [seq] + cols, ["seq"] + names
+    return pa.RecordBatch.from_arrays(cols, names=names)
 
 
 def state_batch(flat: np.ndarray, lengths: np.ndarray, weights: np.ndarray, min_len: int = 2) -> pa.RecordBatch:
@@ -122,18 +136,25 @@ def state_batch(flat: np.ndarray, lengths: np.ndarray, weights: np.ndarray, min_
     return batch
 
 
-def intern(batches, code_points: np.ndarray, ids: np.ndarray, min_len: int = 2):
-    """Sequence strings -> id arrays through the alphabet (code points sorted)."""
+def intern(batches, code_points: np.ndarray, ids: np.ndarray, min_len: int = 2, keep_text: bool = False):
+    """Sequence strings -> id arrays through the alphabet (code points sorted).
+
+    Other columns pass through; ``keep_text`` also keeps the string as ``text``.
+    """
     for batch in batches:
-        strings = batch.column(0)
-        weights = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        strings = batch.column("seq")
         lengths = pc.utf8_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
         joined = "".join(strings.to_pylist())
         cps = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4").astype(np.int64)
         at = np.minimum(np.searchsorted(code_points, cps), max(code_points.size - 1, 0))
         if cps.size and not np.all(code_points[at] == cps):
             raise ValueError("symbol outside the alphabet while interning")
-        yield state_batch(ids[at] if cps.size else cps, lengths, weights, min_len)
+        out = with_seq(batch, ids[at] if cps.size else cps, lengths)
+        if keep_text:
+            out = out.append_column("text", strings)
+        if min_len > 0:
+            out = out.filter(pa.array(lengths >= min_len))
+        yield out
 
 
 def distinct_code_points(batches):

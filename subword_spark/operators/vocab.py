@@ -44,10 +44,11 @@ def initial_tokens(opts: BPEOptions, alphabet: list[str]) -> list[str]:
     return tokens
 
 
-def intern_state(seqs: DataFrame, tokens: list[str], min_len: int = 2) -> DataFrame:
+def intern_state(seqs: DataFrame, tokens: list[str], min_len: int = 2, keep_text: bool = False) -> DataFrame:
     """Weighted sequence strings -> ``(seq array<int>, weight bigint)`` of token ids.
 
     Only single-character tokens take part; rows shorter than ``min_len`` are dropped.
+    ``keep_text`` keeps the sequence string as ``text``.
     """
     singles = sorted((ord(t), i) for i, t in enumerate(tokens) if len(t) == 1)
     index: dict[int, int] = {}
@@ -55,8 +56,16 @@ def intern_state(seqs: DataFrame, tokens: list[str], min_len: int = 2) -> DataFr
         index.setdefault(cp, i)
     cps = np.array(sorted(index), dtype=np.int64)
     ids = np.array([index[c] for c in cps], dtype=np.int64)
-    fn = partial(kernels.intern, code_points=cps, ids=ids, min_len=min_len)
-    return seqs.select("seq", "weight").mapInArrow(fn, "seq array<int>, weight bigint")
+    fn = partial(kernels.intern, code_points=cps, ids=ids, min_len=min_len, keep_text=keep_text)
+    schema = "seq array<int>, weight bigint" + (", text string" if keep_text else "")
+    return seqs.select("seq", "weight").mapInArrow(fn, schema)
+
+
+def intern_column(seq: Column, tokens: list[str]) -> Column:
+    """Native interning of a sequence string: ``array<int>`` of symbol ids (null if unknown)."""
+    from ..functions.text import chars
+
+    return F.transform(chars(seq), lambda c: id_lookup(c, tokens))
 
 
 def token_literal(tokens: list[str]) -> Column:
