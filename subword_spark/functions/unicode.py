@@ -35,8 +35,74 @@ def _udf(form: str, strip_accents: bool):
     return _unicode
 
 
+def _ranges_class(cps: list[int]) -> str:
+    """A Java regex character class of the given code points, as ranges."""
+    parts, i = [], 0
+    cps = sorted(set(cps))
+    while i < len(cps):
+        j = i
+        while j + 1 < len(cps) and cps[j + 1] == cps[j] + 1:
+            j += 1
+        a, b = cps[i], cps[j]
+        parts.append(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}")
+        i = j + 1
+    return "[" + "".join(parts) + "]"
+
+
+@lru_cache(maxsize=None)
+def nfc_suspects() -> str:
+    """Characters whose presence may make a string change under NFC.
+
+    Built from the Unicode database by rule: characters that are not NFC on their own,
+    characters that can be the second half of a canonical composition, and all
+    characters with a non-zero combining class (reordering). A string without any of
+    them is already NFC, so it needs no Python call.
+    """
+    out: list[int] = []
+    for cp in range(0x110000):
+        if 0xD800 <= cp <= 0xDFFF:
+            continue
+        c = chr(cp)
+        if unicodedata.combining(c) or unicodedata.normalize("NFC", c) != c:
+            out.append(cp)
+            continue
+        d = unicodedata.decomposition(c)
+        if d and not d.startswith("<"):
+            parts = d.split()
+            if len(parts) == 2:
+                out.append(int(parts[1], 16))
+    out.extend(range(0x1161, 0x1176))  # Hangul vowel jamo compose with a leading consonant
+    out.extend(range(0x11A8, 0x11C3))  # Hangul trailing consonants compose with an LV syllable
+    return _ranges_class(out)
+
+
+@lru_cache(maxsize=None)
+def nfc_check() -> str:
+    """A one-range regex matching any character at or above the first NFC suspect.
+
+    Java tests a long character class range by range, so the full class is slower than
+    calling Python; a single range costs one comparison per character. Text below the
+    bound (ASCII, Latin-1, Latin Extended) never reaches Python.
+    """
+    import re
+
+    first = min(int(h, 16) for h in re.findall(r"x\{([0-9a-f]+)\}", nfc_suspects()))
+    return f"[\\x{{{first:x}}}-\\x{{10ffff}}]"
+
+
 def unicode_form(col: Column, form: str = "NFC", strip_accents: bool = False) -> Column:
-    """``unicodedata.normalize(form)`` and optional removal of combining marks."""
+    """``unicodedata.normalize(form)`` and optional removal of combining marks.
+
+    Only rows that can change are sent to Python: for NFC alone, rows with a character
+    at or above the first of ``nfc_suspects()``; otherwise non-ASCII rows. The others cross as nulls and keep
+    their value.
+    """
+    from pyspark.sql import functions as F
+
     if form == "none" and not strip_accents:
         return col
-    return _udf(form, strip_accents)(col)
+    if form == "NFC" and not strip_accents:
+        needs = col.rlike(nfc_check())
+    else:
+        needs = col.rlike("[^\\x00-\\x7f]")
+    return F.coalesce(_udf(form, strip_accents)(F.when(needs, col)), col)

@@ -13,7 +13,20 @@ from ..functions.text import WS, split_lines
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A table stored as one unsplittable file (one Parquet row group) is read by one task,
+    and every narrow step after it (line split, Unicode UDF, encode) would run serially.
+    Large inputs already have many splits and pass through untouched (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def corpus_lines(df: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
