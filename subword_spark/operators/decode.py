@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import bytes_to_text
 from .model import BPEModel
-from .vocab import token_lookup
+from .vocab import fits_literal, token_lookup
 
 
 def tokens_column(ids: Column, model: BPEModel, strict: bool = True) -> Column:
@@ -36,4 +36,35 @@ def decode_column(ids: Column, model: BPEModel, strict: bool = True) -> Column:
 
 
 def decode(df: DataFrame, ids_col: str, model: BPEModel, out_col: str = "decoded", strict: bool = True) -> DataFrame:
-    return df.withColumn(out_col, decode_column(F.col(ids_col), model, strict))
+    """Add ``out_col``; the vocabulary is a plan constant up to ``MAX_LITERAL_TOKENS`` tokens,
+    beyond that the ids are joined with the vocabulary table."""
+    if fits_literal(model.tokens):
+        return df.withColumn(out_col, decode_column(F.col(ids_col), model, strict))
+    return decode_by_join(df, ids_col, model, out_col, strict)
+
+
+def decode_by_join(df: DataFrame, ids_col: str, model: BPEModel, out_col: str = "decoded", strict: bool = True) -> DataFrame:
+    """Decode through an equi-join with the vocabulary table (for vocabularies too large to
+    ship as a constant). Tokens of one row are regrouped by the row's own key, so no group
+    is larger than the row that was already there."""
+    opts = model.options
+    keyed = df.withColumn("__row", F.monotonically_increasing_id())
+    toks = keyed.select("__row", F.posexplode(ids_col).alias("__pos", "token_id"))
+    vocab = model.vocab_df(df.sparkSession).select("token_id", "token")
+    joined = toks.join(vocab, "token_id", "left")
+    tok = F.col("token")
+    if strict:
+        tok = F.when(tok.isNull(), F.raise_error(F.concat(F.lit("ID "), F.col("token_id").cast("string"), F.lit(" not in vocabulary")))).otherwise(tok)
+    parts = joined.select("__row", F.struct(F.col("__pos"), tok.alias("t")).alias("p"))
+    text = parts.groupBy("__row").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["t"]), "").alias("__joined")
+    )
+    out = keyed.join(text, "__row", "left").withColumn("__joined", F.coalesce("__joined", F.lit("")))
+    joined_text = F.col("__joined")
+    if opts.is_bytes:
+        res = bytes_to_text(joined_text) if strict else F.try_validate_utf8(F.encode(joined_text, "ISO-8859-1").cast("string"))
+    elif opts.add_visible_space:
+        res = F.replace(joined_text, F.lit(opts.marker), F.lit(" "))
+    else:
+        res = joined_text
+    return out.withColumn(out_col, res).drop("__row", "__joined")

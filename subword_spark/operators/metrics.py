@@ -12,7 +12,7 @@ from .decode import decode_column
 from .encode import encode
 from .model import BPEModel
 from .symbols import line_sequence, normalized, symbols
-from .vocab import id_lookup, token_literal
+from .vocab import fits_literal, id_lookup, token_literal
 
 SECONDS_EPS = 1e-12
 
@@ -35,9 +35,15 @@ def with_baselines(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def stats_report(
-    df: DataFrame, text_col: str, model: BPEModel, group_by: tuple[str, ...] = (), order: str = "scan"
+    df: DataFrame,
+    text_col: str,
+    model: BPEModel,
+    group_by: tuple[str, ...] = (),
+    order: str = "scan",
+    rollup: bool = False,
 ) -> DataFrame:
-    """Characters, words, tokens and the ratios, overall or per group (one aggregate)."""
+    """Characters, words, tokens and the ratios, overall or per group (one aggregate);
+    ``rollup`` adds subtotals per prefix of ``group_by`` and a grand total."""
     enc = with_baselines(encode(df, text_col, model, order=order), text_col)
     agg = [
         F.count(F.lit(1)).alias("n_docs"),
@@ -45,7 +51,8 @@ def stats_report(
         F.sum("n_words").cast("bigint").alias("n_words"),
         F.sum(F.size("ids")).cast("bigint").alias("n_tokens"),
     ]
-    out = enc.groupBy(*group_by).agg(*agg)
+    grouped = enc.rollup(*group_by) if rollup else enc.groupBy(*group_by)
+    out = grouped.agg(*agg)
     return (
         out.withColumn("tokens_per_word", tokens_per_word(F.col("n_tokens"), F.col("n_words")))
         .withColumn("ratio_chars", compression_ratio(F.col("n_tokens"), F.col("n_chars")))
@@ -56,13 +63,19 @@ def stats_report(
 def token_frequency(encoded: DataFrame, model: BPEModel, ids_col: str = "ids") -> DataFrame:
     """``(token_id, token, n)``: how often each id occurs (partial aggregation absorbs hot ids)."""
     counts = encoded.select(F.explode(ids_col).alias("token_id")).groupBy("token_id").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("token_id", F.get(token_literal(model.tokens), F.col("token_id")).alias("token"), "n")
+    if fits_literal(model.tokens):
+        return counts.select("token_id", F.get(token_literal(model.tokens), F.col("token_id")).alias("token"), "n")
+    vocab = model.vocab_df(encoded.sparkSession).select("token_id", "token")
+    return counts.join(vocab, "token_id", "left").select("token_id", "token", "n")
 
 
 def vocab_coverage(df: DataFrame, text_col: str, model: BPEModel, group_by: tuple[str, ...] = ()) -> DataFrame:
     """Share of the initial symbols of the texts that the vocabulary knows (native, narrow)."""
     sym = symbols(F.col(text_col), model.options)
-    missing = F.size(F.filter(sym, lambda c: id_lookup(c, model.tokens).isNull()))
+    # Symbols are single characters, so only single-character tokens matter: a set bounded
+    # by Unicode whatever the vocabulary size.
+    singles = [t for t in model.tokens if len(t) == 1]
+    missing = F.size(F.filter(sym, lambda c: id_lookup(c, singles).isNull()))
     per_row = df.select(*group_by, F.size(sym).alias("n_sym"), missing.alias("n_missing"))
     out = per_row.groupBy(*group_by).agg(
         F.sum("n_sym").cast("bigint").alias("n_symbols"),

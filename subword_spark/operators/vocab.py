@@ -14,6 +14,13 @@ from . import kernels
 # Unicode has 1,114,112 code points: the observed alphabet can never be larger, which is
 # the bound that makes collecting it to the driver safe.
 MAX_ALPHABET = 0x110000
+# Largest vocabulary carried as a constant inside a plan (decode, lookups). Beyond it the
+# operators join with the vocabulary table instead.
+MAX_LITERAL_TOKENS = 1 << 20
+
+
+def fits_literal(tokens: list[str]) -> bool:
+    return len(tokens) <= MAX_LITERAL_TOKENS
 
 
 def alphabet_df(seqs: DataFrame, col: str = "seq") -> DataFrame:

@@ -379,6 +379,11 @@ def q_stats_report(spark, sf):
     )
 
 
+def q_stats_rollup(spark, sf):
+    rep = stats_report(documents(spark, sf), "text", word_model(spark, sf), group_by=("lang", "source"), rollup=True)
+    return rep.select("lang", "source", "n_docs", "n_chars", "n_words", "n_tokens", "ratio_chars", "ratio_words")
+
+
 def q_token_frequency(spark, sf):
     m = word_model(spark, sf)
     return token_frequency(encode(documents(spark, sf), "text", m), m)

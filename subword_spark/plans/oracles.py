@@ -260,6 +260,17 @@ def build() -> dict[str, str]:
                n_docs, n_chars, n_words, n_tokens, {_ratio('n_tokens', 'n_words')} AS tokens_per_word,
                {_ratio('n_tokens', 'n_chars')} AS ratio_chars, {_ratio('n_tokens', 'n_words')} AS ratio_words FROM t"""
     )
+    o["stats_rollup"] = (
+        _word_encode()
+        + f""",
+    base AS (
+      SELECT d.doc_id, d.lang, d.source, length(d.text) AS n_chars, {_n_words('d.text')} AS n_words, e.n_tokens
+      FROM documents d JOIN enc e USING (doc_id)),
+    t AS (SELECT lang, source, count(*)::BIGINT AS n_docs, sum(n_chars)::BIGINT AS n_chars, sum(n_words)::BIGINT AS n_words,
+                 sum(n_tokens)::BIGINT AS n_tokens FROM base GROUP BY ROLLUP (lang, source))
+    SELECT lang, source, n_docs, n_chars, n_words, n_tokens, {_ratio('n_tokens', 'n_chars')} AS ratio_chars,
+           {_ratio('n_tokens', 'n_words')} AS ratio_words FROM t"""
+    )
     o["token_frequency"] = (
         _word_encode()
         + """,

@@ -90,3 +90,15 @@ def test_word_unit_roundtrip(spark, lines_df):
     m = train(df, "line", BPEOptions(unit="word", minimum_pair_frequency=1, max_merges=10))
     rows = decode(encode(df, "line", m), "ids", m).collect()
     assert [r.decoded for r in rows] == [" the cat, the hat.", " a cat sat"]
+
+
+def test_decode_by_join_equals_literal(spark, lines_df):
+    from subword_spark.operators.decode import decode_by_join
+    from subword_spark.operators.train import train
+
+    df = lines_df(["hello world", "hello there", "", "world peace"])
+    m = train(df, "line", BPEOptions(max_merges=6))
+    enc = encode(df, "line", m)
+    a = {r.line_no: r.decoded for r in decode(enc, "ids", m).collect()}
+    b = {r.line_no: r.decoded for r in decode_by_join(enc, "ids", m).collect()}
+    assert a == b
