@@ -46,6 +46,8 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8, app="subword-bench")
     times: dict[str, float] = {}
     extra: dict[str, float] = {}
+    # Warm-up (not timed): start the Python workers and warm the JVM once.
+    run_noop(C.QUERIES["char_symbols"](spark, sf_dir))
     for name in HEADLINE:
         fn = C.QUERIES[name]
         t0 = time.perf_counter()

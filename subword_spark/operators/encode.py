@@ -181,7 +181,10 @@ def _encode_udf(model: BPEModel, order: str, words: bool):
             miss.append(m)
         return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
 
-    return _encode
+    # Deterministic in fact; flagged otherwise so the optimizer never copies the call into
+    # a pushed-down predicate (e.g. explode's inferred size(ids) > 0 below a repartition),
+    # which would encode every row twice.
+    return _encode.asNondeterministic()
 
 
 def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:

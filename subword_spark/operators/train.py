@@ -145,14 +145,17 @@ def train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None =
     n_alphabet = len(tokens) - len(dict.fromkeys(opts.specials))
     vocab_size = len(index)
 
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    # The initial state is the output of the only pass over the corpus: write it to the
+    # shared checkpoint folder so a lost executor never replays the corpus scan.
+    first = state.persist(StorageLevel.MEMORY_AND_DISK)
+    state = first.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     sizes: list[int] = []
     limit = opts.max_merges if opts.max_merges is not None else None
     n_top = max(opts.batch_candidates, 2 * sum(len(s) for s in opts.specials) + 2)
     rounds = 0
-    previous = [seqs]
+    previous = [seqs, first]
     while True:
         merge_budget = (limit - len(merges)) if limit is not None else 1 << 62
         if max_batch is not None:
