@@ -12,6 +12,33 @@ import pyarrow.compute as pc
 
 STATE_SCHEMA = pa.schema([("seq", pa.list_(pa.int32())), ("weight", pa.int64())])
 PAIR_SCHEMA = pa.schema([("l", pa.int32()), ("r", pa.int32()), ("cnt", pa.int64())])
+# Most symbols one numpy step holds (int64 keys, masks, sort): bounds Python worker memory
+# whatever the Arrow batch size and line lengths are. A single longer row is its own slice.
+MAX_SLICE_SYMBOLS = 1 << 22
+
+
+def slices(batches, col: str = "seq", max_symbols: int = MAX_SLICE_SYMBOLS):
+    """Cut record batches into row ranges of at most ``max_symbols`` list elements."""
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        arr = batch.column(col)
+        if pa.types.is_list(arr.type):
+            lengths = pc.list_value_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
+        else:
+            lengths = pc.utf8_length(arr).fill_null(0).to_numpy(zero_copy_only=False)
+        total = int(lengths.sum())
+        if total <= max_symbols:
+            yield batch
+            continue
+        ends = np.cumsum(lengths)
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = int(np.searchsorted(ends, base + max_symbols, side="right"))
+            stop = max(stop, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def _flat(batch: pa.RecordBatch):
@@ -37,7 +64,7 @@ def _pair_keys(flat: np.ndarray, lengths: np.ndarray):
 def _sum_by_key(keys: np.ndarray, weights: np.ndarray):
     if keys.size == 0:
         return keys, weights
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)  # any order within equal keys will do: weights are summed
     ks = keys[order]
     starts = np.concatenate(([0], np.flatnonzero(np.diff(ks)) + 1))
     return ks[starts], np.add.reduceat(weights[order], starts)
@@ -55,8 +82,8 @@ def _pairs_batch(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
 
 
 def count_pairs(batches):
-    """Partial weighted counts of adjacent pairs, one row per distinct pair and batch."""
-    for batch in batches:
+    """Partial weighted counts of adjacent pairs, one row per distinct pair and slice."""
+    for batch in slices(batches):
         flat, lengths, weights = _flat(batch)
         keys, inside = _pair_keys(flat, lengths)
         if keys.size == 0:
@@ -98,7 +125,7 @@ def apply_merges(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len:
     them one after another. Rows left with fewer than ``min_len`` symbols are dropped:
     they hold no pair any more.
     """
-    for batch in batches:
+    for batch in slices(batches):
         flat, lengths, weights = _flat(batch)
         keys, inside = _pair_keys(flat, lengths)
         pos, which = merge_positions(keys, inside, batch_keys)
@@ -141,7 +168,7 @@ def intern(batches, code_points: np.ndarray, ids: np.ndarray, min_len: int = 2,
 
     Other columns pass through; ``keep_text`` also keeps the string as ``text``.
     """
-    for batch in batches:
+    for batch in slices(batches):
         strings = batch.column("seq")
         lengths = pc.utf8_length(strings).to_numpy(zero_copy_only=False).astype(np.int64)
         joined = "".join(strings.to_pylist())
