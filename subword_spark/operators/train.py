@@ -21,6 +21,8 @@ order, then merges in order).
 from __future__ import annotations
 
 import logging
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -136,7 +138,32 @@ def train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None =
     ``max_batch`` caps merges per round (1 gives the one-at-a-time loop, for checks).
     """
     spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
+    with private_checkpoints(spark):
+        return _train(lines, col, opts, max_batch)
+
+
+@contextmanager
+def private_checkpoints(spark):
+    """Checkpoint into a fresh subfolder of the shared checkpoint folder for the duration of
+    one training, then delete it: the learned model lives on the driver, the state files are
+    no longer referenced."""
+    sc = spark.sparkContext
+    base = ensure_checkpoint_dir(spark)
+    sub = f"{base.rstrip('/')}/train-{uuid.uuid4().hex}"
+    sc.setCheckpointDir(sub)
+    try:
+        yield sub
+    finally:
+        sc.setCheckpointDir(base)
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(sub)
+        try:
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001 - cleanup is best effort
+            log.warning("could not remove training checkpoints at %s", sub)
+
+
+def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None) -> BPEModel:
     seqs, alphabet, tokens, state = initial_state(lines, col, opts)
     tokens = list(tokens)
     index: dict[str, int] = {}

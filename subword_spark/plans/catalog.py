@@ -152,6 +152,13 @@ def q_alphabet_bytes(spark, sf):
     return _alphabet_ids(weighted_sequences(doc_lines(spark, sf), "line", BYTE), BYTE, True)
 
 
+def q_byte_alphabet(spark, sf):
+    """Vocabulary of a byte model with the full 256-byte alphabet, trained on conversations."""
+    m = train(conv_lines(spark, sf), "line", BYTE.with_(alphabet="full256"))
+    v = m.vocab_df(spark)
+    return v.select("token_id", hex_symbol(F.col("token")).alias("token_hex"), "kind")
+
+
 def q_vocab_table(spark, sf):
     return word_model(spark, sf).vocab_df(spark)
 

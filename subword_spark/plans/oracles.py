@@ -147,6 +147,20 @@ def build() -> dict[str, str]:
         f"SELECT CAST(row_number() OVER (ORDER BY c) + 2 AS INTEGER) AS token_id, c AS symbol_hex "
         f"FROM (SELECT DISTINCT unnest({O.byte_seq_hex('line')}) AS c FROM ({DOC_LINES}))"
     )
+    o["byte_alphabet"] = (
+        _train(CONV_LINES, C.BYTE)
+        + """,
+    bytes AS (SELECT CAST(b + 3 AS INTEGER) AS token_id, lower(printf('%02x', b)) AS token_hex, 'symbol' AS kind
+              FROM generate_series(0, 255) t(b)),
+    merged AS (SELECT DISTINCT l || r AS token_hex, min(step) AS first_step FROM train WHERE step > 0 GROUP BY l || r),
+    newtok AS (SELECT token_hex, CAST(258 + row_number() OVER (ORDER BY first_step) AS INTEGER) AS token_id, 'merge' AS kind
+               FROM merged WHERE token_hex NOT IN (SELECT token_hex FROM bytes))
+    SELECT CAST(0 AS INTEGER) AS token_id, lower(hex(encode('<unknown>'))) AS token_hex, 'special' AS kind
+    UNION ALL SELECT 1, lower(hex(encode('<begin>'))), 'special'
+    UNION ALL SELECT 2, lower(hex(encode('<end>'))), 'special'
+    UNION ALL SELECT token_id, token_hex, kind FROM bytes
+    UNION ALL SELECT token_id, token_hex, kind FROM newtok"""
+    )
     o["vocab_table"] = (
         _train(DOC_LINES, C.WORD)
         + f""", v AS ({O.final_vocab()}), a AS (SELECT len(toks) AS na FROM voc0)
