@@ -36,14 +36,44 @@ def frequent_pairs(counts: DataFrame, min_count: int) -> DataFrame:
     return counts.where(F.col("cnt") >= int(min_count))
 
 
+def conflict_free_groups(pairs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Split merges (in order) into groups whose occurrences cannot touch: a pair joins the
+    current group unless its left is a member's right, its right a member's left, it uses
+    a member's new id, or it repeats a member; a self pair closes its group."""
+    groups: list[list[tuple[int, int, int]]] = []
+    cur: list[tuple[int, int, int]] = []
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    made: set[int] = set()
+    for l, r, n in pairs:
+        clash = l in rights or r in lefts or l in made or r in made or (l, r) in {(a, b) for a, b, _ in cur}
+        if cur and clash:
+            groups.append(cur)
+            cur, lefts, rights, made = [], set(), set(), set()
+        cur.append((l, r, n))
+        lefts.add(l)
+        rights.add(r)
+        made.add(n)
+        if l == r:
+            groups.append(cur)
+            cur, lefts, rights, made = [], set(), set(), set()
+    if cur:
+        groups.append(cur)
+    return groups
+
+
 def apply_pairs(state: DataFrame, pairs: list[tuple[int, int, int]], min_len: int = 0) -> DataFrame:
-    """Merge every occurrence of the given non-overlapping ``(left id, right id, new id)``
-    pairs, left to right, in one ``mapInArrow`` pass; other columns pass through."""
-    keys = np.array([(l << 32) | r for l, r, _ in pairs], dtype=np.int64)
-    new_ids = np.array([n for _, _, n in pairs], dtype=np.int64)
-    order = np.argsort(keys)
-    fn = partial(kernels.apply_merges, batch_keys=keys[order], new_ids=new_ids[order], min_len=min_len)
-    return state.mapInArrow(fn, state.schema)
+    """Merge every occurrence of ``(left id, right id, new id)`` pairs in the given order,
+    each left to right, exactly as applying them one after another; other columns pass
+    through. Pairs that cannot interact share one vectorised ``mapInArrow`` sweep."""
+    out = state
+    for group in conflict_free_groups(pairs):
+        keys = np.array([(l << 32) | r for l, r, _ in group], dtype=np.int64)
+        new_ids = np.array([n for _, _, n in group], dtype=np.int64)
+        order = np.argsort(keys)
+        fn = partial(kernels.apply_merges, batch_keys=keys[order], new_ids=new_ids[order], min_len=min_len)
+        out = out.mapInArrow(fn, out.schema)
+    return out
 
 
 def partial_pair_counts(state: DataFrame, sign: int = 1) -> DataFrame:
