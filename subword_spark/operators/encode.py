@@ -16,6 +16,7 @@ import heapq
 import json
 from bisect import bisect_right
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,7 +178,8 @@ def _encode_udf(model: BPEModel, order: str, words: bool):
                 miss.append(None)
                 continue
             a, m = fn(v)
-            ids.append(a)
+            # int32 arrays, not Python int lists: 4 bytes per token while the batch is held.
+            ids.append(np.asarray(a, dtype=np.int32))
             miss.append(m)
         return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
 
