@@ -20,6 +20,7 @@ order, then merges in order).
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from contextlib import contextmanager
@@ -35,7 +36,7 @@ from ..options import BPEOptions
 from ..session import ensure_checkpoint_dir
 from . import kernels
 from .model import BPEModel
-from .symbols import weighted_sequences
+from .symbols import symbols, weighted_sequences
 from .vocab import full_byte_alphabet, initial_tokens, intern_state, observed_alphabet
 
 log = logging.getLogger(__name__)
@@ -50,9 +51,25 @@ def pair_counts(state: DataFrame) -> DataFrame:
     return partial_counts.groupBy("l", "r").agg(F.sum("cnt").alias("cnt"))
 
 
-def top_pairs(counts: DataFrame, n: int, min_count: int = 1) -> DataFrame:
-    """The ``n`` most frequent pairs, ties by smallest (l, r); a bounded top-k."""
-    return counts.where(F.col("cnt") >= min_count).orderBy(F.desc("cnt"), "l", "r").limit(n)
+def top_pairs(counts: DataFrame, n: int, min_count: int = 1, rank_of: list[int] | None = None) -> DataFrame:
+    """The ``n`` most frequent pairs, ties by smallest (l, r) (or by ``rank_of[id]``); a
+    bounded top-k."""
+    kept = counts.where(F.col("cnt") >= min_count)
+    if rank_of is None:
+        return kept.orderBy(F.desc("cnt"), "l", "r").limit(n)
+    ranks = F.from_json(F.lit(json.dumps(rank_of)), "array<int>")
+    return kept.orderBy(F.desc("cnt"), F.get(ranks, F.col("l")), F.get(ranks, F.col("r"))).limit(n)
+
+
+def first_seen_symbols(lines: DataFrame, col: str, opts: BPEOptions, order_by: tuple[str, ...]) -> list[str]:
+    """Symbols in order of first appearance, reading rows by ``order_by`` and symbols left to
+    right. One pass: ``posexplode`` + ``min(struct(order..., pos))`` per symbol, combined
+    map-side; the result is bounded by Unicode."""
+    if not order_by:
+        raise ValueError("tie_break='first_seen' needs the corpus order columns (order_by)")
+    exploded = lines.select(*order_by, F.posexplode(symbols(F.col(col), opts)).alias("pos", "sym"))
+    first = exploded.groupBy("sym").agg(F.min(F.struct(*order_by, "pos")).alias("at"))
+    return [r.sym for r in first.orderBy("at").collect()]
 
 
 @dataclass
@@ -132,14 +149,17 @@ def initial_state(lines: DataFrame, col: str, opts: BPEOptions):
     return seqs, alphabet, tokens, state
 
 
-def train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None = None) -> BPEModel:
+def train(
+    lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None = None, order_by: tuple[str, ...] = ()
+) -> BPEModel:
     """Learn merges from a table of texts (one symbol sequence per row, or per word).
 
-    ``max_batch`` caps merges per round (1 gives the one-at-a-time loop, for checks).
+    ``max_batch`` caps merges per round (1 gives the one-at-a-time loop, for checks);
+    ``order_by`` names the corpus order, needed by ``tie_break='first_seen'``.
     """
     spark = lines.sparkSession
     with private_checkpoints(spark):
-        return _train(lines, col, opts, max_batch)
+        return _train(lines, col, opts, max_batch, order_by)
 
 
 @contextmanager
@@ -163,12 +183,17 @@ def private_checkpoints(spark):
             log.warning("could not remove training checkpoints at %s", sub)
 
 
-def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None) -> BPEModel:
+def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None, order_by: tuple[str, ...]) -> BPEModel:
     seqs, alphabet, tokens, state = initial_state(lines, col, opts)
     tokens = list(tokens)
     index: dict[str, int] = {}
     for i, t in enumerate(tokens):
         index.setdefault(t, i)
+    rank_of: list[int] | None = None
+    if opts.tie_break == "first_seen":
+        seen = {s: k for k, s in enumerate(first_seen_symbols(lines, col, opts, order_by))}
+        rank_of = [seen.get(t, -1) for t in tokens]
+        next_rank = len(seen)
     n_alphabet = len(tokens) - len(dict.fromkeys(opts.specials))
     vocab_size = len(index)
 
@@ -192,7 +217,8 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None)
         vocab_room = opts.target_vocabulary_size - vocab_size
         if merge_budget <= 0 or vocab_room <= 0:
             break
-        top = [(r.l, r.r, r.cnt) for r in top_pairs(pair_counts(state), n_top, opts.min_frequency).collect()]
+        ranked = top_pairs(pair_counts(state), n_top, opts.min_frequency, rank_of)
+        top = [(r.l, r.r, r.cnt) for r in ranked.collect()]
         for old in previous:
             old.unpersist()
         previous = []
@@ -206,6 +232,9 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None)
                 index[p.token] = len(tokens)
                 tokens.append(p.token)
                 vocab_size += 1
+                if rank_of is not None:
+                    rank_of.append(next_rank)
+                    next_rank += 1
             merges.append((tokens[p.l], tokens[p.r]))
             counts.append(int(p.cnt))
             sizes.append(vocab_size)

@@ -14,6 +14,7 @@ UNITS = ("line", "word")
 UNICODE_FORMS = ("NFC", "NFKC", "NFD", "NFKD", "none")
 ALPHABETS = ("observed", "full256")
 ORDERS = ("scan", "rank")
+TIE_BREAKS = ("vocab", "first_seen")
 
 
 @dataclass(frozen=True)
@@ -38,6 +39,9 @@ class BPEOptions:
     specials: tuple[str, ...] = field(default=DEFAULT_SPECIALS)
     marker: str = DEFAULT_MARKER
     alphabet: str = "observed"
+    # Equal counts: smallest (left, right) by vocabulary id, or by first appearance of the
+    # symbols in the corpus order (merged tokens rank after all symbols, in creation order).
+    tie_break: str = "vocab"
     # Driver-side knobs of the distributed trainer (results do not depend on them).
     batch_candidates: int = 512
     checkpoint_every: int = 8
@@ -51,6 +55,8 @@ class BPEOptions:
             raise ValueError(f"unicode_normalization must be one of {UNICODE_FORMS}")
         if self.alphabet not in ALPHABETS:
             raise ValueError(f"alphabet must be one of {ALPHABETS}")
+        if self.tie_break not in TIE_BREAKS:
+            raise ValueError(f"tie_break must be one of {TIE_BREAKS}")
         if len(self.marker) != 1:
             raise ValueError("marker must be one character")
         if not self.specials:

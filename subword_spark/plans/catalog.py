@@ -43,6 +43,7 @@ BYTE = BPEOptions(model_kind="byte_bpe", add_visible_space=False, max_merges=50)
 HISTORY = WORD.with_(progress_every=10)
 MINFREQ = BPEOptions(unit="word", minimum_pair_frequency=8)
 COVER = BPEOptions(unit="word", max_merges=20)
+FIRST_SEEN = MINFREQ.with_(tie_break="first_seen")
 WS_ONLY = BPEOptions(unicode_normalization="none")
 FULL_NORM = BPEOptions(strip_accents=True, lowercase=True)
 FREQUENT_MIN = 1000
@@ -276,6 +277,12 @@ def q_train_stop_minfreq(spark, sf):
     return _merges(train(bench_lines(spark, sf), "line", MINFREQ), spark)
 
 
+def q_train_first_seen(spark, sf):
+    """Ties broken by first appearance in the corpus order (item, line), as the reference does."""
+    m = train(bench_lines(spark, sf), "line", FIRST_SEEN, order_by=("item_id", "line_no"))
+    return _merges(m, spark)
+
+
 def q_model_stats(spark, sf):
     m = word_model(spark, sf)
     return m.vocab_df(spark).agg(

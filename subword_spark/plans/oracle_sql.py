@@ -89,12 +89,34 @@ def sequences_cte(lines: str, opts: BPEOptions, line_col: str = "line") -> str:
     )
 
 
-def train_ctes(seqs: str, opts: BPEOptions) -> str:
+def first_seen_sql(lines: str, opts: BPEOptions, order_cols: str) -> str:
+    """One row ``fs``: symbols in order of first appearance (rows by ``order_cols``, then
+    left to right)."""
+    if opts.is_bytes:
+        syms = byte_seq_hex("line")
+    elif opts.unit == "word":
+        syms = f"string_split(array_to_string({word_tokens(normalize('line', opts), opts)}, ''), '')"
+    else:
+        syms = f"string_split({char_seq(normalize('line', opts), opts)}, '')"
+    return f"""
+      SELECT list(sym ORDER BY {order_cols}, pos) AS fs FROM (
+        SELECT *, row_number() OVER (PARTITION BY sym ORDER BY {order_cols}, pos) AS k FROM (
+          SELECT {order_cols}, unnest(s) AS sym, generate_subscripts(s, 1) AS pos
+          FROM (SELECT {order_cols}, {syms} AS s FROM ({lines}))
+        ) WHERE sym <> ''
+      ) WHERE k = 1"""
+
+
+def train_ctes(seqs: str, opts: BPEOptions, first_seen: str | None = None) -> str:
     """CTEs ``seqs``, ``alpha``, ``train``: one recursion step per merge.
 
-    ``train(step, toks, st, l, r, cnt, vs)``: ``toks`` is the vocabulary list (position - 1 =
-    id), ``st`` the delimited sequences with weights; row ``step`` holds merge ``step - 1``.
+    ``train(step, toks, st, l, r, cnt, vs, fs)``: ``toks`` is the vocabulary list (position - 1 =
+    id), ``st`` the delimited sequences with weights, ``fs`` the tie-break order; row ``step``
+    holds merge ``step - 1``. Ties go by ``toks`` unless ``first_seen`` SQL (one row ``fs``)
+    gives the first-appearance order.
     """
+    fs_init = f"(SELECT fs FROM ({first_seen}))" if first_seen else "toks"
+    tie = "fs"
     cap = opts.max_merges if opts.max_merges is not None else 1 << 30
     target = opts.target_vocabulary_size
     minf = opts.min_frequency
@@ -109,14 +131,15 @@ def train_ctes(seqs: str, opts: BPEOptions) -> str:
     st0 AS (
       SELECT coalesce(list({{'s': {D1} || array_to_string(seq, {D2} || {D1}) || {D2}, 'n': weight}}), []) AS st FROM seqs
     ),
-    train(step, toks, st, l, r, cnt, vs) AS (
-      SELECT 0, toks, st, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT, len(toks) FROM voc0, st0
+    train(step, toks, st, l, r, cnt, vs, fs) AS (
+      SELECT 0, toks, st, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT, len(toks), {fs_init} FROM voc0, st0
       UNION ALL
       SELECT t.step + 1,
              CASE WHEN list_contains(t.toks, b.l || b.r) THEN t.toks ELSE list_append(t.toks, b.l || b.r) END,
              list_transform(t.st, lambda x: {{'s': replace(x.s, {pair}, {D1} || b.l || b.r || {D2}), 'n': x.n}}),
              b.l, b.r, b.cnt,
-             CASE WHEN list_contains(t.toks, b.l || b.r) THEN t.vs ELSE t.vs + 1 END
+             CASE WHEN list_contains(t.toks, b.l || b.r) THEN t.vs ELSE t.vs + 1 END,
+             CASE WHEN list_contains(t.fs, b.l || b.r) THEN t.fs ELSE list_append(t.fs, b.l || b.r) END
       FROM train t, LATERAL (
         SELECT l, r, sum(n)::BIGINT AS cnt
         FROM (
@@ -130,7 +153,7 @@ def train_ctes(seqs: str, opts: BPEOptions) -> str:
         )
         GROUP BY l, r
         HAVING sum(n) >= {minf} AND NOT list_contains({sp}, l || r)
-        ORDER BY cnt DESC, list_position(t.toks, l), list_position(t.toks, r)
+        ORDER BY cnt DESC, list_position(t.{tie}, l), list_position(t.{tie}, r)
         LIMIT 1
       ) b
       WHERE t.step < {cap} AND t.vs < {target}

@@ -211,6 +211,17 @@ def build() -> dict[str, str]:
     o["train_bytes"] = _merges_sql(CONV_LINES, C.BYTE, hex_out=True)
     o["train_history"] = _merges_sql(DOC_LINES, C.HISTORY, where=f"WHERE (rank + 1) % {C.HISTORY.progress_every} = 0")
     o["train_stop_minfreq"] = _merges_sql(BENCH_LINES, C.MINFREQ)
+    o["train_first_seen"] = (
+        "WITH RECURSIVE "
+        + O.train_ctes(
+            O.sequences_cte(BENCH_LINES, C.FIRST_SEEN),
+            C.FIRST_SEEN,
+            first_seen=O.first_seen_sql(BENCH_LINES, C.FIRST_SEEN, "item_id, line_no"),
+        )
+        + " SELECT * FROM ("
+        + O.merges_select(C.FIRST_SEEN)
+        + ")"
+    )
     o["model_stats"] = (
         _train(DOC_LINES, C.WORD)
         + """

@@ -21,12 +21,17 @@ def merge_left_to_right(seq: list[int], l: int, r: int, new: int) -> list[int]:
     return out
 
 
-def train_reference(sequences: list[list[str]], specials, target: int, min_freq: int, max_merges):
-    """``sequences``: symbol lists (repeats allowed). Returns (tokens, merges, counts)."""
+def train_reference(sequences: list[list[str]], specials, target: int, min_freq: int, max_merges, first_seen=False):
+    """``sequences``: symbol lists in corpus order (repeats allowed). Returns (tokens,
+    merges, counts). ``first_seen`` breaks ties by first appearance instead of id."""
     tokens = list(dict.fromkeys(specials))
     alphabet = sorted({s for seq in sequences for s in seq} - set(tokens))
     tokens += alphabet
     index = {t: i for i, t in enumerate(tokens)}
+    order = {}
+    for seq in sequences:
+        for sym in seq:
+            order.setdefault(sym, len(order))
     weighted = Counter(tuple(index[s] for s in seq) for seq in sequences if seq)
     seqs = [(list(k), w) for k, w in weighted.items()]
     merges: list[tuple[str, str]] = []
@@ -46,14 +51,19 @@ def train_reference(sequences: list[list[str]], specials, target: int, min_freq:
             for k in range(1, len(s)):
                 if s[:k] in index and s[k:] in index:
                     forbidden.add((index[s[:k]], index[s[k:]]))
-        cands = [(-c, p) for p, c in pc.items() if c >= min_freq and p not in forbidden]
+        if first_seen:
+            rank = lambda i: order[tokens[i]]
+            cands = [(-c, rank(p[0]), rank(p[1]), p) for p, c in pc.items() if c >= min_freq and p not in forbidden]
+        else:
+            cands = [(-c, p[0], p[1], p) for p, c in pc.items() if c >= min_freq and p not in forbidden]
         if not cands:
             break
-        negc, (l, r) = min(cands)
+        negc, _, _, (l, r) = min(cands)
         s = tokens[l] + tokens[r]
         if s not in index:
             index[s] = len(tokens)
             tokens.append(s)
+            order.setdefault(s, len(order))
         new = index[s]
         merges.append((tokens[l], tokens[r]))
         counts.append(-negc)

@@ -113,3 +113,28 @@ def test_choose_batch_conflicts():
     assert [(p.l, p.r) for p in picks] == [(1, 2), (3, 4)]  # (b, c) touches both picks
     picks = choose_batch([(1, 1, 5), (2, 3, 4)], tokens, index, 10, 10, set())
     assert [(p.l, p.r) for p in picks] == [(1, 1)]  # self pair ends the batch
+
+
+def test_first_seen_tie_break(lines_df):
+    """The reference test corpus is full of ties: first-seen order decides them."""
+    opts = BPEOptions(target_vocabulary_size=200, max_merges=15, tie_break="first_seen", minimum_pair_frequency=1)
+    df = lines_df(MERGE_CORPUS)
+    m = train(df, "line", opts, order_by=("line_no",))
+    seqs = [list(r.seq) for r in sequence_rows(df.orderBy("line_no"), "line", opts).collect()]
+    tokens, merges, counts = train_reference(seqs, opts.specials, 200, 1, 15, first_seen=True)
+    assert m.merges == merges and m.counts == counts
+    by_id = train(df, "line", opts.with_(tie_break="vocab"))
+    assert by_id.merges != m.merges  # the two rules really differ here
+
+
+def test_first_seen_batched_equals_one_at_a_time(lines_df):
+    rng = random.Random(11)
+    for _ in range(4):
+        lines = ["".join(rng.choice("dcba ") for _ in range(rng.randint(2, 12))) for _ in range(8)]
+        opts = BPEOptions(minimum_pair_frequency=1, max_merges=20, tie_break="first_seen")
+        df = lines_df(lines)
+        fast = train(df, "line", opts, order_by=("line_no",))
+        slow = train(df, "line", opts, max_batch=1, order_by=("line_no",))
+        seqs = [list(r.seq) for r in sequence_rows(df.orderBy("line_no"), "line", opts).collect()]
+        _, merges, _ = train_reference(seqs, opts.specials, opts.target_vocabulary_size, 1, 20, first_seen=True)
+        assert fast.merges == slow.merges == merges, lines
