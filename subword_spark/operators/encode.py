@@ -2,8 +2,8 @@
 
 Pretokenisation is a native column expression; the merge step is sequential per row, so it
 runs in an Arrow-batched pandas UDF holding the model (bounded by the vocabulary size).
-The operator is narrow: no shuffle, one pass, and in ``unit='word'`` every task keeps a
-bounded memo of encoded words, so frequent words cost one dict lookup.
+The operator is narrow: no shuffle, one pass, and in ``unit='word'`` every Python worker
+keeps a bounded memo of encoded words, so frequent words cost one dict lookup.
 
 ``order='scan'`` is the reference tokenizer's left-to-right scan (a shift-reduce stack, O(n));
 ``order='rank'`` replays merges by rank, each over all occurrences, left to right

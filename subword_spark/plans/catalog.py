@@ -28,7 +28,7 @@ from ..operators.pairs import (
     update_pair_counts,
 )
 from ..operators.symbols import line_sequence, weighted_sequences, word_sequences
-from ..operators.train import initial_state, train
+from ..operators.train import train
 from ..operators.vocab import alphabet_df, id_lookup, initial_tokens, intern_column, intern_state, token_lookup
 from ..options import BPEOptions
 from ..session import scratch_path
@@ -167,7 +167,7 @@ def q_vocab_table(spark, sf):
 def q_intern_sequences(spark, sf):
     from ..operators.vocab import observed_alphabet
 
-    seqs = weighted_sequences(doc_lines(spark, sf), "line", WORD).cache()
+    seqs = weighted_sequences(doc_lines(spark, sf), "line", WORD)
     tokens = initial_tokens(WORD, observed_alphabet(seqs))
     return seqs.select(
         "seq",
@@ -186,8 +186,10 @@ def q_token_id_lookup(spark, sf):
 
 # -- pair statistics -----------------------------------------------------------------------
 def _char_state(spark, sf, min_len=2, keep_text=False):
-    lines = doc_lines(spark, sf)
-    seqs, alphabet, tokens, _ = initial_state(lines, "line", LINE)
+    from ..operators.vocab import observed_alphabet
+
+    seqs = weighted_sequences(doc_lines(spark, sf), "line", LINE)
+    tokens = initial_tokens(LINE, observed_alphabet(seqs))
     state = intern_state(seqs, tokens, min_len=min_len, keep_text=keep_text)
     return state, tokens
 
@@ -233,7 +235,6 @@ def _best_merge(state: DataFrame, tokens: list[str]):
 
 def q_apply_merge(spark, sf):
     state, tokens = _char_state(spark, sf, min_len=0, keep_text=True)
-    state = state.cache()
     pair, ext = _best_merge(state, tokens)
     after = apply_pairs(state.withColumn("n_before", F.size("seq")), [pair])
     merged = F.array_join(F.transform("seq", lambda i: token_lookup(i, ext)), " ")
@@ -248,8 +249,7 @@ def q_apply_merge(spark, sf):
 
 def q_pair_count_delta(spark, sf):
     state, tokens = _char_state(spark, sf)
-    state = state.cache()
-    counts = pair_counts(state).cache()
+    counts = pair_counts(state)
     pair, ext = _best_merge(state, tokens)
     _, before_rows, after_rows = merge_with_delta(state, pair)
     return _named(update_pair_counts(counts, before_rows, after_rows), ext)

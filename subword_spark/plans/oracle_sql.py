@@ -132,7 +132,7 @@ def train_ctes(seqs: str, opts: BPEOptions, first_seen: str | None = None) -> st
       SELECT coalesce(list({{'s': {D1} || array_to_string(seq, {D2} || {D1}) || {D2}, 'n': weight}}), []) AS st FROM seqs
     ),
     train(step, toks, st, l, r, cnt, vs, fs) AS (
-      SELECT 0, toks, st, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT, len(toks), {fs_init} FROM voc0, st0
+      SELECT 0, toks, (SELECT st FROM st0), NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT, len(toks), {fs_init} FROM voc0
       UNION ALL
       SELECT t.step + 1,
              CASE WHEN list_contains(t.toks, b.l || b.r) THEN t.toks ELSE list_append(t.toks, b.l || b.r) END,

@@ -103,9 +103,9 @@ def _best_and_merged() -> str:
       SELECT s.seq, s.weight, len(s.syms) AS n_before,
              string_split(substr(x, 2, length(x) - 2), chr(2) || chr(1)) AS toks
       FROM (SELECT s.*, replace(chr(1) || array_to_string(s.syms, chr(2) || chr(1)) || chr(2),
-                                chr(1) || b.l || chr(2) || chr(1) || b.r || chr(2),
-                                chr(1) || b.l || b.r || chr(2)) AS x
-            FROM s, b) s
+                                chr(1) || (SELECT l FROM b) || chr(2) || chr(1) || (SELECT r FROM b) || chr(2),
+                                chr(1) || (SELECT l FROM b) || (SELECT r FROM b) || chr(2)) AS x
+            FROM s) s
     )"""
 
 
@@ -163,8 +163,10 @@ def build() -> dict[str, str]:
     )
     o["vocab_table"] = (
         _train(DOC_LINES, C.WORD)
-        + f""", v AS ({O.final_vocab()}), a AS (SELECT len(toks) AS na FROM voc0)
-        SELECT token_id, token, CASE WHEN token_id < 3 THEN 'special' WHEN token_id < na THEN 'symbol' ELSE 'merge' END AS kind FROM v, a"""
+        + f""", v AS ({O.final_vocab()})
+        SELECT token_id, token,
+               CASE WHEN token_id < 3 THEN 'special' WHEN token_id < (SELECT len(toks) FROM voc0) THEN 'symbol' ELSE 'merge' END AS kind
+        FROM v"""
     )
     wseqs = O.sequences_cte(DOC_LINES, C.WORD)
     o["intern_sequences"] = f"""

@@ -32,8 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only when
-    nothing is configured (local tests) is a private temporary folder set.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only in
+    local mode with nothing configured (tests) is a private temporary folder set; a cluster
+    without the setting is an error, since a machine-local folder is not shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,8 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="subword-ckpt-"))
+    else:
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder shared by all executors "
+            "(HDFS, object store) so training state survives executor loss"
+        )
     return sc.getCheckpointDir()
 
 
