@@ -190,3 +190,72 @@ def distinct_code_points(batches):
         joined = "".join(s for s in batch.column(0).to_pylist() if s)
         cps = np.unique(np.frombuffer(joined.encode("utf-32-le"), dtype="<u4"))
         yield pa.RecordBatch.from_arrays([pa.array(cps.astype(np.int32))], names=["cp"])
+
+
+STEP_DDL = "kind tinyint, seq array<int>, weight bigint, l int, r int, cnt bigint"
+_STEP_SCHEMA = pa.schema(
+    [
+        ("kind", pa.int8()),
+        ("seq", pa.list_(pa.int32())),
+        ("weight", pa.int64()),
+        ("l", pa.int32()),
+        ("r", pa.int32()),
+        ("cnt", pa.int64()),
+    ]
+)
+
+
+def step(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len: int = 2):
+    """One training round in one pass: apply the batch's merges, then count the pairs of
+    the result. Emits state rows (``kind`` 0: seq, weight) and partial pair counts
+    (``kind`` 1: l, r, cnt) in one schema, so the state is read by Python once per round."""
+    for batch in slices(batches):
+        flat, lengths, weights = _flat(batch)
+        keys, inside = _pair_keys(flat, lengths)
+        pos, which = merge_positions(keys, inside, batch_keys)
+        if pos.size:
+            flat = flat.copy()
+            flat[pos] = new_ids[which]
+            keep = np.ones(flat.size, bool)
+            keep[pos + 1] = False
+            seq_of = np.repeat(np.arange(lengths.size), lengths)
+            lengths = lengths - np.bincount(seq_of[pos], minlength=lengths.size)
+            flat = flat[keep]
+            keys, inside = _pair_keys(flat, lengths)
+        if keys.size:
+            w = np.repeat(weights, lengths)[:-1]
+            pk, sums = _sum_by_key(keys[inside], w[inside])
+        else:
+            pk, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+        live = lengths >= min_len
+        if not np.all(live):
+            flat = flat[np.repeat(live, lengths)]
+            lengths, weights = lengths[live], weights[live]
+        n_state, n_pairs = int(lengths.size), int(pk.size)
+        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+        state = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.zeros(n_state, np.int8)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32))),
+                pa.array(weights.astype(np.int64)),
+                pa.nulls(n_state, pa.int32()),
+                pa.nulls(n_state, pa.int32()),
+                pa.nulls(n_state, pa.int64()),
+            ],
+            schema=_STEP_SCHEMA,
+        )
+        pairs = pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.ones(n_pairs, np.int8)),
+                pa.nulls(n_pairs, pa.list_(pa.int32())),
+                pa.nulls(n_pairs, pa.int64()),
+                pa.array((pk >> 32).astype(np.int32)),
+                pa.array((pk & 0xFFFFFFFF).astype(np.int32)),
+                pa.array(sums.astype(np.int64)),
+            ],
+            schema=_STEP_SCHEMA,
+        )
+        if n_state:
+            yield state
+        if n_pairs:
+            yield pairs

@@ -3,12 +3,13 @@
 State: one row per distinct symbol sequence, ``(seq array<int>, weight bigint)``, cached
 on the executors. Each round is one Spark job:
 
-1. partial pair counts per Arrow batch (numpy), ``groupBy(l, r).sum`` (map-side combine,
-   one shuffle of distinct pairs only), ``orderBy(cnt desc, l, r).limit(N)`` to the driver;
-2. the driver picks a *safe batch* from those N pairs (see ``choose_batch``);
-3. the batch (at most N pairs) is shipped in the closure of the next ``mapInArrow`` pass,
-   which merges every occurrence in one vectorised sweep; rows left without pairs leave
-   the state.
+1. one ``mapInArrow`` pass (``kernels.step``) applies the previous round's batch to every
+   row in one vectorised sweep, drops rows left without pairs, and counts the pairs of
+   the result per Arrow slice; state rows and partial counts come out as one cached table;
+2. ``groupBy(l, r).sum`` of the partial counts (map-side combine, one shuffle of distinct
+   pairs only), ``orderBy(cnt desc, l, r).limit(N)`` to the driver;
+3. the driver picks a *safe batch* from those N pairs (see ``choose_batch``), shipped (at
+   most N pairs) in the closure of the next round's pass.
 
 Lineage is cut every ``checkpoint_every`` rounds with a reliable ``checkpoint()`` into the
 session's checkpoint folder, so a lost executor recomputes a few rounds at most.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -200,7 +202,12 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
     # The initial state is the output of the only pass over the corpus: write it to the
     # shared checkpoint folder so a lost executor never replays the corpus scan.
     first = state.persist(StorageLevel.MEMORY_AND_DISK)
-    state = first.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    start = first.checkpoint(eager=True)
+    # Each round's table holds the state rows (kind 0) and their partial pair counts
+    # (kind 1), produced by one Arrow pass (``kernels.step``).
+    none = np.empty(0, dtype=np.int64)
+    combined = start.mapInArrow(partial(kernels.step, batch_keys=none, new_ids=none), kernels.STEP_DDL)
+    combined = combined.persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     sizes: list[int] = []
@@ -217,8 +224,13 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
         vocab_room = opts.target_vocabulary_size - vocab_size
         if merge_budget <= 0 or vocab_room <= 0:
             break
-        ranked = top_pairs(pair_counts(state), n_top, opts.min_frequency, rank_of)
+        t0 = time.perf_counter()
+        counts_now = (
+            combined.where(F.col("kind") == 1).groupBy("l", "r").agg(F.sum("cnt").alias("cnt"))
+        )
+        ranked = top_pairs(counts_now, n_top, opts.min_frequency, rank_of)
         top = [(r.l, r.r, r.cnt) for r in ranked.collect()]
+        log.debug("round %d: counted in %.3fs", rounds, time.perf_counter() - t0)
         for old in previous:
             old.unpersist()
         previous = []
@@ -243,19 +255,20 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
         keys = np.array([(p.l << 32) | p.r for p in picks], dtype=np.int64)
         new_ids = np.array([index[p.token] for p in picks], dtype=np.int64)
         order = np.argsort(keys)
-        fn = partial(kernels.apply_merges, batch_keys=keys[order], new_ids=new_ids[order])
-        nxt = state.mapInArrow(fn, STATE_DDL).persist(StorageLevel.MEMORY_AND_DISK)
+        fn = partial(kernels.step, batch_keys=keys[order], new_ids=new_ids[order])
+        state_rows = combined.where(F.col("kind") == 0).select("seq", "weight")
+        nxt = state_rows.mapInArrow(fn, kernels.STEP_DDL).persist(StorageLevel.MEMORY_AND_DISK)
         rounds += 1
         if opts.checkpoint_every and rounds % opts.checkpoint_every == 0:
             cut = nxt.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-            previous = [state, nxt]
-            state = cut
+            previous = [combined, nxt]
+            combined = cut
         else:
-            previous = [state]
-            state = nxt
+            previous = [combined]
+            combined = nxt
     for old in previous:
         old.unpersist()
-    state.unpersist()
+    combined.unpersist()
     return BPEModel(
         options=opts,
         tokens=tokens,

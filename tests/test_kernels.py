@@ -56,3 +56,24 @@ def test_apply_groups_equal_sequential_merges(seqs, pairs):
         out = list(K.apply_merges([batch_of(got)], keys[o], new[o], min_len=0))
         got = [list(x) for b in out for x in b.column(0).to_pylist()]
     assert got == expect
+
+
+@settings(max_examples=150, deadline=None)
+@given(seqs_st, st.tuples(st.integers(0, 3), st.integers(0, 3)))
+def test_step_applies_then_counts(seqs, pair):
+    l, r = pair
+    merged = [merge_left_to_right(list(s), l, r, 9) for s in seqs]
+    expect_state = [s for s in merged if len(s) >= 2]
+    expect_counts = Counter()
+    for s in merged:
+        for a, b in zip(s, s[1:]):
+            expect_counts[(a, b)] += 1
+    out = list(K.step([batch_of(seqs)], np.array([(l << 32) | r], np.int64), np.array([9], np.int64)))
+    state = [x for b in out for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if k == 0]
+    counts = Counter()
+    for b in out:
+        for k, a, c, n in zip(b.column(0).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist()):
+            if k == 1:
+                counts[(a, c)] += n
+    assert state == expect_state
+    assert counts == expect_counts
