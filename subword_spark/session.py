@@ -36,7 +36,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local mode with nothing configured (tests) is a private temporary folder set; a cluster
     without the setting is an error, since a machine-local folder is not shared.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

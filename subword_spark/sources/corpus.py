@@ -23,10 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     and every narrow step after it (line split, Unicode UDF, encode) would run serially.
     Large inputs already have many splits and pass through untouched (no shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the scan as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def corpus_lines(df: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
