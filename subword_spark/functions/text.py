@@ -35,9 +35,12 @@ def _lit_regex(s: str) -> str:
 
 
 def collapse_whitespace(col: Column) -> Column:
-    """Strip WS at both ends and turn inner runs of WS into one space."""
-    trimmed = F.regexp_replace(col, f"^{WS}+|{WS}+$", "")
-    return F.regexp_replace(trimmed, f"{WS}+", " ")
+    """Strip WS at both ends and turn inner runs of WS into one space.
+
+    One regex pass: every run becomes one space, then the (at most one) space left at
+    either end is trimmed.
+    """
+    return F.btrim(F.regexp_replace(col, f"{WS}+", " "), F.lit(" "))
 
 
 def normalize(col: Column, opts: BPEOptions) -> Column:
@@ -72,15 +75,15 @@ def chars(col: Column) -> Column:
 
 
 def word_tokens(normalized: Column, opts: BPEOptions) -> Column:
-    """Marker-segment split: per segment a marker, then words or single punctuation."""
-    m = opts.marker
-    segments = F.split(normalized, _lit_regex(m))
-    return F.flatten(
-        F.transform(
-            segments,
-            lambda s: F.concat(F.array(F.lit(m)), F.regexp_extract_all(s, F.lit(WORD_OR_PUNCT), F.lit(1))),
-        )
-    )
+    """Marker-segment split: per segment a marker, then words or single punctuation.
+
+    Written as one ``regexp_extract_all`` over ``marker + text``: every marker is its own
+    token and words and punctuation never contain it, which yields exactly one marker
+    before each segment (empty segments included) followed by that segment's tokens.
+    """
+    m = _lit_regex(opts.marker)
+    pattern = f"({m}|[{WORD_CHARS}&&[^{m}]]+|[^{WORD_CHARS}{WS_CHARS}{m}])"
+    return F.regexp_extract_all(F.concat(F.lit(opts.marker), normalized), F.lit(pattern), F.lit(1))
 
 
 def byte_string(col: Column) -> Column:

@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import json
 from bisect import bisect_right
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ from .symbols import line_sequence, word_sequences
 ENCODED_DDL = "ids array<int>, n_unknown int"
 UNKNOWN = -1  # id of a symbol outside the vocabulary; never part of a merge
 _CACHE_LIMIT = 1 << 18
+_EMPTY_WORDS = np.empty(0, dtype=object)
 
 
 class Encoder:
@@ -125,6 +127,43 @@ class Encoder:
         missing = sum(1 for t in merged if not 0 <= t < nv)
         return out, missing
 
+    def encode_word_batch(self, values) -> tuple[list, list]:
+        """Vectorised word-mode encode of a whole Arrow batch: factorise all word
+        occurrences (C speed), encode each distinct word once (memo), gather every
+        document's ids with numpy. Returns per-row id arrays and unknown counts."""
+        rows = list(values)
+        arrays = [np.asarray(a, dtype=object) if a is not None else _EMPTY_WORDS for a in rows]
+        lens = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
+        n_docs = len(arrays)
+        if lens.sum() == 0:
+            ids = [None if r is None else np.empty(0, np.int32) for r in rows]
+            return ids, [None if r is None else 0 for r in rows]
+        codes, uniq = pd.factorize(np.concatenate(arrays))
+        cache = self.cache
+        per_word = []
+        for w in uniq:
+            hit = cache.get(w)
+            if hit is None:
+                if len(cache) >= _CACHE_LIMIT:
+                    cache.clear()
+                hit = cache[w] = self.encode_symbols(w)
+            per_word.append(hit)
+        tl = np.fromiter((len(h[0]) for h in per_word), dtype=np.int64, count=len(per_word))
+        tok_flat = np.fromiter(chain.from_iterable(h[0] for h in per_word), dtype=np.int32, count=int(tl.sum()))
+        miss_w = np.fromiter((h[1] for h in per_word), dtype=np.int64, count=len(per_word))
+        tok_off = np.concatenate(([0], np.cumsum(tl)[:-1]))
+        occ_len = tl[codes]
+        occ_start = np.concatenate(([0], np.cumsum(occ_len)[:-1]))
+        idx = np.repeat(tok_off[codes] - occ_start, occ_len) + np.arange(int(occ_len.sum()))
+        ids_flat = tok_flat[idx]
+        doc_of = np.repeat(np.arange(n_docs), lens)
+        doc_tok = np.bincount(doc_of, weights=occ_len, minlength=n_docs).astype(np.int64)
+        doc_miss = np.bincount(doc_of, weights=miss_w[codes], minlength=n_docs).astype(np.int64)
+        parts = np.split(ids_flat, np.cumsum(doc_tok)[:-1])
+        ids = [None if r is None else p for r, p in zip(rows, parts)]
+        miss = [None if r is None else int(m) for r, m in zip(rows, doc_miss)]
+        return ids, miss
+
     def encode_words(self, words) -> tuple[list[int], int]:
         cache = self.cache
         out: list[int] = []
@@ -170,7 +209,10 @@ def _encode_udf(model: BPEModel, order: str, words: bool):
     @pandas_udf(ENCODED_DDL)
     def _encode(s: pd.Series) -> pd.DataFrame:
         enc = _encoder(key, payload, order)
-        fn = enc.encode_words if words else enc.encode_symbols
+        if words:
+            ids, miss = enc.encode_word_batch(s)
+            return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
+        fn = enc.encode_symbols
         ids, miss = [], []
         for v in s:
             if v is None:

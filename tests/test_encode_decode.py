@@ -102,3 +102,26 @@ def test_decode_by_join_equals_literal(spark, lines_df):
     a = {r.line_no: r.decoded for r in decode(enc, "ids", m).collect()}
     b = {r.line_no: r.decoded for r in decode_by_join(enc, "ids", m).collect()}
     assert a == b
+
+
+def test_word_batch_encode_equals_per_row():
+    import random
+
+    tokens = ["<unknown>", "_", "a", "b", "c", "ab", "abc"]
+    table = [(2, 3, 5), (5, 4, 6)]
+    rng = random.Random(5)
+    enc = Encoder(tokens, table, 0, "scan")
+    ref = Encoder(tokens, table, 0, "scan")
+    rows = []
+    for _ in range(200):
+        if rng.random() < 0.1:
+            rows.append(None)
+            continue
+        rows.append(["".join(rng.choice("abcx_") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 6))])
+    ids, miss = enc.encode_word_batch(rows)
+    for r, i, m in zip(rows, ids, miss):
+        if r is None:
+            assert i is None and m is None
+            continue
+        a, b = ref.encode_words(r)
+        assert list(i) == a and m == b
