@@ -65,8 +65,7 @@ def char_sequence_string(normalized: Column, opts: BPEOptions) -> Column:
     so leading, trailing and repeated markers vanish.
     """
     m = opts.marker
-    chunks = F.split(normalized, _lit_regex(m))
-    return F.array_join(F.filter(chunks, lambda x: x != F.lit("")), m)
+    return F.btrim(F.regexp_replace(normalized, _lit_regex(m) + "+", m.replace("\\", "\\\\").replace("$", "\\$")), F.lit(m))
 
 
 def chars(col: Column) -> Column:
