@@ -61,9 +61,24 @@ def _pair_keys(flat: np.ndarray, lengths: np.ndarray):
     return keys, inside[:-1]
 
 
+# Largest dense (left, right) table summed with bincount (2^22 float64 cells = 32 MB); a
+# larger id range falls back to sorting the keys.
+MAX_DENSE_PAIRS = 1 << 22
+
+
 def _sum_by_key(keys: np.ndarray, weights: np.ndarray):
+    """Distinct pair keys (ascending) and their summed weights."""
     if keys.size == 0:
         return keys, weights
+    left, right = keys >> 32, keys & 0xFFFFFFFF
+    width = int(right.max()) + 1
+    cells = (int(left.max()) + 1) * width
+    if cells <= MAX_DENSE_PAIRS:
+        # O(n) while the vocabulary is small (early rounds carry most of the data).
+        # Float sums are exact below 2^53, far above any partition's count.
+        sums = np.bincount(left * width + right, weights=weights, minlength=cells)
+        hit = np.flatnonzero(sums)
+        return ((hit // width) << 32) | (hit % width), sums[hit].astype(np.int64)
     order = np.argsort(keys)  # any order within equal keys will do: weights are summed
     ks = keys[order]
     starts = np.concatenate(([0], np.flatnonzero(np.diff(ks)) + 1))

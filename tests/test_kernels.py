@@ -77,3 +77,14 @@ def test_step_applies_then_counts(seqs, pair):
                 counts[(a, c)] += n
     assert state == expect_state
     assert counts == expect_counts
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([0, 5, 70_000, 3_000_000]), max_size=10), min_size=1, max_size=6))
+def test_count_pairs_large_ids_sort_path(seqs):
+    """Ids too far apart for the dense table take the sorting path; same counts."""
+    expect = Counter()
+    for s in seqs:
+        for a, b in zip(s, s[1:]):
+            expect[(a, b)] += 1
+    assert counts_of(K.count_pairs([batch_of(seqs)])) == expect
