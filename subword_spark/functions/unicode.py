@@ -32,8 +32,7 @@ def _udf(form: str, strip_accents: bool):
     def _unicode(s: pd.Series) -> pd.Series:
         return s.map(lambda t: normalize_one(t, form, strip_accents))
 
-    # Flagged non-deterministic only so that predicates are never rewritten to call it twice.
-    return _unicode.asNondeterministic()
+    return _unicode
 
 
 def _ranges_class(cps: list[int]) -> str:

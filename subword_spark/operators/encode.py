@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from .model import BPEModel
-from .symbols import line_sequence, word_sequences
+from .symbols import computed_once, line_sequence, word_sequences
 
 ENCODED_DDL = "ids array<int>, n_unknown int"
 UNKNOWN = -1  # id of a symbol outside the vocabulary; never part of a merge
@@ -225,10 +225,7 @@ def _encode_udf(model: BPEModel, order: str, words: bool):
             miss.append(m)
         return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
 
-    # Deterministic in fact; flagged otherwise so the optimizer never copies the call into
-    # a pushed-down predicate (e.g. explode's inferred size(ids) > 0 below a repartition),
-    # which would encode every row twice.
-    return _encode.asNondeterministic()
+    return _encode
 
 
 def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
@@ -253,7 +250,9 @@ def encode(
     """Add ``out_col`` (array<int>). Unknown symbols become the unknown token's id, or,
     with ``strict``, fail the job; ``unknown_col`` keeps the per-row count of them."""
     enc = f"__enc_{out_col}"
-    out = df.withColumn(enc, encode_column(F.col(text_col), model, order))
+    # Through a one-row generator: a filter on the result never re-runs the UDF, while
+    # filters on the other columns still reach the scan (see ``computed_once``).
+    out = computed_once(df, enc, encode_column(F.col(text_col), model, order))
     ids = F.col(f"{enc}.ids")
     if strict:
         ids = F.when(

@@ -40,11 +40,25 @@ def symbols(col: Column, opts: BPEOptions) -> Column:
     return T.chars(line_sequence(col, opts))
 
 
+def computed_once(df: DataFrame, name: str, expr: Column) -> DataFrame:
+    """Add column ``name`` = ``expr`` through a one-row generator.
+
+    When ``expr`` holds a Python UDF, a filter on a column derived from it (an explicit
+    one, or the ``size > 0`` Spark infers for ``explode``) is otherwise rewritten to call
+    the UDF a second time below the projection. A filter cannot move below a generator
+    whose output it reads, while filters on the other columns still pass it on their
+    way to the scan.
+    """
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def sequence_rows(df: DataFrame, col: str, opts: BPEOptions) -> DataFrame:
     """One row per symbol sequence of the corpus: ``seq string``."""
     if opts.unit == "word":
-        return df.select(F.explode(word_sequences(F.col(col), opts)).alias("seq"))
-    return df.select(line_sequence(F.col(col), opts).alias("seq"))
+        words = computed_once(df.select(col), "__words", word_sequences(F.col(col), opts))
+        return words.select(F.explode("__words").alias("seq"))
+    seqs = computed_once(df.select(col), "__seq", line_sequence(F.col(col), opts))
+    return seqs.select(F.col("__seq").alias("seq"))
 
 
 def weighted_sequences(lines: DataFrame, col: str, opts: BPEOptions) -> DataFrame:

@@ -38,7 +38,7 @@ from ..options import BPEOptions
 from ..session import ensure_checkpoint_dir
 from . import kernels
 from .model import BPEModel
-from .symbols import symbols, weighted_sequences
+from .symbols import computed_once, symbols, weighted_sequences
 from .vocab import full_byte_alphabet, initial_tokens, intern_state, observed_alphabet
 
 log = logging.getLogger(__name__)
@@ -69,7 +69,8 @@ def first_seen_symbols(lines: DataFrame, col: str, opts: BPEOptions, order_by: t
     map-side; the result is bounded by Unicode."""
     if not order_by:
         raise ValueError("tie_break='first_seen' needs the corpus order columns (order_by)")
-    exploded = lines.select(*order_by, F.posexplode(symbols(F.col(col), opts)).alias("pos", "sym"))
+    syms = computed_once(lines.select(*order_by, col), "__sym", symbols(F.col(col), opts))
+    exploded = syms.select(*order_by, F.posexplode("__sym").alias("pos", "sym"))
     first = exploded.groupBy("sym").agg(F.min(F.struct(*order_by, "pos")).alias("at"))
     return [r.sym for r in first.orderBy("at").collect()]
 

@@ -27,7 +27,7 @@ from ..operators.pairs import (
     top_pairs,
     update_pair_counts,
 )
-from ..operators.symbols import line_sequence, weighted_sequences, word_sequences
+from ..operators.symbols import computed_once, line_sequence, weighted_sequences, word_sequences
 from ..operators.train import train
 from ..operators.vocab import alphabet_df, id_lookup, initial_tokens, intern_column, intern_state, token_lookup
 from ..options import BPEOptions
@@ -179,7 +179,8 @@ def q_intern_sequences(spark, sf):
 
 def q_token_id_lookup(spark, sf):
     model = word_model(spark, sf)
-    toks = doc_lines(spark, sf).select(F.explode(word_sequences(F.col("line"), WORD)).alias("token"))
+    words = computed_once(doc_lines(spark, sf), "__w", word_sequences(F.col("line"), WORD))
+    toks = words.select(F.explode("__w").alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("token", "n", id_lookup(F.col("token"), model.tokens, unknown_id=-1).alias("token_id"))
 
