@@ -43,3 +43,19 @@ def test_hot_key_aggregations_combine_map_side(spark):
 def test_scan_prunes_columns(spark):
     plan = plan_of(C.q_baseline_counts(spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_filters_pass_the_udfs_and_udfs_run_once(spark):
+    from pyspark.sql import functions as F
+
+    from subword_spark.operators.encode import encode
+    from subword_spark.operators.model import BPEModel
+
+    m = BPEModel(options=C.WORD, tokens=list(C.WORD.specials) + list("abcdefghijklmnopqrstuvwxyz_"), merges=[])
+    docs = C.documents(spark, SF)
+    plan = plan_of(encode(docs, "text", m).where(F.col("doc_id") == 5))
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,5)]" in plan
+    plan = plan_of(encode(docs, "text", m, unknown_col="n_unknown").where(F.col("n_unknown") > 0))
+    assert plan.count("_encode(") == 1 and plan.count("_unicode(") == 1
+    plan = plan_of(weighted_sequences(C.doc_lines(spark, SF), "line", C.WORD))
+    assert plan.count("_unicode(") == 1
