@@ -51,6 +51,7 @@ class Encoder:
             self.merge_new.setdefault(key, n)
             self.ranks.setdefault(key, []).append(rank)
         self.cache: dict[str, tuple[list[int], int]] = {}
+        self.memo = True  # keep encoded words across batches (per worker process)
 
     # -- merge orders ---------------------------------------------------------------
     def _scan(self, ids: list[int]) -> list[int]:
@@ -139,7 +140,7 @@ class Encoder:
             ids = [None if r is None else np.empty(0, np.int32) for r in rows]
             return ids, [None if r is None else 0 for r in rows]
         codes, uniq = pd.factorize(np.concatenate(arrays))
-        cache = self.cache
+        cache = self.cache if self.memo else {}
         per_word = []
         for w in uniq:
             hit = cache.get(w)
@@ -182,13 +183,14 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(key: str, payload: str, order: str) -> Encoder:
+def _encoder(key: str, payload: str, order: str, memo: bool = True) -> Encoder:
     enc = _ENCODERS.get(key)
     if enc is None:
         d = json.loads(payload)
         enc = Encoder(d["tokens"], [tuple(x) for x in d["table"]], d["unknown_id"], order)
         _ENCODERS.clear()
         _ENCODERS[key] = enc
+    enc.memo = memo
     return enc
 
 
@@ -202,13 +204,13 @@ def model_payload(model: BPEModel) -> tuple[str, str]:
     return hashlib.sha1(payload.encode("utf-8")).hexdigest(), payload
 
 
-def _encode_udf(model: BPEModel, order: str, words: bool):
+def _encode_udf(model: BPEModel, order: str, words: bool, memo: bool = True):
     key, payload = model_payload(model)
     key = f"{key}-{order}"
 
     @pandas_udf(ENCODED_DDL)
     def _encode(s: pd.Series) -> pd.DataFrame:
-        enc = _encoder(key, payload, order)
+        enc = _encoder(key, payload, order, memo)
         if words:
             ids, miss = enc.encode_word_batch(s)
             return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
@@ -228,14 +230,15 @@ def _encode_udf(model: BPEModel, order: str, words: bool):
     return _encode
 
 
-def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
-    """``struct<ids array<int>, n_unknown int>`` of a text column."""
+def encode_column(col: Column, model: BPEModel, order: str = "scan", memo: bool = True) -> Column:
+    """``struct<ids array<int>, n_unknown int>`` of a text column. ``memo=False`` keeps no
+    encoded words across Arrow batches (each batch still encodes a repeated word once)."""
     if order not in ("scan", "rank"):
         raise ValueError("order must be 'scan' or 'rank'")
     opts = model.options
     if opts.unit == "word":
-        return _encode_udf(model, order, True)(word_sequences(col, opts))
-    return _encode_udf(model, order, False)(line_sequence(col, opts))
+        return _encode_udf(model, order, True, memo)(word_sequences(col, opts))
+    return _encode_udf(model, order, False, memo)(line_sequence(col, opts))
 
 
 def encode(
@@ -246,13 +249,14 @@ def encode(
     order: str = "scan",
     strict: bool = False,
     unknown_col: str | None = None,
+    memo: bool = True,
 ) -> DataFrame:
     """Add ``out_col`` (array<int>). Unknown symbols become the unknown token's id, or,
     with ``strict``, fail the job; ``unknown_col`` keeps the per-row count of them."""
     enc = f"__enc_{out_col}"
     # Through a one-row generator: a filter on the result never re-runs the UDF, while
     # filters on the other columns still reach the scan (see ``computed_once``).
-    out = computed_once(df, enc, encode_column(F.col(text_col), model, order))
+    out = computed_once(df, enc, encode_column(F.col(text_col), model, order, memo))
     ids = F.col(f"{enc}.ids")
     if strict:
         ids = F.when(
