@@ -7,11 +7,11 @@ import time
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import chars, n_chars, n_whitespace_words
+from ..functions.text import n_chars, n_whitespace_words
 from .decode import decode_column
 from .encode import encode
 from .model import BPEModel
-from .symbols import line_sequence, normalized, symbols
+from .symbols import normalized, symbols
 from .vocab import fits_literal, id_lookup, token_literal
 
 SECONDS_EPS = 1e-12
@@ -167,9 +167,7 @@ def measure_decoding_speed(encoded: DataFrame, model: BPEModel, ids_col: str = "
 
 
 __all__ = [
-    "chars",
     "compression_ratio",
-    "line_sequence",
     "measure_decoding_speed",
     "measure_encoding_speed",
     "reference_text",
