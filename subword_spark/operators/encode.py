@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from ..session import ship_package
 from .model import BPEModel
 from .symbols import computed_once, line_sequence, word_sequences
 
@@ -253,6 +254,7 @@ def encode(
 ) -> DataFrame:
     """Add ``out_col`` (array<int>). Unknown symbols become the unknown token's id, or,
     with ``strict``, fail the job; ``unknown_col`` keeps the per-row count of them."""
+    ship_package(df.sparkSession)
     enc = f"__enc_{out_col}"
     # Through a one-row generator: a filter on the result never re-runs the UDF, while
     # filters on the other columns still reach the scan (see ``computed_once``).

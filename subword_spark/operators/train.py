@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..options import BPEOptions
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from . import kernels
 from .model import BPEModel
 from .symbols import computed_once, symbols, weighted_sequences
@@ -161,6 +161,7 @@ def train(
     ``order_by`` names the corpus order, needed by ``tie_break='first_seen'``.
     """
     spark = lines.sparkSession
+    ship_package(spark)
     with private_checkpoints(spark):
         return _train(lines, col, opts, max_batch, order_by)
 

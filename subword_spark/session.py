@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -26,9 +27,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``subword_spark`` importable in the Python workers (``SparkContext.addPyFile``).
+
+    UDFs and ``mapInArrow`` functions refer to this package's modules by name; workers
+    that did not start from a directory holding it (any cluster, or a driver started
+    elsewhere) would fail to import them. The package is zipped once per process and
+    added once per application.
+    """
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship the package with the server's job config
+        return
+    if app in _SHIPPED:
+        return
+    global _ZIP
+    if _ZIP is None:
+        root = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="subword-pkg-"), "subword_spark.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for dirpath, dirnames, filenames in os.walk(root):
+                dirnames[:] = [d for d in dirnames if d != "__pycache__"]
+                for f in filenames:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        zf.write(full, os.path.join("subword_spark", os.path.relpath(full, root)))
+        _ZIP = out
+    sc.addPyFile(_ZIP)
+    _SHIPPED.add(app)
+
+
+_ZIP: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
