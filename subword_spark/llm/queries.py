@@ -6,7 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .simhash_dedup import simhash_dedup
 from .substring_dedup import substring_dedup
+from .toxicity import Fit, sample, score_toxicity, train
+
+
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
+    out = simhash_dedup(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def fold(col: str = "doc_id"):
+    """crc32 of the id as text, modulo 5; fold 0 is held out."""
+    return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a network that learns from the folds not held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    fit = Fit()
+    model = train(*sample(docs, labels.where(fold() != 0), "doc_id", "text", "toxic", fit), fit)
+    out = score_toxicity(docs, model)
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(fold("id") == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +47,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 

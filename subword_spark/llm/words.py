@@ -6,10 +6,12 @@ UTF-8 bytes gives the same words as cutting the characters.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -48,9 +50,20 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def split_words(texts: pa.Array) -> Words:
+def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``limit`` bytes of text each, or one row."""
+    ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = done = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
+        yield batch.slice(at, to - at)
+        at, done = to, int(ends[to - 1])
+
+
+def split_words(texts: pa.Array, space: np.ndarray = IS_SPACE) -> Words:
+    """Words of each text; ``space`` marks the bytes that part words."""
     data, offsets = utf8(texts)
-    word = ~IS_SPACE[data]
+    word = ~space[data]
     before = np.zeros(len(data), bool)
     before[1:] = word[:-1]
     after = np.zeros(len(data), bool)
@@ -72,11 +85,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_hashes(w: Words, seed: int) -> np.ndarray:
+def word_hashes(w: Words, seed: int, space: np.ndarray = IS_SPACE) -> np.ndarray:
     """A 64-bit hash per word, in byte slices of bounded size."""
     rng = np.random.default_rng(seed)
     value = rng.integers(1, 2**63, 256, dtype=np.uint64)
-    value[IS_SPACE] = 0
+    value[space] = 0
     step = np.uint64(int(rng.integers(1, 2**62)) * 2 + 1)
     out = np.empty(len(w.starts), np.uint64)
     i = 0
