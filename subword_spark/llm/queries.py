@@ -7,10 +7,17 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .simhash_dedup import simhash_dedup
+from .source_mixing import entropy_mix
 from .substring_dedup import substring_dedup
 from .toxicity import Fit, sample, score_toxicity, train
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed: sources weigh 5, 2, 1, repeating; no source over 3 times its size."""
+    out = entropy_mix(read(spark, sf_dir, "documents"), weights=(5, 2, 1), cap=3)
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     out = simhash_dedup(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -47,6 +54,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
