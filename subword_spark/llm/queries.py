@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from .bpe_codec import bpe_encode
+from .chat_format import format_trees, read_turns, unescape
 from .common import read
 from .simhash_dedup import simhash_dedup
 from .source_mixing import entropy_mix
 from .substring_dedup import substring_dedup
+from .suffix_repetition import quality_rules
 from .toxicity import Fit, sample, score_toxicity, train
 
 
@@ -28,6 +36,58 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _digest_turns(batches):
+    """Read formatted conversations back: their turns, and the text under the loss mask."""
+    for batch in batches:
+        out = {k: [] for k in ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
+        for formatted, spans in zip(batch["formatted"].to_pylist(), batch["loss_spans"].to_pylist()):
+            turns = read_turns(formatted)
+            learnt = "".join(unescape(formatted[s["start"] : s["end"]]) for s in spans)
+            out["n_turns"].append(len(turns))
+            out["turns_sha256"].append(hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest())
+            out["loss_chars"].append(len(learnt))
+            out["loss_sha256"].append(hashlib.sha256(learnt.encode()).hexdigest())
+            out["formatted_chars"].append(len(formatted))
+        yield pa.RecordBatch.from_pydict({"conv_id": batch["conv_id"]} | out)
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and conversation -7 as a reply tree (each turn answers the one
+    before), formatted, and read back from the formatted string."""
+    rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    node = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    messages = rows.union(own).withColumn("node", node).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
+    out = format_trees(messages)
+    return out.select("conv_id", "formatted", "loss_spans").mapInArrow(
+        _digest_turns, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    )
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document; repetition by suffix array."""
+    out = quality_rules(read(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_covered_words", "longest_repeat"
+    )
+
+
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and what they decode to."""
+    out = bpe_encode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True)
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def fold(col: str = "doc_id"):
     """crc32 of the id as text, modulo 5; fold 0 is held out."""
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
@@ -56,6 +116,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_chat_format": op4_chat_format,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_bpe_codec": op6_bpe_codec,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -9,7 +9,8 @@ join of these counts with the sources' lambdas and one aggregation; steps that l
 bracket around the root are replaced by bisection.
 
 Copies: rates become whole copies by systematic rounding along the sizes of a source, so the
-words taken differ from the target by at most the source's longest document.
+words taken differ from the target by at most the source's longest document; then a copy more
+or less of up to three documents per source takes most of that difference away.
 """
 
 from __future__ import annotations
@@ -93,6 +94,30 @@ def solve(counts: DataFrame, sources: DataFrame, cap: float, tolerance: float =
     return state.select("sid", "lam")
 
 
+def corrections(copied: DataFrame, sources: DataFrame, cap: float, rounds: int = 3) -> DataFrame:
+    """One copy more or less of up to ``rounds`` documents per source: ``uid, change``.
+
+    Each round takes, of the sizes that some document can still give or take, the one nearest
+    to what the source lacks or has too much; only if that brings it nearer to the target.
+    """
+    sizes = table(copied.groupBy("sid", "size").agg(F.min("copies").alias("least"), F.max("copies").alias("most"), F.sum("copies").alias("n")), "sizes")
+    taken = sizes.groupBy("sid").agg(F.sum(F.col("n") * F.col("size")).alias("taken"))
+    state = sources.join(taken, "sid").select("sid", (F.col("target") - F.col("taken")).alias("lack"), F.lit(None).cast("long").alias("last"))
+    picks = None
+    for _ in range(rounds):
+        able = F.when(F.col("lack") > 0, F.col("least") < cap).otherwise(F.col("most") > 0)
+        off = F.abs(F.abs("lack") - F.col("size"))
+        fit = sizes.join(state, "sid").where(able & (off < F.abs("lack")) & (F.col("size") < F.coalesce("last", F.col("size") + 1)))
+        best = fit.groupBy("sid").agg(F.min(F.struct(off.alias("off"), F.col("size"), F.col("lack"))).alias("b"))
+        change = F.signum("b.lack").cast("int")
+        best = table(best.select("sid", F.col("b.size").alias("size"), change.alias("change"), (F.col("b.lack") - change * F.col("b.size")).alias("lack")), "picks")
+        picks = best if picks is None else picks.union(best)
+        state = best.select("sid", "lack", F.col("size").alias("last"))
+    can = F.when(F.col("change") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
+    one = copied.join(picks.select("sid", "size", "change"), ["sid", "size"]).where(can)
+    return one.groupBy("sid", "size", "change").agg(F.min(F.struct("id", "uid")).alias("d")).select(F.col("d.uid").alias("uid"), "change")
+
+
 def entropy_mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -141,11 +166,14 @@ def entropy_mix(
     rank = F.row_number().over(Window.partitionBy("sid", "size", "part").orderBy(F.xxhash64("id"), "id", "uid"))
     frac = F.col("rate") - F.floor("rate")
     extra = F.floor(F.col("start") + F.col("rank") * frac) - F.floor(F.col("start") + (F.col("rank") - 1) * frac)
-    copied = (
+    copied = table(
         placed.withColumn("rank", rank)
         .join(here.select("sid", "size", "part", "start"), ["sid", "size", "part"])
-        .select("uid", "rate", (F.floor("rate") + extra).cast("int").alias("copies"))
+        .select("uid", "id", "sid", "size", "rate", (F.floor("rate") + extra).cast("int").alias("copies")),
+        "copied",
     )
+    changed = corrections(copied, sources, cap)
+    copied = copied.join(changed, "uid", "left").select("uid", "rate", (F.col("copies") + F.coalesce("change", F.lit(0))).alias("copies"))
     everything = sized.join(copied, "uid", "left").alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"))
     copies = F.coalesce("copies", F.lit(1))
     return everything.select(
