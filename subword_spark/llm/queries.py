@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from .bpe_codec import bpe_encode
 from .chat_format import format_trees, read_turns, unescape
 from .common import read
+from .mtree_search import quantize, top_k
 from .simhash_dedup import simhash_dedup
 from .source_mixing import entropy_mix
 from .substring_dedup import substring_dedup
@@ -26,6 +27,13 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op2_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every vector whose id is divisible by 50."""
+    vectors = quantize(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
+    out = top_k(vectors, vectors.where(F.col("id") % 50 == 0), 5)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     out = simhash_dedup(read(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -115,6 +123,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
+    "op2_mtree_top_k": op2_mtree_top_k,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
@@ -126,6 +135,14 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
+    "op2_mtree_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i]))::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""",
     "op10_substring_dedup": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
 win AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS k
