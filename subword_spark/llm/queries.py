@@ -18,6 +18,7 @@ from .simhash_dedup import simhash_dedup
 from .source_mixing import entropy_mix
 from .substring_dedup import substring_dedup
 from .suffix_repetition import quality_rules
+from .url_filter import filter_urls
 from .toxicity import Fit, sample, score_toxicity, train
 
 
@@ -101,6 +102,23 @@ def fold(col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
 
 
+#: Host, path and verdict of the URL rules (fixed values).
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules or, where none fits, by the language models."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    out = filter_urls(read(spark, sf_dir, "pages"), rules)
+    return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a network that learns from the folds not held out."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -128,6 +146,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe_codec": op6_bpe_codec,
+    "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
