@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from .bpe_codec import bpe_encode
 from .chat_format import format_trees, read_turns, unescape
 from .common import read
+from .license_scan import license_scan
 from .mtree_search import quantize, top_k
 from .simhash_dedup import simhash_dedup
 from .source_mixing import entropy_mix
@@ -102,6 +103,11 @@ def fold(col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(5))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return license_scan(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 #: Host, path and verdict of the URL rules (fixed values).
 URL_RULES = [
     ("org", "/", "allow"),
@@ -146,6 +152,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_license_scan": op7_license_scan,
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
