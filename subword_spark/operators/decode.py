@@ -1,70 +1,75 @@
-"""Decode token-id columns back to text, natively.
+"""Decode token-id columns back to text.
 
-The vocabulary is one constant ``array<string>`` in the plan (the model is bounded by its
-target size), so decoding is a ``transform`` inside whole-stage codegen: no Python, no
-shuffle, no regrouping of token rows.
+One plan at every vocabulary size: an Arrow UDF gathers the tokens' bytes of a whole batch
+through an offset table (numpy, no per-token Python), and the text steps after it are native.
+The vocabulary travels once per Python worker inside the function and is bounded by the
+model. Decoding is narrow: rows are never split, moved or joined.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from ..functions.text import bytes_to_text
+from ..session import ship_package
 from .model import BPEModel
-from .vocab import fits_literal, token_lookup
 
 
-def tokens_column(ids: Column, model: BPEModel, strict: bool = True) -> Column:
-    """``array<string>`` of tokens; an id outside the vocabulary raises when strict."""
-    return F.transform(ids, lambda i: token_lookup(i, model.tokens, strict))
+def _gather(tokens: list[bytes], strict: bool):
+    """``array<int>`` -> joined token bytes. A bad id raises, or (lenient) makes its row null."""
+    at = np.concatenate(([0], np.cumsum([len(t) for t in tokens]))).astype(np.int64)
+    data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    @arrow_udf("binary")
+    def _decode(ids: pa.Array) -> pa.Array:
+        size = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = ids.flatten()
+        known = flat.is_valid().to_numpy(zero_copy_only=False)
+        flat = flat.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        known &= (flat >= 0) & (flat < len(tokens))
+        bad = np.zeros(len(ids), bool)
+        if not known.all():
+            if strict:
+                raise ValueError(f"no token has the id {flat[~known][0]}")
+            np.logical_or.at(bad, np.repeat(np.arange(len(ids)), size)[~known], True)
+            flat = np.where(known, flat, 0)
+        start = at[flat]
+        length = np.where(known, at[flat + 1] - start, 0)
+        ends = np.concatenate(([0], np.cumsum(length)))
+        out = data[np.arange(ends[-1]) + np.repeat(start - ends[:-1], length)]
+        rows = ends[np.concatenate(([0], np.cumsum(size)))]
+        valid = ids.is_valid().to_numpy(zero_copy_only=False) & ~bad
+        made = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ids), [pa.py_buffer(np.packbits(valid, bitorder="little").tobytes()), pa.py_buffer(rows.astype(np.int64).tobytes()), pa.py_buffer(out.tobytes())]
+        )
+        return made.cast(pa.binary())
+
+    return _decode
 
 
 def decode_column(ids: Column, model: BPEModel, strict: bool = True) -> Column:
-    """Character mode: join tokens, marker -> space. Byte mode: tokens are bytes; the
-    joined bytes must be valid UTF-8 (strict raises ``MALFORMED_CHARACTER_CODING``;
-    otherwise invalid text gives null)."""
+    """Text of an id column; null ids give null at every vocabulary size.
+
+    Character mode: joined tokens, marker -> space; word mode drops the one marker that
+    word splitting puts before the first word. Byte mode: the joined bytes must be valid
+    UTF-8 (strict raises, otherwise invalid text gives null).
+    """
     opts = model.options
-    joined = F.array_join(tokens_column(ids, model, strict), "")
     if opts.is_bytes:
-        if strict:
-            return bytes_to_text(joined)
-        return F.try_validate_utf8(F.encode(joined, "ISO-8859-1").cast("string"))
+        raw = _gather([t.encode("latin-1", "replace") for t in model.tokens], strict)(ids).cast("string")
+        return F.validate_utf8(raw) if strict else F.try_validate_utf8(raw)
+    text = _gather([t.encode("utf-8") for t in model.tokens], strict)(ids).cast("string")
+    if opts.unit == "word":
+        text = F.when(F.startswith(text, F.lit(opts.marker)), F.substring(text, 2, 2**31 - 1)).otherwise(text)
     if opts.add_visible_space:
-        joined = F.replace(joined, F.lit(opts.marker), F.lit(" "))
-    return joined
+        text = F.replace(text, F.lit(opts.marker), F.lit(" "))
+    return text
 
 
 def decode(df: DataFrame, ids_col: str, model: BPEModel, out_col: str = "decoded", strict: bool = True) -> DataFrame:
-    """Add ``out_col``; the vocabulary is a plan constant up to ``MAX_LITERAL_TOKENS`` tokens,
-    beyond that the ids are joined with the vocabulary table."""
-    if fits_literal(model.tokens):
-        return df.withColumn(out_col, decode_column(F.col(ids_col), model, strict))
-    return decode_by_join(df, ids_col, model, out_col, strict)
-
-
-def decode_by_join(df: DataFrame, ids_col: str, model: BPEModel, out_col: str = "decoded", strict: bool = True) -> DataFrame:
-    """Decode through an equi-join with the vocabulary table (for vocabularies too large to
-    ship as a constant). Tokens of one row are regrouped by the row's own key, so no group
-    is larger than the row that was already there."""
-    opts = model.options
-    keyed = df.withColumn("__row", F.monotonically_increasing_id())
-    toks = keyed.select("__row", F.posexplode(ids_col).alias("__pos", "token_id"))
-    vocab = model.vocab_df(df.sparkSession).select("token_id", "token")
-    joined = toks.join(vocab, "token_id", "left")
-    tok = F.col("token")
-    if strict:
-        tok = F.when(tok.isNull(), F.raise_error(F.concat(F.lit("ID "), F.col("token_id").cast("string"), F.lit(" not in vocabulary")))).otherwise(tok)
-    parts = joined.select("__row", F.struct(F.col("__pos"), tok.alias("t")).alias("p"))
-    text = parts.groupBy("__row").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda x: x["t"]), "").alias("__joined")
-    )
-    out = keyed.join(text, "__row", "left").withColumn("__joined", F.coalesce("__joined", F.lit("")))
-    joined_text = F.col("__joined")
-    if opts.is_bytes:
-        res = bytes_to_text(joined_text) if strict else F.try_validate_utf8(F.encode(joined_text, "ISO-8859-1").cast("string"))
-    elif opts.add_visible_space:
-        res = F.replace(joined_text, F.lit(opts.marker), F.lit(" "))
-    else:
-        res = joined_text
-    return out.withColumn(out_col, res).drop("__row", "__joined")
+    """Add ``out_col``, the decoded text of ``ids_col``."""
+    ship_package(df.sparkSession)
+    return df.withColumn(out_col, decode_column(F.col(ids_col), model, strict))

@@ -2,8 +2,8 @@
 
 Pretokenisation is a native column expression; the merge step is sequential per row, so it
 runs in an Arrow-batched pandas UDF holding the model (bounded by the vocabulary size).
-The operator is narrow: no shuffle, one pass, and in ``unit='word'`` every Python worker
-keeps a bounded memo of encoded words, so frequent words cost one dict lookup.
+The operator is narrow: no shuffle, one pass. An Arrow batch is worked on in slices of bounded
+text; each distinct word or line of a slice is encoded once.
 
 ``order='scan'`` is the reference tokenizer's left-to-right scan (a shift-reduce stack, O(n));
 ``order='rank'`` replays merges by rank, each over all occurrences, left to right
@@ -29,7 +29,8 @@ from .symbols import computed_once, line_sequence, word_sequences
 
 ENCODED_DDL = "ids array<int>, n_unknown int"
 UNKNOWN = -1  # id of a symbol outside the vocabulary; never part of a merge
-_CACHE_LIMIT = 1 << 18
+# Characters of sequence text that one numpy step holds; a longer row is its own slice.
+MAX_SLICE_CHARS = 1 << 22
 _EMPTY_WORDS = np.empty(0, dtype=object)
 
 
@@ -51,8 +52,6 @@ class Encoder:
             key = (l << 32) | r
             self.merge_new.setdefault(key, n)
             self.ranks.setdefault(key, []).append(rank)
-        self.cache: dict[str, tuple[list[int], int]] = {}
-        self.memo = True  # keep encoded words across batches (per worker process)
 
     # -- merge orders ---------------------------------------------------------------
     def _scan(self, ids: list[int]) -> list[int]:
@@ -129,69 +128,61 @@ class Encoder:
         missing = sum(1 for t in merged if not 0 <= t < nv)
         return out, missing
 
-    def encode_word_batch(self, values) -> tuple[list, list]:
-        """Vectorised word-mode encode of a whole Arrow batch: factorise all word
-        occurrences (C speed), encode each distinct word once (memo), gather every
-        document's ids with numpy. Returns per-row id arrays and unknown counts."""
+    def encode_batch(self, values, words: bool) -> tuple[list, list]:
+        """Id arrays and unknown counts of rows of sequence strings (``words``: of lists of
+        them), slice by slice."""
         rows = list(values)
-        arrays = [np.asarray(a, dtype=object) if a is not None else _EMPTY_WORDS for a in rows]
+        size = [0 if r is None else sum(map(len, r)) + len(r) if words else len(r) for r in rows]
+        ids: list = []
+        miss: list = []
+        lo = 0
+        while lo < len(rows):
+            hi, chars = lo + 1, size[lo]
+            while hi < len(rows) and chars + size[hi] <= MAX_SLICE_CHARS:
+                chars += size[hi]
+                hi += 1
+            a, b = self._encode_slice(rows[lo:hi], words)
+            ids += a
+            miss += b
+            lo = hi
+        return ids, miss
+
+    def _encode_slice(self, rows: list, words: bool) -> tuple[list, list]:
+        """Factorise all sequences of a slice, encode each distinct one once, and gather every
+        row's ids with numpy."""
+        if words:
+            arrays = [np.asarray(r, dtype=object) if r is not None else _EMPTY_WORDS for r in rows]
+        else:
+            arrays = [np.array([r], dtype=object) if r is not None else _EMPTY_WORDS for r in rows]
         lens = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
-        n_docs = len(arrays)
         if lens.sum() == 0:
-            ids = [None if r is None else np.empty(0, np.int32) for r in rows]
-            return ids, [None if r is None else 0 for r in rows]
+            return [None if r is None else np.empty(0, np.int32) for r in rows], [None if r is None else 0 for r in rows]
         codes, uniq = pd.factorize(np.concatenate(arrays))
-        cache = self.cache if self.memo else {}
-        per_word = []
-        for w in uniq:
-            hit = cache.get(w)
-            if hit is None:
-                if len(cache) >= _CACHE_LIMIT:
-                    cache.clear()
-                hit = cache[w] = self.encode_symbols(w)
-            per_word.append(hit)
-        tl = np.fromiter((len(h[0]) for h in per_word), dtype=np.int64, count=len(per_word))
-        tok_flat = np.fromiter(chain.from_iterable(h[0] for h in per_word), dtype=np.int32, count=int(tl.sum()))
-        miss_w = np.fromiter((h[1] for h in per_word), dtype=np.int64, count=len(per_word))
-        tok_off = np.concatenate(([0], np.cumsum(tl)[:-1]))
+        per_seq = [self.encode_symbols(w) for w in uniq]
+        tl = np.fromiter((len(h[0]) for h in per_seq), dtype=np.int64, count=len(per_seq))
+        flat = np.fromiter(chain.from_iterable(h[0] for h in per_seq), dtype=np.int32, count=int(tl.sum()))
+        lost = np.fromiter((h[1] for h in per_seq), dtype=np.int64, count=len(per_seq))
+        at = np.concatenate(([0], np.cumsum(tl)[:-1]))
         occ_len = tl[codes]
         occ_start = np.concatenate(([0], np.cumsum(occ_len)[:-1]))
-        idx = np.repeat(tok_off[codes] - occ_start, occ_len) + np.arange(int(occ_len.sum()))
-        ids_flat = tok_flat[idx]
-        doc_of = np.repeat(np.arange(n_docs), lens)
-        doc_tok = np.bincount(doc_of, weights=occ_len, minlength=n_docs).astype(np.int64)
-        doc_miss = np.bincount(doc_of, weights=miss_w[codes], minlength=n_docs).astype(np.int64)
-        parts = np.split(ids_flat, np.cumsum(doc_tok)[:-1])
-        ids = [None if r is None else p for r, p in zip(rows, parts)]
-        miss = [None if r is None else int(m) for r, m in zip(rows, doc_miss)]
-        return ids, miss
-
-    def encode_words(self, words) -> tuple[list[int], int]:
-        cache = self.cache
-        out: list[int] = []
-        missing = 0
-        for w in words:
-            hit = cache.get(w)
-            if hit is None:
-                if len(cache) >= _CACHE_LIMIT:
-                    cache.clear()
-                hit = cache[w] = self.encode_symbols(w)
-            out.extend(hit[0])
-            missing += hit[1]
-        return out, missing
+        gathered = flat[np.repeat(at[codes] - occ_start, occ_len) + np.arange(int(occ_len.sum()))]
+        row_at = np.concatenate(([0], np.cumsum(lens)))
+        tokens = np.concatenate(([0], np.cumsum(occ_len)))[row_at]
+        missing = np.concatenate(([0], np.cumsum(lost[codes])))[row_at]
+        ids = [None if r is None else gathered[tokens[i] : tokens[i + 1]] for i, r in enumerate(rows)]
+        return ids, [None if r is None else int(missing[i + 1] - missing[i]) for i, r in enumerate(rows)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(key: str, payload: str, order: str, memo: bool = True) -> Encoder:
+def _encoder(key: str, payload: str, order: str) -> Encoder:
     enc = _ENCODERS.get(key)
     if enc is None:
         d = json.loads(payload)
         enc = Encoder(d["tokens"], [tuple(x) for x in d["table"]], d["unknown_id"], order)
         _ENCODERS.clear()
         _ENCODERS[key] = enc
-    enc.memo = memo
     return enc
 
 
@@ -205,41 +196,26 @@ def model_payload(model: BPEModel) -> tuple[str, str]:
     return hashlib.sha1(payload.encode("utf-8")).hexdigest(), payload
 
 
-def _encode_udf(model: BPEModel, order: str, words: bool, memo: bool = True):
+def _encode_udf(model: BPEModel, order: str, words: bool):
     key, payload = model_payload(model)
     key = f"{key}-{order}"
 
     @pandas_udf(ENCODED_DDL)
     def _encode(s: pd.Series) -> pd.DataFrame:
-        enc = _encoder(key, payload, order, memo)
-        if words:
-            ids, miss = enc.encode_word_batch(s)
-            return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
-        fn = enc.encode_symbols
-        ids, miss = [], []
-        for v in s:
-            if v is None:
-                ids.append(None)
-                miss.append(None)
-                continue
-            a, m = fn(v)
-            # int32 arrays, not Python int lists: 4 bytes per token while the batch is held.
-            ids.append(np.asarray(a, dtype=np.int32))
-            miss.append(m)
+        ids, miss = _encoder(key, payload, order).encode_batch(s, words)
         return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
 
     return _encode
 
 
-def encode_column(col: Column, model: BPEModel, order: str = "scan", memo: bool = True) -> Column:
-    """``struct<ids array<int>, n_unknown int>`` of a text column. ``memo=False`` keeps no
-    encoded words across Arrow batches (each batch still encodes a repeated word once)."""
+def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
+    """``struct<ids array<int>, n_unknown int>`` of a text column."""
     if order not in ("scan", "rank"):
         raise ValueError("order must be 'scan' or 'rank'")
     opts = model.options
     if opts.unit == "word":
-        return _encode_udf(model, order, True, memo)(word_sequences(col, opts))
-    return _encode_udf(model, order, False, memo)(line_sequence(col, opts))
+        return _encode_udf(model, order, True)(word_sequences(col, opts))
+    return _encode_udf(model, order, False)(line_sequence(col, opts))
 
 
 def encode(
@@ -250,7 +226,6 @@ def encode(
     order: str = "scan",
     strict: bool = False,
     unknown_col: str | None = None,
-    memo: bool = True,
 ) -> DataFrame:
     """Add ``out_col`` (array<int>). Unknown symbols become the unknown token's id, or,
     with ``strict``, fail the job; ``unknown_col`` keeps the per-row count of them."""
@@ -258,7 +233,7 @@ def encode(
     enc = f"__enc_{out_col}"
     # Through a one-row generator: a filter on the result never re-runs the UDF, while
     # filters on the other columns still reach the scan (see ``computed_once``).
-    out = computed_once(df, enc, encode_column(F.col(text_col), model, order, memo))
+    out = computed_once(df, enc, encode_column(F.col(text_col), model, order))
     ids = F.col(f"{enc}.ids")
     if strict:
         ids = F.when(

@@ -77,51 +77,62 @@ def test_bad_ids_and_bad_utf8(spark):
         df = spark.createDataFrame([(bad,)], "ids array<int>")
         with pytest.raises(Exception):
             df.select(decode_column(F.col("ids"), m)).collect()
-    df = spark.createDataFrame([([m.get_id(chr(0xFF))],)], "ids array<int>")
-    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+    df = spark.createDataFrame([([m.token_to_id[chr(0xFF)]],)], "ids array<int>")
+    with pytest.raises(Exception, match="INVALID_UTF8"):
         df.select(decode_column(F.col("ids"), m)).collect()
     assert df.select(decode_column(F.col("ids"), m, strict=False).alias("d")).first().d is None
 
 
 def test_word_unit_roundtrip(spark, lines_df):
+    from subword_spark.operators.metrics import roundtrip_report
     from subword_spark.operators.train import train
 
-    df = lines_df(["the cat, the hat.", "a cat  sat"])
+    df = lines_df(["the cat, the hat.", "a cat  sat", ", leading", "", "_mark _ed"])
     m = train(df, "line", BPEOptions(unit="word", minimum_pair_frequency=1, max_merges=10))
-    rows = decode(encode(df, "line", m), "ids", m).collect()
-    assert [r.decoded for r in rows] == [" the cat, the hat.", " a cat sat"]
+    rows = {r.line: r.decoded for r in decode(encode(df, "line", m), "ids", m).collect()}
+    assert [rows[t] for t in ("the cat, the hat.", "a cat  sat", ", leading", "")] == ["the cat, the hat.", "a cat sat", ", leading", ""]
+    report = roundtrip_report(df, "line", m).first()
+    assert (report.n_lines, report.n_skipped, report.n_mismatched, report.accuracy) == (5, 0, 0, 1.0)
 
 
-def test_decode_by_join_equals_literal(spark, lines_df):
-    from subword_spark.operators.decode import decode_by_join
-    from subword_spark.operators.train import train
-
-    df = lines_df(["hello world", "hello there", "", "world peace"])
-    m = train(df, "line", BPEOptions(max_merges=6))
-    enc = encode(df, "line", m)
-    a = {r.line_no: r.decoded for r in decode(enc, "ids", m).collect()}
-    b = {r.line_no: r.decoded for r in decode_by_join(enc, "ids", m).collect()}
-    assert a == b
+def test_word_unit_needs_markers():
+    with pytest.raises(ValueError):
+        BPEOptions(unit="word", add_visible_space=False)
 
 
-def test_word_batch_encode_equals_per_row():
+def test_decode_behind_a_pruned_repartition(spark):
+    """Every row gets its own text, with null, empty and bad ids, however rows are dealt."""
+    m = byte_model()
+    known = m.token_to_id
+    rows = [(i, None if i % 7 == 0 else [] if i % 7 == 1 else [known[c] for c in f"text {i}"], "pad" * i) for i in range(400)]
+    df = spark.createDataFrame(rows, "i int, ids array<int>, pad string").repartition(8)
+    got = {r.i: r.decoded for r in decode(df, "ids", m).select("i", "decoded").collect()}
+    assert got == {i: None if ids is None else f"text {i}" if ids else "" for i, ids, _ in rows}
+    bad = df.withColumn("ids", F.when(F.col("i") % 5 == 0, F.array(F.lit(-1))).when(F.col("i") % 5 == 1, F.array(F.lit(None).cast("int"))).otherwise(F.col("ids")))
+    lenient = {r.i: r.decoded for r in decode(bad, "ids", m, strict=False).select("i", "decoded").collect()}
+    assert lenient == {i: None if i % 5 < 2 else got[i] for i in got}
+    with pytest.raises(Exception, match="no token has the id"):
+        decode(bad, "ids", m).select("decoded").collect()
+
+
+@pytest.mark.parametrize("words", [True, False])
+def test_batch_encode_equals_per_row(words, monkeypatch):
     import random
 
+    from subword_spark.operators import encode as E
+
     tokens = ["<unknown>", "_", "a", "b", "c", "ab", "abc"]
     table = [(2, 3, 5), (5, 4, 6)]
     rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcx_") for _ in range(rng.randint(1, 5)))
+    rows = [None if rng.random() < 0.1 else [word() for _ in range(rng.randint(0, 6))] if words else word() for _ in range(200)]
     enc = Encoder(tokens, table, 0, "scan")
-    ref = Encoder(tokens, table, 0, "scan")
-    rows = []
-    for _ in range(200):
-        if rng.random() < 0.1:
-            rows.append(None)
-            continue
-        rows.append(["".join(rng.choice("abcx_") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 6))])
-    ids, miss = enc.encode_word_batch(rows)
-    for r, i, m in zip(rows, ids, miss):
-        if r is None:
-            assert i is None and m is None
-            continue
-        a, b = ref.encode_words(r)
-        assert list(i) == a and m == b
+    for limit in (1 << 22, 10, 1):
+        monkeypatch.setattr(E, "MAX_SLICE_CHARS", limit)
+        ids, miss = enc.encode_batch(rows, words)
+        for r, i, m in zip(rows, ids, miss, strict=True):
+            if r is None:
+                assert i is None and m is None
+                continue
+            parts = [enc.encode_symbols(w) for w in (r if words else [r])]
+            assert list(i) == [t for p, _ in parts for t in p] and m == sum(n for _, n in parts)
