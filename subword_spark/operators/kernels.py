@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-STATE_SCHEMA = pa.schema([("seq", pa.list_(pa.int32())), ("weight", pa.int64())])
 PAIR_SCHEMA = pa.schema([("l", pa.int32()), ("r", pa.int32()), ("cnt", pa.int64())])
 # Most symbols one numpy step holds (int64 keys, masks, sort): bounds Python worker memory
 # whatever the Arrow batch size and line lengths are. A single longer row is its own slice.
@@ -61,28 +60,29 @@ def _pair_keys(flat: np.ndarray, lengths: np.ndarray):
     return keys, inside[:-1]
 
 
-# Largest dense (left, right) table summed with bincount (2^22 float64 cells = 32 MB); a
-# larger id range falls back to sorting the keys.
+# Largest dense (left, right) table summed with bincount (2^22 float64 cells = 32 MB), and
+# the largest total for which its float64 sums are exact; the sort sums integers otherwise.
 MAX_DENSE_PAIRS = 1 << 22
+MAX_EXACT_TOTAL = 1 << 53
 
 
 def _sum_by_key(keys: np.ndarray, weights: np.ndarray):
-    """Distinct pair keys (ascending) and their summed weights."""
+    """Distinct pair keys (ascending) and their summed weights, without those that sum to 0."""
     if keys.size == 0:
         return keys, weights
     left, right = keys >> 32, keys & 0xFFFFFFFF
     width = int(right.max()) + 1
     cells = (int(left.max()) + 1) * width
-    if cells <= MAX_DENSE_PAIRS:
+    if cells <= MAX_DENSE_PAIRS and int(np.abs(weights).max()) * weights.size < MAX_EXACT_TOTAL:
         # O(n) while the vocabulary is small (early rounds carry most of the data).
-        # Float sums are exact below 2^53, far above any partition's count.
         sums = np.bincount(left * width + right, weights=weights, minlength=cells)
         hit = np.flatnonzero(sums)
         return ((hit // width) << 32) | (hit % width), sums[hit].astype(np.int64)
     order = np.argsort(keys)  # any order within equal keys will do: weights are summed
     ks = keys[order]
     starts = np.concatenate(([0], np.flatnonzero(np.diff(ks)) + 1))
-    return ks[starts], np.add.reduceat(weights[order], starts)
+    sums = np.add.reduceat(weights[order], starts)
+    return ks[starts][sums != 0], sums[sums != 0]
 
 
 def _pairs_batch(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
@@ -169,15 +169,6 @@ def with_seq(batch: pa.RecordBatch, flat: np.ndarray, lengths: np.ndarray) -> pa
     return pa.RecordBatch.from_arrays(cols, names=names)
 
 
-def state_batch(flat: np.ndarray, lengths: np.ndarray, weights: np.ndarray, min_len: int = 2) -> pa.RecordBatch:
-    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    seq = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-    batch = pa.RecordBatch.from_arrays([seq, pa.array(weights.astype(np.int64))], schema=STATE_SCHEMA)
-    if min_len > 0:
-        batch = batch.filter(pa.array(lengths >= min_len))
-    return batch
-
-
 def intern(batches, code_points: np.ndarray, ids: np.ndarray, min_len: int = 2, keep_text: bool = False):
     """Sequence strings -> id arrays through the alphabet (code points sorted).
 
@@ -221,56 +212,61 @@ _STEP_SCHEMA = pa.schema(
 
 
 def step(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len: int = 2):
-    """One training round in one pass: apply the batch's merges, then count the pairs of
-    the result. Emits state rows (``kind`` 0: seq, weight) and partial pair counts
-    (``kind`` 1: l, r, cnt) in one schema, so the state is read by Python once per round."""
+    """One training round in one pass: apply the batch's merges and count what they change.
+
+    Emits state rows (``kind`` 0: seq, weight) and signed changes of pair counts (``kind`` 1:
+    l, r, cnt). Only rows that hold a merged pair are counted, before and after: the pass
+    costs one look at every symbol, and sums in proportion to the rows that change."""
     for batch in slices(batches):
         flat, lengths, weights = _flat(batch)
         keys, inside = _pair_keys(flat, lengths)
         pos, which = merge_positions(keys, inside, batch_keys)
+        pk, sums = np.empty(0, np.int64), np.empty(0, np.int64)
         if pos.size:
+            seq_of = np.repeat(np.arange(lengths.size), lengths)
+            lost = np.bincount(seq_of[pos], minlength=lengths.size)
+            touched = lost > 0
+            was = inside & touched[seq_of[:-1]]
+            before, gone = keys[was], -weights[seq_of[:-1][was]]
             flat = flat.copy()
             flat[pos] = new_ids[which]
             keep = np.ones(flat.size, bool)
             keep[pos + 1] = False
-            seq_of = np.repeat(np.arange(lengths.size), lengths)
-            lengths = lengths - np.bincount(seq_of[pos], minlength=lengths.size)
-            flat = flat[keep]
+            flat, seq_of, lengths = flat[keep], seq_of[keep], lengths - lost
             keys, inside = _pair_keys(flat, lengths)
-        if keys.size:
-            w = np.repeat(weights, lengths)[:-1]
-            pk, sums = _sum_by_key(keys[inside], w[inside])
-        else:
-            pk, sums = np.empty(0, np.int64), np.empty(0, np.int64)
+            now = inside & touched[seq_of[:-1]] if keys.size else inside
+            pk, sums = _sum_by_key(np.concatenate((before, keys[now])), np.concatenate((gone, weights[seq_of[:-1][now]])))
         live = lengths >= min_len
         if not np.all(live):
             flat = flat[np.repeat(live, lengths)]
             lengths, weights = lengths[live], weights[live]
         n_state, n_pairs = int(lengths.size), int(pk.size)
-        offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-        state = pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.zeros(n_state, np.int8)),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32))),
-                pa.array(weights.astype(np.int64)),
-                pa.nulls(n_state, pa.int32()),
-                pa.nulls(n_state, pa.int32()),
-                pa.nulls(n_state, pa.int64()),
-            ],
-            schema=_STEP_SCHEMA,
-        )
-        pairs = pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.ones(n_pairs, np.int8)),
-                pa.nulls(n_pairs, pa.list_(pa.int32())),
-                pa.nulls(n_pairs, pa.int64()),
-                pa.array((pk >> 32).astype(np.int32)),
-                pa.array((pk & 0xFFFFFFFF).astype(np.int32)),
-                pa.array(sums.astype(np.int64)),
-            ],
-            schema=_STEP_SCHEMA,
-        )
         if n_state:
-            yield state
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            seq = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
+            yield _step_batch(n_state, 0, {"seq": seq, "weight": pa.array(weights.astype(np.int64))})
         if n_pairs:
-            yield pairs
+            yield _step_batch(n_pairs, 1, {"l": pa.array((pk >> 32).astype(np.int32)), "r": pa.array((pk & 0xFFFFFFFF).astype(np.int32)), "cnt": pa.array(sums.astype(np.int64))})
+
+
+def _step_batch(n: int, kind: int, cols: dict) -> pa.RecordBatch:
+    """A batch of the step's schema: the given columns, nulls elsewhere."""
+    cols = {"kind": pa.array(np.full(n, kind, np.int8))} | cols
+    return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(n, f.type) for f in _STEP_SCHEMA], schema=_STEP_SCHEMA)
+
+
+def first_positions(batches, order_by: tuple[str, ...], schema: pa.Schema):
+    """The first place of each symbol in a batch: ``sym, at`` (order columns and position).
+
+    Each row contributes a symbol once, each batch again once, so that what leaves the task
+    is bounded by the alphabet and not by the text."""
+    for batch in batches:
+        rows = list(zip(*(batch.column(c).to_pylist() for c in order_by)))
+        best: dict[str, tuple] = {}
+        for key, text in zip(rows, batch.column("seq").to_pylist()):
+            for sym in dict.fromkeys(text or ""):
+                at = (*key, text.index(sym))
+                if sym not in best or at < best[sym]:
+                    best[sym] = at
+        cols = [list(best)] + [[v[i] for v in best.values()] for i in range(len(order_by) + 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import chars
 from . import kernels
-from .train import PAIR_DDL, pair_counts, top_pairs  # noqa: F401  (re-exported)
+from .train import PAIR_DDL
 
 
 def adjacent_pairs(seq: Column) -> Column:

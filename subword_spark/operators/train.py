@@ -1,18 +1,21 @@
 """Distributed BPE training.
 
-State: one row per distinct symbol sequence, ``(seq array<int>, weight bigint)``, cached
-on the executors. Each round is one Spark job:
-
-1. one ``mapInArrow`` pass (``kernels.step``) applies the previous round's batch to every
-   row in one vectorised sweep, drops rows left without pairs, and counts the pairs of
-   the result per Arrow slice; state rows and partial counts come out as one cached table;
-2. ``groupBy(l, r).sum`` of the partial counts (map-side combine, one shuffle of distinct
-   pairs only), ``orderBy(cnt desc, l, r).limit(N)`` to the driver;
-3. the driver picks a *safe batch* from those N pairs (see ``choose_batch``), shipped (at
-   most N pairs) in the closure of the next round's pass.
-
-Lineage is cut every ``checkpoint_every`` rounds with a reliable ``checkpoint()`` into the
-session's checkpoint folder, so a lost executor recomputes a few rounds at most.
+State: one row per distinct symbol sequence, ``(seq array<int>, weight bigint)``, and one
+row per distinct pair, ``(l, r, cnt)``. Pairs are counted once, over the initial state. Then
+each round is one Spark job:
+
+1. ``orderBy(cnt desc, l, r).limit(N)`` of the pair counts to the driver, which picks a *safe
+   batch* from those N pairs (see ``choose_batch``);
+2. one ``mapInArrow`` pass (``kernels.step``) applies the batch to every row in one vectorised
+   sweep, drops rows left without pairs, and emits signed changes of the pair counts, which
+   only rows that hold a merged pair cause;
+3. the new counts are the old ones and the changes, summed by pair (map-side combine, one
+   shuffle of distinct pairs only).
+
+Every ``checkpoint_every`` rounds state and counts are written as Parquet under the shared
+checkpoint folder and read back, so a lost executor recomputes a few rounds at most; the
+files written before are deleted then, and all of them at the end. Paths are explicit and
+unique per training: nothing of the session changes, and trainings can run side by side.
 
 Results equal canonical one-merge-at-a-time BPE with ties broken by the smallest
 ``(left id, right id)``, where ids are vocabulary ids (specials, alphabet in code-point
@@ -23,27 +26,25 @@ from __future__ import annotations
 
 import json
 import logging
-import time
-import uuid
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..options import BPEOptions
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import remove_path, shared_table, ship_package
 from . import kernels
 from .model import BPEModel
-from .symbols import computed_once, symbols, weighted_sequences
+from .symbols import symbols, weighted_sequences
 from .vocab import full_byte_alphabet, initial_tokens, intern_state, observed_alphabet
 
 log = logging.getLogger(__name__)
 
-STATE_DDL = "seq array<int>, weight bigint"
 PAIR_DDL = "l int, r int, cnt bigint"
 
 
@@ -65,13 +66,16 @@ def top_pairs(counts: DataFrame, n: int, min_count: int = 1, rank_of: list[int]
 
 def first_seen_symbols(lines: DataFrame, col: str, opts: BPEOptions, order_by: tuple[str, ...]) -> list[str]:
     """Symbols in order of first appearance, reading rows by ``order_by`` and symbols left to
-    right. One pass: ``posexplode`` + ``min(struct(order..., pos))`` per symbol, combined
-    map-side; the result is bounded by Unicode."""
+    right. One pass: the first place of each symbol per row and Arrow batch, then the smallest
+    per symbol; the result is bounded by Unicode."""
     if not order_by:
         raise ValueError("tie_break='first_seen' needs the corpus order columns (order_by)")
-    syms = computed_once(lines.select(*order_by, col), "__sym", symbols(F.col(col), opts))
-    exploded = syms.select(*order_by, F.posexplode("__sym").alias("pos", "sym"))
-    first = exploded.groupBy("sym").agg(F.min(F.struct(*order_by, "pos")).alias("at"))
+    text = F.array_join(symbols(F.col(col), opts), "")
+    rows = lines.select(*order_by, text.alias("seq"))
+    kinds = pa.schema([("sym", pa.string())] + [(c, to_arrow_type(rows.schema[c].dataType)) for c in order_by] + [("pos", pa.int64())])
+    ddl = ", ".join(["sym string"] + [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in order_by] + ["pos bigint"])
+    places = rows.mapInArrow(partial(kernels.first_positions, order_by=order_by, schema=kinds), ddl)
+    first = places.groupBy("sym").agg(F.min(F.struct(*order_by, "pos")).alias("at"))
     return [r.sym for r in first.orderBy("at").collect()]
 
 
@@ -116,14 +120,20 @@ def choose_batch(
     picks: list[Pick] = []
     lefts: set[int] = set()
     rights: set[int] = set()
+    special_lefts: set[int] = set()
+    special_rights: set[int] = set()
     new_strings: set[str] = set()
     for l, r, cnt in top:
-        if (l, r) in forbidden:
-            continue  # never merged; its count does not matter
         if len(picks) >= merge_budget:
             break
+        # Before the test for special tokens: a pair that is never merged itself can still
+        # turn into another one when an earlier pick merges one of its symbols.
         if l in rights or r in lefts:
             break
+        if (l, r) in forbidden:
+            special_lefts.add(l)
+            special_rights.add(r)
+            continue
         s = tokens[l] + tokens[r]
         if s in index or s in new_strings:
             if not picks:
@@ -135,23 +145,13 @@ def choose_batch(
         new_strings.add(s)
         lefts.add(l)
         rights.add(r)
-        if l == r:
+        # A self pair, or a pick that turns a pair passed over above (one that would spell a
+        # special, at least as frequent as all that follow) into one that may be merged.
+        if l == r or r in special_lefts or l in special_rights:
             break
     return picks
 
 
-def initial_state(lines: DataFrame, col: str, opts: BPEOptions):
-    """Weighted sequences, the starting vocabulary, and the interned training state."""
-    seqs = weighted_sequences(lines, col, opts).persist(StorageLevel.MEMORY_AND_DISK)
-    if opts.is_bytes and opts.alphabet == "full256":
-        alphabet = full_byte_alphabet()
-    else:
-        alphabet = observed_alphabet(seqs)
-    tokens = initial_tokens(opts, alphabet)
-    state = intern_state(seqs, tokens)
-    return seqs, alphabet, tokens, state
-
-
 def train(
     lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None = None, order_by: tuple[str, ...] = ()
 ) -> BPEModel:
@@ -162,38 +162,40 @@ def train(
     """
     spark = lines.sparkSession
     ship_package(spark)
-    with private_checkpoints(spark):
-        return _train(lines, col, opts, max_batch, order_by)
-
-
-@contextmanager
-def private_checkpoints(spark):
-    """Checkpoint into a fresh subfolder of the shared checkpoint folder for the duration of
-    one training, then delete it: the learned model lives on the driver, the state files are
-    no longer referenced."""
-    base = ensure_checkpoint_dir(spark)
+    work = _Work(spark)
     try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: checkpoint where the server says
-        yield base
-        return
-    sub = f"{base.rstrip('/')}/train-{uuid.uuid4().hex}"
-    sc.setCheckpointDir(sub)
-    try:
-        yield sub
+        return _train(lines, col, opts, max_batch, order_by, work)
     finally:
-        sc.setCheckpointDir(base)
-        jvm = sc._jvm
-        path = jvm.org.apache.hadoop.fs.Path(sub)
-        try:
-            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # noqa: BLE001 - cleanup is best effort
-            log.warning("could not remove training checkpoints at %s", sub)
-
-
-def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None, order_by: tuple[str, ...]) -> BPEModel:
-    seqs, alphabet, tokens, state = initial_state(lines, col, opts)
-    tokens = list(tokens)
+        work.close()
+
+
+class _Work:
+    """Parquet tables of one training, each under its own path in the shared folder."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = shared_table(df, f"train-{name}")
+        self.paths.append(path)
+        return out
+
+    def close(self, keep: int = 0) -> None:
+        """Delete all but the last ``keep`` tables."""
+        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        for path in gone:
+            try:
+                remove_path(self.spark, path)
+            except Exception:  # noqa: BLE001 - cleanup is best effort
+                log.warning("could not remove %s", path)
+
+
+def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None, order_by: tuple[str, ...], work: _Work) -> BPEModel:
+    # The distinct sequences are the output of the only pass over the corpus.
+    seqs = work.write(weighted_sequences(lines, col, opts), "sequences")
+    alphabet = full_byte_alphabet() if opts.is_bytes and opts.alphabet == "full256" else observed_alphabet(seqs)
+    tokens = initial_tokens(opts, alphabet)
     index: dict[str, int] = {}
     for i, t in enumerate(tokens):
         index.setdefault(t, i)
@@ -205,44 +207,22 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
     n_alphabet = len(tokens) - len(dict.fromkeys(opts.specials))
     vocab_size = len(index)
 
-    # The initial state is the output of the only pass over the corpus: write it to the
-    # shared checkpoint folder so a lost executor never replays the corpus scan.
-    first = state.persist(StorageLevel.MEMORY_AND_DISK)
-    start = first.checkpoint(eager=True)
-    # Each round's table holds the state rows (kind 0) and their partial pair counts
-    # (kind 1), produced by one Arrow pass (``kernels.step``).
-    none = np.empty(0, dtype=np.int64)
-    combined = start.mapInArrow(partial(kernels.step, batch_keys=none, new_ids=none), kernels.STEP_DDL)
-    combined = combined.persist(StorageLevel.MEMORY_AND_DISK)
+    state = work.write(intern_state(seqs, tokens), "state")
+    counts_now = work.write(pair_counts(state), "counts")
+    work.close(keep=2)
+    held: list[DataFrame] = []  # caches that the current state and counts still read
     merges: list[tuple[str, str]] = []
     counts: list[int] = []
     sizes: list[int] = []
-    limit = opts.max_merges if opts.max_merges is not None else None
     n_top = max(opts.batch_candidates, 2 * sum(len(s) for s in opts.specials) + 2)
     rounds = 0
-    previous = [seqs, first]
     while True:
-        merge_budget = (limit - len(merges)) if limit is not None else 1 << 62
-        if max_batch is not None:
-            merge_budget_round = min(merge_budget, max_batch)
-        else:
-            merge_budget_round = merge_budget
+        budget = opts.max_merges - len(merges) if opts.max_merges is not None else 1 << 62
         vocab_room = opts.target_vocabulary_size - vocab_size
-        if merge_budget <= 0 or vocab_room <= 0:
-            break
-        t0 = time.perf_counter()
-        counts_now = (
-            combined.where(F.col("kind") == 1).groupBy("l", "r").agg(F.sum("cnt").alias("cnt"))
-        )
-        ranked = top_pairs(counts_now, n_top, opts.min_frequency, rank_of)
-        top = [(r.l, r.r, r.cnt) for r in ranked.collect()]
-        log.debug("round %d: counted in %.3fs", rounds, time.perf_counter() - t0)
-        for old in previous:
-            old.unpersist()
-        previous = []
-        if not top:
+        if budget <= 0 or vocab_room <= 0:
             break
-        picks = choose_batch(top, tokens, index, merge_budget_round, vocab_room, forbidden_pairs(opts, index))
+        top = [(r.l, r.r, r.cnt) for r in top_pairs(counts_now, n_top, opts.min_frequency, rank_of).collect()]
+        picks = choose_batch(top, tokens, index, min(budget, max_batch or budget), vocab_room, forbidden_pairs(opts, index))
         if not picks:
             break
         for p in picks:
@@ -257,24 +237,30 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
             counts.append(int(p.cnt))
             sizes.append(vocab_size)
             if opts.progress_every and len(merges) % opts.progress_every == 0:
-                log.info("[merge %d] best pair=(%r, %r) freq=%d vocab_size=%d", len(merges), tokens[p.l], tokens[p.r], p.cnt, vocab_size)
+                log.info("%d merges after %d rounds, %d tokens", len(merges), rounds + 1, vocab_size)
         keys = np.array([(p.l << 32) | p.r for p in picks], dtype=np.int64)
         new_ids = np.array([index[p.token] for p in picks], dtype=np.int64)
         order = np.argsort(keys)
         fn = partial(kernels.step, batch_keys=keys[order], new_ids=new_ids[order])
-        state_rows = combined.where(F.col("kind") == 0).select("seq", "weight")
-        nxt = state_rows.mapInArrow(fn, kernels.STEP_DDL).persist(StorageLevel.MEMORY_AND_DISK)
+        stepped = state.mapInArrow(fn, kernels.STEP_DDL).persist(StorageLevel.MEMORY_AND_DISK)
+        changes = stepped.where("kind = 1").select("l", "r", "cnt")
+        counts_now = counts_now.unionByName(changes).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where("cnt > 0").persist(StorageLevel.MEMORY_AND_DISK)
+        state = stepped.where("kind = 0").select("seq", "weight")
+        held += [stepped, counts_now]
         rounds += 1
         if opts.checkpoint_every and rounds % opts.checkpoint_every == 0:
-            cut = nxt.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-            previous = [combined, nxt]
-            combined = cut
-        else:
-            previous = [combined]
-            combined = nxt
-    for old in previous:
+            state, counts_now = work.write(state, "state"), work.write(counts_now, "counts")
+            work.close(keep=2)
+            for old in held:
+                old.unpersist()
+            held = []
+        elif len(held) > 2:
+            counts_now.count()  # fills both caches, so that the older state is not read again
+            held[0].unpersist()
+            held[1].unpersist()
+            held = held[2:]
+    for old in held:
         old.unpersist()
-    combined.unpersist()
     return BPEModel(
         options=opts,
         tokens=tokens,
@@ -284,8 +270,3 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
         n_alphabet=n_alphabet,
         rounds=rounds,
     )
-
-
-def train_one_at_a_time(lines: DataFrame, col: str, opts: BPEOptions) -> BPEModel:
-    """The same training with batches of one merge (a slow reference for tests)."""
-    return train(lines, col, opts, max_batch=1)

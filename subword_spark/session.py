@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "subword_spark") -> SparkSession:
@@ -95,7 +97,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for tables a job writes and reads back."""
+    """A fresh path under the shared checkpoint folder for what a job writes and reads back.
+
+    It is deleted by :func:`remove_path`, or at the end of the driver process: a DataFrame
+    that still reads it may outlive the function that wrote it.
+    """
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH[path] = spark
+    return path
+
+
+def shared_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` to a scratch path and read it back: ``(table, path)``. Later actions read
+    the table and never run what made it again, also after the loss of an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a path through Spark's file systems; nothing happens if it is not there."""
+    _SCRATCH.pop(path, None)
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for path, spark in list(_SCRATCH.items()):
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            remove_path(spark, path)

@@ -16,9 +16,7 @@ seqs_st = st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_siz
 
 def batch_of(seqs, weights=None):
     weights = weights or [1] * len(seqs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(seqs, pa.list_(pa.int32())), pa.array(weights, pa.int64())], schema=K.STATE_SCHEMA
-    )
+    return pa.RecordBatch.from_pydict({"seq": pa.array(seqs, pa.list_(pa.int32())), "weight": pa.array(weights, pa.int64())})
 
 
 def counts_of(batches):
@@ -59,24 +57,47 @@ def test_apply_groups_equal_sequential_merges(seqs, pairs):
 
 
 @settings(max_examples=150, deadline=None)
-@given(seqs_st, st.tuples(st.integers(0, 3), st.integers(0, 3)))
-def test_step_applies_then_counts(seqs, pair):
+@given(seqs_st, st.lists(st.integers(1, 5), min_size=8, max_size=8), st.tuples(st.integers(0, 3), st.integers(0, 3)))
+def test_step_applies_and_counts_changes(seqs, ws, pair):
     l, r = pair
+    ws = ws[: len(seqs)]
     merged = [merge_left_to_right(list(s), l, r, 9) for s in seqs]
-    expect_state = [s for s in merged if len(s) >= 2]
+    expect_state = [(s, w) for s, w in zip(merged, ws) if len(s) >= 2]
     expect_counts = Counter()
-    for s in merged:
-        for a, b in zip(s, s[1:]):
-            expect_counts[(a, b)] += 1
-    out = list(K.step([batch_of(seqs)], np.array([(l << 32) | r], np.int64), np.array([9], np.int64)))
-    state = [x for b in out for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if k == 0]
-    counts = Counter()
-    for b in out:
-        for k, a, c, n in zip(b.column(0).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), b.column(5).to_pylist()):
-            if k == 1:
-                counts[(a, c)] += n
+    for before, after, w in zip(seqs, merged, ws):
+        for a, b in zip(before, before[1:]):
+            expect_counts[(a, b)] -= w
+        for a, b in zip(after, after[1:]):
+            expect_counts[(a, b)] += w
+    out = list(K.step([batch_of(seqs, ws)], np.array([(l << 32) | r], np.int64), np.array([9], np.int64)))
+    state, counts = [], Counter()
+    for row in (row for b in out for row in b.to_pylist()):
+        if row["kind"] == 0:
+            state.append((row["seq"], row["weight"]))
+        else:
+            counts[(row["l"], row["r"])] += row["cnt"]
     assert state == expect_state
-    assert counts == expect_counts
+    assert counts == Counter({k: v for k, v in expect_counts.items() if v})
+
+
+def test_sums_beyond_float_precision_are_exact():
+    big = (1 << 53) + 1
+    keys, sums = K._sum_by_key(np.array([1 << 32 | 2, 1 << 32 | 2, 3 << 32 | 4]), np.array([big, 2, 5]))
+    assert keys.tolist() == [1 << 32 | 2, 3 << 32 | 4] and sums.tolist() == [big + 2, 5]
+
+
+@settings(max_examples=60, deadline=None)
+@given(seqs_st)
+def test_first_positions(seqs):
+    schema = pa.schema([("sym", pa.string()), ("line", pa.int64()), ("pos", pa.int64())])
+    texts = ["".join("abcd"[x] for x in s) for s in seqs]
+    batch = pa.RecordBatch.from_pydict({"line": pa.array(range(len(texts)), pa.int64()), "seq": texts})
+    got = {r["sym"]: (r["line"], r["pos"]) for b in K.first_positions([batch], ("line",), schema) for r in b.to_pylist()}
+    want = {}
+    for i, t in enumerate(texts):
+        for j, c in enumerate(t):
+            want.setdefault(c, (i, j))
+    assert got == want
 
 
 @settings(max_examples=60, deadline=None)

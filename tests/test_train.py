@@ -62,8 +62,9 @@ def test_empty_corpus(spark):
 def test_stop_rules(lines_df):
     df = lines_df(MERGE_CORPUS * 3)
     assert train(df, "line", BPEOptions(max_merges=0)).merges == []
-    m = train(df, "line", BPEOptions(target_vocabulary_size=40))
-    assert len(m) == 40 or not m.merges
+    start = len(train(df, "line", BPEOptions(max_merges=0)))
+    m = train(df, "line", BPEOptions(target_vocabulary_size=start + 9))
+    assert len(m) == start + 9 and len(m.merges) >= 9
     m = train(df, "line", BPEOptions(minimum_pair_frequency=7))
     assert all(c >= 7 for c in m.counts)
 
@@ -105,6 +106,35 @@ def test_batched_equals_one_at_a_time_random(lines_df):
         assert fast.counts == counts
 
 
+def test_batched_equals_one_at_a_time_with_specials(lines_df):
+    """Specials that the corpus spells: a pair that is never merged can still turn into one
+    that comes next."""
+    df = lines_df(["abc"] * 100 + ["ab"] * 10 + ["de"] * 90)
+    opts = BPEOptions(specials=("<unknown>", "bc"), minimum_pair_frequency=1)
+    fast, slow = train(df, "line", opts), train(df, "line", opts, max_batch=1)
+    assert fast.merges == slow.merges == [("a", "b"), ("ab", "c"), ("d", "e")]
+    rng = random.Random(13)
+    for _ in range(6):
+        lines = ["".join(rng.choice("abcd") for _ in range(rng.randint(1, 10))) for _ in range(10)]
+        specials = ("<unknown>", *{"".join(rng.choice("abcd") for _ in range(rng.randint(2, 3))) for _ in range(4)})
+        opts = BPEOptions(specials=specials, minimum_pair_frequency=1, max_merges=20)
+        df = lines_df(lines)
+        tokens, merges, counts = reference_for(df, opts)
+        m = train(df, "line", opts)
+        assert (m.tokens, m.merges, m.counts) == (tokens, merges, counts), (lines, specials)
+
+
+def test_counts_stay_exact_over_many_rounds(lines_df):
+    """Counts kept by changes alone equal full counts at every round, across checkpoints."""
+    rng = random.Random(5)
+    lines = ["".join(rng.choice("abcde ") for _ in range(40)) for _ in range(20)]
+    opts = BPEOptions(minimum_pair_frequency=2, checkpoint_every=3)
+    df = lines_df(lines)
+    tokens, merges, counts = reference_for(df, opts)
+    m = train(df, "line", opts)
+    assert (m.tokens, m.merges, m.counts) == (tokens, merges, counts) and m.rounds > 10
+
+
 def test_choose_batch_conflicts():
     tokens = ["<u>", "a", "b", "c", "d"]
     index = {t: i for i, t in enumerate(tokens)}
