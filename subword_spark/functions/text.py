@@ -6,8 +6,6 @@ Unicode forms, which Spark does not have; those live in ``functions.unicode``.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -117,10 +115,3 @@ def n_chars(col: Column) -> Column:
 
 def n_whitespace_words(col: Column) -> Column:
     return F.size(whitespace_words(col))
-
-
-def python_like_ws_regex() -> re.Pattern:
-    """The same WS class for Python-side helpers and tests."""
-    py = WS_CHARS.replace(r"\x{", r"\U").replace("}", "")
-    py = re.sub(r"\\U([0-9a-f]+)", lambda m: "\\U" + m.group(1).rjust(8, "0"), py)
-    return re.compile(f"[{py}]")

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import n_chars, n_whitespace_words
-from .decode import decode_column
+from ..session import remove_path, shared_table
+from .decode import decode, decode_column
 from .encode import encode
 from .model import BPEModel
 from .symbols import normalized, symbols
-from .vocab import fits_literal, id_lookup, token_literal
-
-SECONDS_EPS = 1e-12
 
 
 def tokens_per_word(n_tokens: Column, n_words: Column) -> Column:
@@ -63,8 +61,6 @@ def stats_report(
 def token_frequency(encoded: DataFrame, model: BPEModel, ids_col: str = "ids") -> DataFrame:
     """``(token_id, token, n)``: how often each id occurs (partial aggregation absorbs hot ids)."""
     counts = encoded.select(F.explode(ids_col).alias("token_id")).groupBy("token_id").agg(F.count(F.lit(1)).alias("n"))
-    if fits_literal(model.tokens):
-        return counts.select("token_id", F.get(token_literal(model.tokens), F.col("token_id")).alias("token"), "n")
     vocab = model.vocab_df(encoded.sparkSession).select("token_id", "token")
     return counts.join(vocab, "token_id", "left").select("token_id", "token", "n")
 
@@ -72,10 +68,10 @@ def token_frequency(encoded: DataFrame, model: BPEModel, ids_col: str = "ids") -
 def vocab_coverage(df: DataFrame, text_col: str, model: BPEModel, group_by: tuple[str, ...] = ()) -> DataFrame:
     """Share of the initial symbols of the texts that the vocabulary knows (native, narrow)."""
     sym = symbols(F.col(text_col), model.options)
-    # Symbols are single characters, so only single-character tokens matter: a set bounded
-    # by Unicode whatever the vocabulary size.
-    singles = [t for t in model.tokens if len(t) == 1]
-    missing = F.size(F.filter(sym, lambda c: id_lookup(c, singles).isNull()))
+    # Symbols are single characters: deleting the known ones by a hash lookup per character
+    # leaves the unknown ones. The known set is bounded by Unicode.
+    singles = "".join(t for t in model.tokens if len(t) == 1)
+    missing = F.char_length(F.translate(F.array_join(sym, ""), singles, ""))
     per_row = df.select(*group_by, F.size(sym).alias("n_sym"), missing.alias("n_missing"))
     out = per_row.groupBy(*group_by).agg(
         F.sum("n_sym").cast("bigint").alias("n_symbols"),
@@ -125,55 +121,35 @@ def stability(spark, first: BPEModel, second: BPEModel) -> DataFrame:
     )
 
 
-def measure_encoding_speed(
-    df: DataFrame, text_col: str, model: BPEModel, warmup: int = 1, trials: int = 3, memo: bool = True
-) -> float:
-    """Tokens per second of encoding a table. Each warm-up and trial is a new query: the
-    same DataFrame collected twice would reuse its materialised shuffle stages and time
-    almost nothing. With the word memo on, trials after the first find the table's words
-    already encoded in the Python workers."""
-
-    def job():
-        return encode(df, text_col, model, memo=memo).agg(F.sum(F.size("ids")).alias("n"))
-
-    for _ in range(warmup):
-        job().collect()
-    total_tokens, total_time = 0, 0.0
-    for _ in range(max(trials, 1)):
-        q = job()
-        start = time.perf_counter()
-        total_tokens += q.collect()[0].n or 0
-        total_time += time.perf_counter() - start
-    return total_tokens / max(total_time, SECONDS_EPS)
-
-
-def measure_decoding_speed(encoded: DataFrame, model: BPEModel, ids_col: str = "ids", warmup: int = 1, trials: int = 3) -> float:
-    """Tokens per second of decoding an id column (a new query per trial, as above; cache
-    ``encoded`` first to time decoding alone)."""
-    n = encoded.agg(F.sum(F.size(ids_col)).alias("n")).collect()[0].n or 0
-
-    def job():
-        return encoded.select(F.sum(F.length(decode_column(F.col(ids_col), model))).alias("c"))
-
-    for _ in range(warmup):
-        job().collect()
-    total_time = 0.0
-    for _ in range(max(trials, 1)):
-        q = job()
-        start = time.perf_counter()
-        q.collect()
-        total_time += time.perf_counter() - start
-    return n * max(trials, 1) / max(total_time, SECONDS_EPS)
+def throughput(df: DataFrame, text_col: str, model: BPEModel, trials: int = 3, warmup: int = 1) -> DataFrame:
+    """``(kind, trial, n_tokens, seconds, tokens_per_sec)``: each trial encodes the table, or
+    decodes its ids, in a new query written in full to the ``noop`` sink. The ids are a table
+    in the shared folder while decoding is timed, so that decoding alone counts."""
+    spark = df.sparkSession
+    ids, path = shared_table(encode(df, text_col, model).select("ids"), "throughput")
+    jobs = {"encode": lambda: encode(df, text_col, model).select("ids"), "decode": lambda: decode(ids, "ids", model)}
+    rows = []
+    for kind, job in jobs.items():
+        for trial in range(-warmup, trials):
+            seen = Observation()
+            out = job().observe(seen, F.sum(F.size("ids")).alias("n"))
+            start = time.perf_counter()
+            out.write.format("noop").mode("overwrite").save()
+            seconds = time.perf_counter() - start
+            n = int(seen.get["n"] or 0)
+            if trial >= 0:
+                rows.append((kind, trial, n, seconds, n / seconds))
+    remove_path(spark, path)
+    return spark.createDataFrame(rows, "kind string, trial int, n_tokens bigint, seconds double, tokens_per_sec double")
 
 
 __all__ = [
     "compression_ratio",
-    "measure_decoding_speed",
-    "measure_encoding_speed",
     "reference_text",
     "roundtrip_report",
     "stability",
     "stats_report",
+    "throughput",
     "token_frequency",
     "tokens_per_word",
     "vocab_coverage",

@@ -14,13 +14,6 @@ from . import kernels
 # Unicode has 1,114,112 code points: the observed alphabet can never be larger, which is
 # the bound that makes collecting it to the driver safe.
 MAX_ALPHABET = 0x110000
-# Largest vocabulary carried as a constant inside a plan (decode, lookups). Beyond it the
-# operators join with the vocabulary table instead.
-MAX_LITERAL_TOKENS = 1 << 20
-
-
-def fits_literal(tokens: list[str]) -> bool:
-    return len(tokens) <= MAX_LITERAL_TOKENS
 
 
 def alphabet_df(seqs: DataFrame, col: str = "seq") -> DataFrame:
@@ -68,13 +61,6 @@ def intern_state(seqs: DataFrame, tokens: list[str], min_len: int = 2, keep_text
     return seqs.select("seq", "weight").mapInArrow(fn, schema)
 
 
-def intern_column(seq: Column, tokens: list[str]) -> Column:
-    """Native interning of a sequence string: ``array<int>`` of symbol ids (null if unknown)."""
-    from ..functions.text import chars
-
-    return F.transform(chars(seq), lambda c: id_lookup(c, tokens))
-
-
 def token_literal(tokens: list[str]) -> Column:
     """The vocabulary as one constant ``array<string>`` (folded once by the optimizer)."""
     import json
@@ -82,16 +68,16 @@ def token_literal(tokens: list[str]) -> Column:
     return F.from_json(F.lit(json.dumps(tokens, ensure_ascii=False)), "array<string>")
 
 
-def id_lookup(token_col: Column, tokens: list[str], unknown_id: int | None = None) -> Column:
-    """Token -> id through a constant map; missing tokens give ``unknown_id`` (or null)."""
-    import json
-
-    idx: dict[str, int] = {}
+def with_token_ids(df: DataFrame, token_col: str, tokens: list[str], out_col: str = "token_id", unknown_id: int | None = None) -> DataFrame:
+    """Token -> id by an equi-join with the vocabulary table, flat in the vocabulary's size;
+    tokens outside it give ``unknown_id`` (or null). Join distinct tokens, not occurrences.
+    A token listed twice has its first id."""
+    first: dict[str, int] = {}
     for i, t in enumerate(tokens):
-        idx.setdefault(t, i)
-    m = F.from_json(F.lit(json.dumps(idx, ensure_ascii=False)), "map<string,int>")
-    found = F.try_element_at(m, token_col)
-    return found if unknown_id is None else F.coalesce(found, F.lit(unknown_id))
+        first.setdefault(t, i)
+    vocab = df.sparkSession.createDataFrame(list(first.items()), f"`{token_col}` string, `{out_col}` int")
+    out = df.join(vocab, token_col, "left")
+    return out if unknown_id is None else out.withColumn(out_col, F.coalesce(out_col, F.lit(unknown_id)))
 
 
 def token_lookup(id_col: Column, tokens: list[str], strict: bool = True) -> Column:

@@ -26,6 +26,7 @@ class BPEOptions:
     ``max_merges=None`` means no cap besides the vocabulary target; ``0`` means none.
     """
 
+    # These defaults equal the reference's for equal results.
     model_kind: str = "character_bpe"
     unit: str = "line"
     target_vocabulary_size: int = 16000
@@ -59,6 +60,8 @@ class BPEOptions:
             raise ValueError(f"tie_break must be one of {TIE_BREAKS}")
         if len(self.marker) != 1:
             raise ValueError("marker must be one character")
+        if self.unit == "word" and not self.is_bytes and not self.add_visible_space:
+            raise ValueError("unit='word' needs add_visible_space: without markers the spaces between words are lost")
         if not self.specials:
             raise ValueError("at least one special token (the unknown token) is required")
         object.__setattr__(self, "specials", tuple(self.specials))

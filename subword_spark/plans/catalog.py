@@ -14,29 +14,23 @@ from pyspark.sql import functions as F
 
 from ..functions.text import byte_string, hex_symbol, n_chars, n_whitespace_words, normalize
 from ..functions.unicode import unicode_form
-from ..operators.decode import decode_column
+from ..operators.decode import decode
 from ..operators.encode import encode
 from ..operators.metrics import roundtrip_report, stability, stats_report, token_frequency, vocab_coverage
 from ..operators.model import BPEModel
-from ..operators.pairs import (
-    apply_pairs,
-    frequent_pairs,
-    merge_with_delta,
-    pair_counts,
-    pair_counts_native,
-    top_pairs,
-    update_pair_counts,
-)
+from ..operators.pairs import apply_pairs, frequent_pairs, merge_with_delta, pair_counts_native, update_pair_counts
 from ..operators.symbols import computed_once, line_sequence, weighted_sequences, word_sequences
-from ..operators.train import train
-from ..operators.vocab import alphabet_df, id_lookup, initial_tokens, intern_column, intern_state, token_lookup
+from ..operators.train import pair_counts, top_pairs, train
+from ..operators.vocab import alphabet_df, initial_tokens, intern_state, observed_alphabet, token_lookup, with_token_ids
 from ..options import BPEOptions
-from ..session import scratch_path
+from ..session import remove_path, scratch_path, shared_table
 from ..sources import model_io
 from ..sources.corpus import corpus_lines, format_token_ids, parse_token_ids, read_table
 from ..streaming.encode_stream import encode_stream_table
+from . import jobs
 
-# Configurations of the registered queries (fixed parameters, never tuned to pass).
+# Configurations of the registered queries (fixed parameters, never tuned to pass). Those with
+# max_merges show the merge cap; TARGET and NATURAL train to the two other ends.
 WORD = BPEOptions(unit="word", max_merges=100)
 LINE = BPEOptions(unit="line", max_merges=40)
 BYTE = BPEOptions(model_kind="byte_bpe", add_visible_space=False, max_merges=50)
@@ -46,6 +40,11 @@ COVER = BPEOptions(unit="word", max_merges=20)
 FIRST_SEEN = MINFREQ.with_(tie_break="first_seen")
 WS_ONLY = BPEOptions(unicode_normalization="none")
 FULL_NORM = BPEOptions(strip_accents=True, lowercase=True)
+# Specials that the corpus itself spells often: they are never made by a merge.
+SPECIALS = BPEOptions(unit="word", max_merges=100, specials=("<unknown>", "th", "en", "er", "the"))
+TARGET = BPEOptions(unit="word", target_vocabulary_size=320)
+NATURAL = BPEOptions(unit="word", minimum_pair_frequency=3000)
+BYTE_TEXT = BPEOptions(model_kind="byte_bpe", add_visible_space=False, max_merges=30)
 FREQUENT_MIN = 1000
 TOP_K = 5
 
@@ -165,15 +164,11 @@ def q_vocab_table(spark, sf):
 
 
 def q_intern_sequences(spark, sf):
-    from ..operators.vocab import observed_alphabet
-
-    seqs = weighted_sequences(doc_lines(spark, sf), "line", WORD)
+    seqs, _ = shared_table(weighted_sequences(doc_lines(spark, sf), "line", WORD), "sequences")
     tokens = initial_tokens(WORD, observed_alphabet(seqs))
-    return seqs.select(
-        "seq",
-        "weight",
-        F.char_length("seq").cast("int").alias("n_symbols"),
-        format_token_ids(intern_column(F.col("seq"), tokens)).alias("ids"),
+    state = intern_state(seqs, tokens, min_len=0, keep_text=True)
+    return state.select(
+        F.col("text").alias("seq"), "weight", F.size("seq").cast("int").alias("n_symbols"), format_token_ids(F.col("seq")).alias("ids")
     )
 
 
@@ -182,14 +177,14 @@ def q_token_id_lookup(spark, sf):
     words = computed_once(doc_lines(spark, sf), "__w", word_sequences(F.col("line"), WORD))
     toks = words.select(F.explode("__w").alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select("token", "n", id_lookup(F.col("token"), model.tokens, unknown_id=-1).alias("token_id"))
+    return with_token_ids(counts, "token", model.tokens, unknown_id=-1).select("token", "n", "token_id")
 
 
 # -- pair statistics -----------------------------------------------------------------------
 def _char_state(spark, sf, min_len=2, keep_text=False):
-    from ..operators.vocab import observed_alphabet
-
-    seqs = weighted_sequences(doc_lines(spark, sf), "line", LINE)
+    """The weighted sequences are written once: alphabet, best pair and result read the table
+    and not the corpus."""
+    seqs, _ = shared_table(weighted_sequences(doc_lines(spark, sf), "line", LINE), "sequences")
     tokens = initial_tokens(LINE, observed_alphabet(seqs))
     state = intern_state(seqs, tokens, min_len=min_len, keep_text=keep_text)
     return state, tokens
@@ -284,6 +279,34 @@ def q_train_first_seen(spark, sf):
     return _merges(m, spark)
 
 
+def q_train_specials(spark, sf):
+    """Specials that the corpus spells often: never made, and the other merges unchanged."""
+    return _merges(train(doc_lines(spark, sf), "line", SPECIALS), spark)
+
+
+def q_train_target_size(spark, sf):
+    """Train to a vocabulary size, without a cap on merges."""
+    return _merges(train(doc_lines(spark, sf), "line", TARGET), spark)
+
+
+def q_train_minfreq_docs(spark, sf):
+    """Train until no pair of the documents is frequent enough."""
+    return _merges(train(doc_lines(spark, sf), "line", NATURAL), spark)
+
+
+def q_top_pairs_history(spark, sf):
+    """The most frequent pairs after each of the first five merges."""
+    m = word_model(spark, sf, WORD.with_(max_merges=5))
+    seqs, _ = shared_table(weighted_sequences(doc_lines(spark, sf), "line", WORD), "sequences")
+    state = intern_state(seqs, initial_tokens(WORD, observed_alphabet(seqs)))
+    out = None
+    for n, merge in enumerate(m.merge_table(), 1):
+        state = apply_pairs(state, [merge])
+        step = _named(top_pairs(pair_counts(state), TOP_K), m.tokens).withColumn("merges", F.lit(n))
+        out = step if out is None else out.unionByName(step)
+    return out.select("merges", "left", "right", "cnt")
+
+
 def q_model_stats(spark, sf):
     m = word_model(spark, sf)
     return m.vocab_df(spark).agg(
@@ -302,14 +325,34 @@ def q_model_reload(spark, sf):
     m = word_model(spark, sf)
     base = scratch_path(spark, "model")
     model_io.save_model(m, spark, base)
-    model_io.save_bundle(m, spark, base + "-bundle")
+    model_io.save_bundle(m, spark, base + "/bundle")
     back = model_io.load_model(spark, base)
-    bundle = model_io.load_bundle(spark, base + "-bundle")
+    bundle = model_io.load_bundle(spark, base + "/bundle")
     if back.tokens != m.tokens or back.merges != m.merges or bundle.tokens != m.tokens or bundle.merges != m.merges:
         raise AssertionError("model changed in a save/load round trip")
+    remove_path(spark, base)
     return back.merges_df(spark).select("rank", "left", "right")
 
 
+def byte_model(spark, sf) -> BPEModel:
+    return train(conv_lines(spark, sf), "line", BYTE_TEXT)
+
+
+def q_vocab_reload(spark, sf):
+    """A byte model's vocabulary, saved as JSON and read back."""
+    path = scratch_path(spark, "vocab")
+    model_io.save_vocab_json(byte_model(spark, sf), spark, path)
+    return model_io.load_vocab_json(spark, path).select("token_id", hex_symbol(F.col("token")).alias("token_hex"))
+
+
+def q_merges_reload(spark, sf):
+    """A byte model's merges (white space among their symbols), saved as text and read back."""
+    path = scratch_path(spark, "merges")
+    model_io.save_merges_text(byte_model(spark, sf), spark, path)
+    back = model_io.load_merges_text(spark, path)
+    return back.select("rank", hex_symbol(F.col("left")).alias("left_hex"), hex_symbol(F.col("right")).alias("right_hex"))
+
+
 # -- encode / decode -----------------------------------------------------------------------
 def q_encode_docs(spark, sf):
     return _encoded(spark, sf)
@@ -329,10 +372,56 @@ def q_oov_docs(spark, sf):
     return enc.where(F.col("n_unknown") > 0).select("doc_id", "n_unknown")
 
 
+def q_encode_lines(spark, sf):
+    """Line-unit encode of every conversation line, merges replayed by rank."""
+    m = train(conv_lines(spark, sf), "line", LINE)
+    enc = encode(conv_lines(spark, sf), "line", m, order="rank")
+    return enc.select("conv_id", "turn", "line_no", F.size("ids").cast("int").alias("n_tokens"), format_token_ids(F.col("ids")).alias("ids"))
+
+
+def q_encode_bytes(spark, sf):
+    """Byte-unit encode of every conversation line, merges replayed by rank."""
+    m = train(conv_lines(spark, sf), "line", BYTE_TEXT)
+    enc = encode(conv_lines(spark, sf), "line", m, order="rank")
+    return enc.select("conv_id", "turn", "line_no", F.size("ids").cast("int").alias("n_tokens"), format_token_ids(F.col("ids")).alias("ids"))
+
+
 def q_decode_docs(spark, sf):
     m = word_model(spark, sf)
     enc = encode(documents(spark, sf), "text", m)
-    return enc.select("doc_id", decode_column(F.col("ids"), m).alias("decoded"))
+    return decode(enc, "ids", m).select("doc_id", "decoded")
+
+
+def q_decode_bytes(spark, sf):
+    """Byte-unit round trip of every conversation text with all 256 bytes known."""
+    m = train(conv_lines(spark, sf), "line", BYTE_TEXT.with_(alphabet="full256"))
+    enc = encode(read_table(spark, sf, "conversations"), "text", m)
+    return decode(enc, "ids", m).select("conv_id", "turn", "decoded")
+
+
+def q_decode_ids_null(spark, sf):
+    """Lenient decode of ids with nulls, empty rows and ids outside the vocabulary: the ids of
+    every third document are null, of every third plus one empty, and of every third plus two
+    have a bad id put in front."""
+    m = word_model(spark, sf)
+    enc = encode(documents(spark, sf), "text", m)
+    kind = F.pmod("doc_id", F.lit(3))
+    bad = F.when(kind == 0, F.lit(None)).when(kind == 1, F.array().cast("array<int>")).otherwise(F.concat(F.array(F.lit(len(m))), "ids"))
+    return decode(enc.withColumn("bad", bad), "bad", m, strict=False).select("doc_id", "decoded")
+
+
+def q_jobs(spark, sf):
+    """The encode, decode and stats jobs end to end over the documents table."""
+    m = word_model(spark, sf)
+    base = scratch_path(spark, "jobs")
+    model_io.save_model(m, spark, f"{base}/model")
+    jobs.encode_job(spark, f"{base}/model", f"{sf.rstrip('/')}/documents.parquet", f"{base}/ids", fmt="parquet")
+    jobs.decode_job(spark, f"{base}/model", f"{base}/ids", f"{base}/texts", out_fmt="parquet")
+    rep = jobs.stats_job(spark, f"{base}/model", f"{sf.rstrip('/')}/documents.parquet", fmt="parquet")
+    back = spark.read.parquet(f"{base}/texts").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum(F.char_length("text")).cast("bigint").alias("n_decoded_chars")
+    )
+    return back.withColumn("n_tokens", F.lit(rep["n_tokens"]).cast("bigint")).withColumn("n_merges", F.lit(rep["n_merges"]).cast("int"))
 
 
 def q_parse_token_ids(spark, sf):
@@ -363,6 +452,11 @@ def q_roundtrip_report(spark, sf):
     return roundtrip_report(conv_lines(spark, sf), "line", m)
 
 
+def q_roundtrip_words(spark, sf):
+    """Word-unit round trip of every line that trained the model."""
+    return roundtrip_report(doc_lines(spark, sf), "line", word_model(spark, sf))
+
+
 def q_byte_roundtrip(spark, sf):
     m = train(conv_lines(spark, sf), "line", BYTE)
     return roundtrip_report(doc_lines(spark, sf), "line", m)

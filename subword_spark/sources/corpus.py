@@ -13,22 +13,9 @@ from ..functions.text import WS, split_lines
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
-
-    A table stored as one unsplittable file (one Parquet row group) is read by one task,
-    and every narrow step after it (line split, Unicode UDF, encode) would run serially.
-    Large inputs already have many splits and pass through untouched (no shuffle).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(target) if current < target else df
+    """A table as Spark's scan splits it; ``spark.sql.files.maxPartitionBytes`` and the
+    writer's files and row groups set the number of tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def corpus_lines(df: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -39,14 +26,10 @@ def corpus_lines(df: DataFrame, text_col: str = "text", keys: tuple[str, ...] =
     )
 
 
-def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """A plain text file as a line corpus (``line_no`` is not kept by the text source)."""
-    return spark.read.text(path).withColumnRenamed("value", "line").where(F.col("line") != "")
-
-
 def read_whole_text(spark: SparkSession, path: str) -> DataFrame:
-    """A file as one string per file (the encode command's input)."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
+    """One row per file: ``file, text``, newlines as they are. The encode command's input;
+    a file has to fit in one task, so corpora belong in tables or line files."""
+    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("text"))
 
 
 def parse_token_ids(col: Column) -> Column:

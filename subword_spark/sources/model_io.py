@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,19 +103,37 @@ def load_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     return first.select((F.row_number().over(w) - 1).cast("int").alias("token_id"), "token")
 
 
+def _escape(symbol: str) -> str:
+    """Backslash and all white space of ``str.split`` as backslash escapes: a symbol is one
+    field of its line."""
+    return "".join(f"\\u{ord(c):04x}" if c.isspace() or c == "\\" or c in "\x1c\x1d\x1e\x1f" else c for c in symbol)
+
+
+def _unescape(col: Column) -> Column:
+    """The inverse, native: the text between escapes stays, ``\\uXXXX`` becomes its character."""
+    parts = F.regexp_extract_all(col, F.lit(r"(\\u[0-9a-f]{4}|[^\\]+)"), 1)
+    return F.array_join(
+        F.transform(parts, lambda p: F.when(p.startswith("\\u"), F.decode(F.unhex(F.substring(p, 3, 4)), "UTF-16BE")).otherwise(p)), ""
+    )
+
+
 def save_merges_text(model: BPEModel, spark: SparkSession, path: str) -> None:
-    rows = [(i, f"{l} {r}") for i, (l, r) in enumerate(model.merges)]
+    """``left right`` per line in rank order; white space and backslashes inside a symbol are
+    written as ``\\uXXXX``."""
+    rows = [(i, f"{_escape(l)} {_escape(r)}") for i, (l, r) in enumerate(model.merges)]
     df = spark.createDataFrame(rows, "rank int, value string").coalesce(1).orderBy("rank").select("value")
     df.write.mode("overwrite").text(path)
 
 
 def load_merges_text(spark: SparkSession, path: str) -> DataFrame:
-    """``(rank, left, right)``; rank is the line order of the (single) merges file."""
-    lines = spark.read.text(path).withColumn("_i", F.monotonically_increasing_id())
-    w = Window.orderBy("_i")
-    parts = F.split(F.trim(F.col("value")), " ")
-    return lines.where(F.trim("value") != "").select(
-        (F.row_number().over(w) - 1).cast("int").alias("rank"),
-        F.get(parts, 0).alias("left"),
-        F.get(parts, 1).alias("right"),
+    """``(rank, left, right)``; rank is the line order of the (single) merges file. A line
+    that is not two fields raises."""
+    lines = spark.read.text(path).withColumn("_i", F.monotonically_increasing_id()).where(F.col("value") != "")
+    parts = F.split("value", " ")
+    bad = F.raise_error(F.concat(F.lit("not a merge of two symbols: "), F.col("value")))
+    left = F.when((F.size(parts) == 2) & (F.get(parts, 0) != "") & (F.get(parts, 1) != ""), F.get(parts, 0)).otherwise(bad)
+    return lines.select(
+        (F.row_number().over(Window.orderBy("_i")) - 1).cast("int").alias("rank"),
+        _unescape(left).alias("left"),
+        _unescape(F.get(parts, 1)).alias("right"),
     )

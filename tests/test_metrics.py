@@ -4,14 +4,12 @@ from pyspark.sql import functions as F
 
 from subword_spark.operators.metrics import (
     compression_ratio,
-    measure_decoding_speed,
-    measure_encoding_speed,
     roundtrip_report,
     stats_report,
+    throughput,
     tokens_per_word,
     vocab_coverage,
 )
-from subword_spark.operators.encode import encode
 from subword_spark.operators.train import train
 from subword_spark.options import BPEOptions
 
@@ -33,8 +31,10 @@ def test_reports(spark, lines_df):
     assert (cov.n_symbols, cov.n_covered) == (6, 5)
 
 
-def test_speeds_are_positive(spark, lines_df):
+def test_throughput_has_a_row_per_trial(spark, lines_df):
     df = lines_df(["hello world"] * 20, col="text")
     m = train(df, "text", BPEOptions(max_merges=5))
-    assert measure_encoding_speed(df, "text", m, warmup=0, trials=1) > 0
-    assert measure_decoding_speed(encode(df, "text", m), m, warmup=0, trials=1) > 0
+    n = stats_report(df, "text", m).first().n_tokens
+    rows = throughput(df, "text", m, trials=2, warmup=0).collect()
+    assert sorted((r.kind, r.trial, r.n_tokens) for r in rows) == [(k, t, n) for k in ("decode", "encode") for t in (0, 1)]
+    assert all(r.seconds > 0 and r.tokens_per_sec > 0 for r in rows)

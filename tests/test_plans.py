@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from subword_spark.operators.symbols import weighted_sequences
-from subword_spark.operators.train import initial_state, pair_counts
+from subword_spark.operators.train import pair_counts
 from subword_spark.plans import catalog as C
 
 SF = "/root/testdata/sf0.001"
@@ -21,7 +21,7 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(C.QUERIES))
 def test_no_cross_products(spark, name):
     plan = plan_of(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan
@@ -35,11 +35,17 @@ def _partial_before_exchange(plan: str) -> bool:
 def test_hot_key_aggregations_combine_map_side(spark):
     lines = C.doc_lines(spark, SF)
     assert _partial_before_exchange(plan_of(weighted_sequences(lines, "line", C.WORD)))
-    _, _, _, state = initial_state(lines, "line", C.LINE)
+    state, _ = C._char_state(spark, SF)
     assert _partial_before_exchange(plan_of(pair_counts(state)))
     assert _partial_before_exchange(plan_of(C.q_token_frequency(spark, SF)))
 
 
+@pytest.mark.parametrize("name", ["pair_counts_chars", "best_pair", "top_pairs", "frequent_pairs", "apply_merge", "pair_count_delta"])
+def test_pair_queries_read_the_corpus_once(spark, name):
+    """The result reads the written sequences: the documents are in no plan that runs later."""
+    assert "documents.parquet" not in plan_of(C.QUERIES[name](spark, SF))
+
+
 def test_scan_prunes_columns(spark):
     plan = plan_of(C.q_baseline_counts(spark, SF))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
