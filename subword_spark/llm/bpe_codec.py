@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import prepare
+from .common import prepare, row_field, source
 from .words import slices
 
 _CACHE = 200_000
@@ -247,16 +247,13 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
     prepare(docs.sparkSession)
     spec = _spec(path)
-    cols = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    source = docs.select(*cols)
+    rows = source(docs, id_col, text_col, row)
 
     def run(batches):
         c = codec(spec)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                ids = [c.encode(t) for t in part["text"].to_pylist()]
+            for part, texts in slices(batch, text_col, 2 << 20):
+                ids = [c.encode(t) for t in texts.to_pylist()]
                 out = {"id": part["id"], "ids": pa.array(ids, pa.binary())}
                 if decoded:
                     out["decoded"] = pa.array([c.decode(np.frombuffer(x, "<u4").astype(np.int64)) for x in ids], pa.binary()).cast(pa.string())
@@ -264,9 +261,8 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                     out["row"] = part["row"]
                 yield pa.RecordBatch.from_pydict(out)
 
-    fields = f"id {source.schema['id'].dataType.simpleString()}, ids binary"
-    fields += ", decoded string" if decoded else ""
-    return source.mapInArrow(run, fields + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
+    fields = f"id {rows.schema['id'].dataType.simpleString()}, ids binary" + (", decoded string" if decoded else "")
+    return rows.mapInArrow(run, fields + row_field(rows))
 
 
 def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -68,6 +68,18 @@ def _release_at_exit() -> None:
         release()
 
 
+def source(docs: DataFrame, id_col: str, text_col: str, row: bool) -> DataFrame:
+    """``id, text``, or with ``row`` ``id, row`` with the text inside the struct of all
+    columns, so that a text crosses to Python once."""
+    key = F.col(f"`{id_col}`").alias("id")
+    return docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if row else F.col(f"`{text_col}`").alias("text"))
+
+
+def row_field(df: DataFrame) -> str:
+    """The DDL of the ``row`` column, empty where there is none."""
+    return f", row {df.schema['row'].dataType.simpleString()}" if "row" in df.columns else ""
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

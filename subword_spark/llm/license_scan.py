@@ -21,9 +21,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, source
 from .toxicity import _BREAK, _LOWER
 from .words import slices, split_words, window_hashes, word_hashes
 
@@ -138,13 +137,13 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
     """
     prepare(docs.sparkSession)
     known = [Template(k, v) for k, v in (TEMPLATES if templates is None else templates).items()]
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = source(docs, id_col, text_col, row=False)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part, texts in slices(batch, text_col, 2 << 20):
                 best: dict[tuple[int, str], list] = {}
-                for d, name, start, end, share in sorted(scan(part["text"], known)):
+                for d, name, start, end, share in sorted(scan(texts, known)):
                     got = best.setdefault((d, name), [start, end, share, 0, -1])
                     if start >= got[4]:
                         got[3] += 1
@@ -163,5 +162,5 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
                     }
                 )
 
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, license string, start long, end long, share double, n_places long")
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, license string, start long, end long, share double, n_places long")

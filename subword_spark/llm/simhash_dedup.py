@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, prepare, table
-from .words import utf8
+from .common import components, drop, prepare, row_field, source, table
+from .words import slices, utf8
 
 BLOCK = 2048
 _HASHES = 1 << 16
@@ -148,21 +148,18 @@ def simhash_dedup(
     read by name.
     """
     prepare(docs.sparkSession)
-    cols = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    source = docs.select(*cols)
+    rows = source(docs, id_col, text_col, row).withColumn("id", F.col("id").cast("long"))
 
     def mark(batches):
         for batch in batches:
-            data, at = utf8(batch["text"])
-            raw = data.tobytes()
-            fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1], at[1:])], np.uint64).view(np.int64)
-            out = {"id": batch["id"], "fp": pa.array(fp)}
-            yield pa.RecordBatch.from_pydict(out | ({"row": batch["row"]} if row else {}))
-
-    fields = "id long, fp long" + (f", row {source.schema['row'].dataType.simpleString()}" if row else "")
-    marked = table(source.mapInArrow(mark, fields).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
+            for part, texts in slices(batch, text_col, 4 << 20):
+                data, at = utf8(texts)
+                raw = data.tobytes()
+                fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1], at[1:])], np.uint64).view(np.int64)
+                out = {"id": part["id"], "fp": pa.array(fp)}
+                yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
+
+    marked = table(rows.mapInArrow(mark, "id long, fp long" + row_field(rows)).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
     distinct = table(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
     pairs = table(links(distinct, max_bits), "links")
     comps = components(pairs)

@@ -25,14 +25,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, table
-from .words import split_words, text_of_word, window_hashes, word_hashes
+from .common import prepare, source, table
+from .words import slices, split_words, text_of_word, texts_of, window_hashes, word_hashes
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _ESC = 0xFFFF
 _LAST = np.iinfo(np.int64).max
 
@@ -51,7 +52,8 @@ def from_gaps(data: bytes) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.int64)[gaps != _ESC]
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    """Documents in blocks of at most ``BLOCK_BYTES`` of text, or one document."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -60,24 +62,17 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_batch(whole)
-        n = int(split_words(whole["text"]).counts.sum())
+        n = int(split_words(texts_of(whole, text_col)).counts.sum())
         return pa.RecordBatch.from_pydict({"block": pa.array([sink.getvalue().to_pybytes()], pa.binary()), "n": pa.array([n], pa.int64())})
 
     for batch in batches:
-        lens = np.cumsum(pa.compute.binary_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < len(lens):
-            done = int(lens[at - 1]) if at else 0
-            to = min(len(lens), max(at + 1, int(np.searchsorted(lens, done + BLOCK_BYTES - size, "right"))))
-            held.append(batch.slice(at, to - at))
-            size += int(lens[to - 1]) - done
-            at = to
-            if size >= BLOCK_BYTES:
-                yield block()
-                held, size = [], 0
-            elif at < len(lens):  # the next text does not fit
+        for part, texts in slices(batch, text_col, BLOCK_BYTES // 4):
+            more = int(pc.sum(pc.binary_length(texts)).as_py() or 0)
+            if held and size + more > BLOCK_BYTES:
                 yield block()
                 held, size = [], 0
+            held.append(part)
+            size += more
     if held:
         yield block()
 
@@ -85,9 +80,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Block:
     """A block's documents, words and window hashes."""
 
-    def __init__(self, data: bytes, size: int, strong: bool = False):
+    def __init__(self, data: bytes, size: int, text_col: str, strong: bool = False):
         self.rows = pa.ipc.open_stream(data).read_all().combine_chunks().to_batches()[0]
-        self.words = w = split_words(self.rows["text"])
+        self.texts = texts_of(self.rows, text_col)
+        self.words = w = split_words(self.texts)
         ids = self.rows["id"]
         self.ids = ids.cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)
         h = word_hashes(w, 1)
@@ -155,7 +151,8 @@ def substring_dedup(
 
     Returns ``id, n_words, n_removed, kept``, and with ``row`` also ``row``, a struct of all
     input columns. ``kept`` holds the kept words joined by one space (``layout="words"``), or
-    the text without the removed words and the white space after each (``layout="text"``).
+    the text without the removed words and the white space after each (``layout="text"``; a
+    null text stays null).
 
     Windows are judged on the input. Null text: no words, kept is empty. Fewer words than a
     window, repeats inside one document, and rows with the same id: nothing is removed for
@@ -165,11 +162,8 @@ def substring_dedup(
     """
     spark = docs.sparkSession
     prepare(spark)
-    cols = [F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    source = docs.select(*cols)
-    packed = source.mapInArrow(_pack, "block binary, n long").withColumn("block_id", F.monotonically_increasing_id())
+    rows = source(docs, id_col, text_col, row).withColumn("id", F.col("id").cast("long"))
+    packed = rows.mapInArrow(lambda batches: _pack(batches, text_col), "block binary, n long").withColumn("block_id", F.monotonically_increasing_id())
     blocks = table(packed, "blocks")
 
     total = blocks.agg(F.sum("n")).first()[0] or 0
@@ -181,7 +175,7 @@ def substring_dedup(
     def sketch(batches):
         for batch in batches:
             for data, block_id in zip(batch["block"], batch["block_id"].to_pylist()):
-                block = _Block(data.as_py(), window)
+                block = _Block(data.as_py(), window, text_col)
                 for r in range(depth):
                     cells = np.unique(block.cells(r, bits))
                     seg = (cells >> np.uint64(seg_bits)).astype(np.int64)
@@ -213,7 +207,7 @@ def substring_dedup(
     def ask(batches):
         for batch in batches:
             for data, block_id, got in zip(batch["block"], batch["block_id"].to_pylist(), batch["counted"]):
-                block = _Block(data.as_py(), window, strong=True)
+                block = _Block(data.as_py(), window, text_col, strong=True)
                 a, b, low, seg, _ = block.entries(block.candidates(bits, depth, seg_bits, got.as_py()), n_seg)
                 out = {"segment": [], "block_id": [], "keys": [], "docs": [], "runs": []}
                 for s, lo, hi in _runs(seg):
@@ -252,7 +246,7 @@ def substring_dedup(
     def cut(batches):
         for batch in batches:
             for data, counted, found in zip(batch["block"], batch["counted"], batch["found"]):
-                block = _Block(data.as_py(), window, strong=True)
+                block = _Block(data.as_py(), window, text_col, strong=True)
                 sel = block.candidates(bits, depth, seg_bits, counted.as_py())
                 _, _, low, seg, group_of = block.entries(sel, n_seg)
                 smaller = np.zeros(len(low), bool)
@@ -265,7 +259,7 @@ def substring_dedup(
 
     schema = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
-        + ([source.schema["row"]] if row else [])
+        + ([rows.schema["row"]] if row else [])
     )
     return asked.join(found, "block_id", "left").select("block", "counted", "found").mapInArrow(cut, schema)
 
@@ -302,7 +296,7 @@ def _without(block: _Block, starts: np.ndarray, window: int, layout: str, row: b
                 out[a:b] = False
             kept.append(w.data[w.offsets[i] : w.offsets[i + 1]][out].tobytes())
         else:
-            kept.append(text)
+            kept.append(text if block.texts[i].is_valid else None)
     cols = {
         "id": block.rows["id"],
         "n_words": pa.array(w.counts.astype(np.int64)),

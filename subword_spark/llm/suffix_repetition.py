@@ -18,9 +18,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, row_field, source
 from .words import Words, slices, split_words, text_of_word, word_hashes
 
 _SYMBOL = np.zeros(256, bool)
@@ -154,19 +153,16 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     read by name.
     """
     prepare(docs.sparkSession)
-    cols = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    source = docs.select(*cols)
+    rows = source(docs, id_col, text_col, row)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                f = features(part["text"], limits)
+            for part, texts in slices(batch, text_col, 2 << 20):
+                f = features(texts, limits)
                 failed = (f["n_words"] < limits.min_words) | (f["n_repeat_words"] > limits.max_window_share * f["n_words"])
                 kept = ~failed & (f["n_covered_words"] <= limits.max_covered * f["n_words"]) & (f["longest_repeat"] <= limits.max_longest)
                 out = {"id": part["id"]} | {k: pa.array(v) for k, v in f.items()} | {"base_failed": pa.array(failed), "kept": pa.array(kept)}
                 yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
 
-    fields = f"id {source.schema['id'].dataType.simpleString()}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_covered_words long, longest_repeat long, base_failed boolean, kept boolean"
-    return source.mapInArrow(run, fields + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
+    counts = ", ".join(f"{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words", "longest_repeat"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {counts}, base_failed boolean, kept boolean" + row_field(rows))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, row_field, source
 from .words import Words, slices, split_words, text_of_word, word_hashes
 
 _BITS = 18
@@ -43,8 +43,8 @@ _LOWER[65:91] += 32
 class Fit:
     """Bounds of the training sample and of the fit."""
 
-    max_per_class: int = 3000
-    max_chars: int = 20_000
+    max_per_class: int = 1500
+    max_chars: int = 8_000
     rounds: int = 7
     steps: int = 3
     seed: int = 5
@@ -332,16 +332,12 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
     are only passed on. Empty table: no rows. Other input columns are never read by name.
     """
     prepare(docs.sparkSession)
-    cols = [F.col(id_col).alias("id"), F.col(text_col).alias("text")]
-    if row:
-        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    source = docs.select(*cols)
+    rows = source(docs, id_col, text_col, row)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                out = {"id": part["id"], "score": pa.array(model.score(part["text"]), pa.float64())}
+            for part, texts in slices(batch, text_col, 1 << 20):
+                out = {"id": part["id"], "score": pa.array(model.score(texts), pa.float64())}
                 yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
 
-    fields = f"id {source.schema['id'].dataType.simpleString()}, score double"
-    return source.mapInArrow(run, fields + (f", row {source.schema['row'].dataType.simpleString()}" if row else ""))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double" + row_field(rows))

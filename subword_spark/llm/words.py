@@ -50,13 +50,19 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with at most ``limit`` bytes of text each, or one row."""
-    ends = np.cumsum(pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+def texts_of(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of a batch made by :func:`common.source`: in the row struct if there is one."""
+    return batch["row"].field(text_col) if "row" in batch.schema.names else batch["text"]
+
+
+def slices(batch: pa.RecordBatch, text_col: str, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of a batch with at most ``limit`` bytes of text each, or one row, and their texts."""
+    texts = texts_of(batch, text_col)
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = done = 0
     while at < len(ends):
         to = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
-        yield batch.slice(at, to - at)
+        yield batch.slice(at, to - at), texts.slice(at, to - at)
         at, done = to, int(ends[to - 1])
 
 

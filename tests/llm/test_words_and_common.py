@@ -30,7 +30,9 @@ def test_hashes_depend_on_the_words_alone():
 
 def test_slices_cover_the_batch():
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["ab", None, "c" * 50, "", "d"])})
-    assert [t for s in slices(batch, "text", 10) for t in s["text"].to_pylist()] == batch["text"].to_pylist()
+    parts = list(slices(batch, "text", 10))
+    assert [t for p, texts in parts for t in texts.to_pylist()] == batch["text"].to_pylist() and len(parts) == 3
+    assert all(p["text"] == texts for p, texts in parts)
 
 
 def test_components(spark):
