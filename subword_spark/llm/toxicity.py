@@ -45,8 +45,8 @@ class Fit:
 
     max_per_class: int = 1500
     max_chars: int = 8_000
-    rounds: int = 7
-    steps: int = 3
+    rounds: int = 6
+    updates: int = 100  # of the weights in each round, in whole passes over the sample
     seed: int = 5
 
 
@@ -295,7 +295,8 @@ def train(texts: list[str | None], labels: np.ndarray, fit: Fit = Fit()) -> Mode
             else:
                 best = top_windows(p, own, x)[1]
             chosen.append((own, x, y, start[best], length[best]))
-        for _ in range(fit.steps):
+        passes = -(-fit.updates // sum(-(-len(c[2]) // 128) for c in chosen))
+        for _ in range(passes):
             for own, x, y, start, length in chosen:
                 order = rng.permutation(len(y))
                 for lo in range(0, len(y), 128):
