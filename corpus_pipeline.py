@@ -1,25 +1,47 @@
 """From documents to token ids in five stages, each an operator of ``subword_spark.llm``.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all documents that the stage before
-it kept; all but the last return the columns of ``documents``. ``run`` writes each stage's
-result to the shared folder, so that a lost executor costs at most one stage.
+it kept; all but the last return the columns of ``documents``. A stage's result has to be
+written before the next stage is called, as ``run`` does: a lost executor then costs at most
+one stage, and a stage begins by deleting the tables that the stage before left behind.
 """
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subword_spark.llm.bpe_codec import bpe_encode
-from subword_spark.llm.common import drop, prepare, read, table
+from subword_spark.llm.common import made, prepare, read, release
 from subword_spark.llm.queries import fold
 from subword_spark.llm.simhash_dedup import simhash_dedup
 from subword_spark.llm.source_mixing import entropy_mix
 from subword_spark.llm.substring_dedup import substring_dedup
 from subword_spark.llm.toxicity import Fit, sample, score_toxicity, train
+from subword_spark.session import remove_path, shared_table
+
+_LEFT: set[str] = set()
+
+
+def stage(operate):
+    """Delete what the stage before has left in the shared folder, and note what this leaves."""
+
+    @functools.wraps(operate)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(_LEFT)
+        _LEFT.clear()
+        before = made()
+        out = operate(spark, docs, sf_dir)
+        _LEFT.update(made() - before)
+        return out
+
+    return run_stage
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window that the network calls toxic (0.5 or more) go."""
     fit = Fit()
@@ -28,11 +50,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model, row=True).where("score < 0.5").select("row.*")
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked within 4 fingerprint bits, the document with the smallest id stays."""
     return simhash_dedup(docs, shingle=4, max_bits=4, row=True).where("keep").select("row.*")
 
 
+@stage
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """13-word passages that a smaller document holds are cut out of the text. ``n_chars``
     follows where a text has changed; a text may become empty."""
@@ -42,12 +66,14 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: 0 to 3 times."""
     out = entropy_mix(docs, weights=(5, 2, 1), cap=3, row=True).where("copies > 0")
     return out.select(F.explode(F.sequence(F.lit(1), "copies")), "row").select("row.*")
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit numbers), and the digest of
     what they decode to."""
@@ -77,10 +103,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the token ids of the mix."""
     prepare(spark)
-    docs, before = read(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
-        docs = table(stage(spark, docs, sf_dir), name)
-        if before is not None:
-            drop(before)
-        before = docs
+    docs, last = read(spark, sf_dir, "documents"), None
+    for name, operate in STAGES[:-1]:
+        docs, path = shared_table(operate(spark, docs, sf_dir), name)
+        if last is not None:
+            remove_path(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -47,9 +47,14 @@ def drop(*tables: DataFrame) -> None:
         _delete(getattr(t, "_scratch_path", None))
 
 
-def release() -> None:
-    """Delete every table made by :func:`table` that is still there."""
-    for path in list(_TABLES):
+def made() -> set[str]:
+    """Paths of the tables made by :func:`table` that are still there."""
+    return set(_TABLES)
+
+
+def release(paths: set[str] | None = None) -> None:
+    """Delete these tables, or every one that is still there."""
+    for path in made() if paths is None else paths:
         _delete(path)
 
 

@@ -2,6 +2,7 @@
 
 import corpus_pipeline as P
 from subword_spark.llm import common
+from subword_spark.session import shared_table
 
 SF = "/root/testdata/sf0.01"
 
@@ -12,7 +13,7 @@ def test_stages(spark):
     seen = {"documents": docs}
     before = docs
     for name, stage in P.STAGES:
-        before = seen[name] = common.table(stage(spark, before, SF), name)
+        before = seen[name] = shared_table(stage(spark, before, SF), name)[0]
         assert name == "bpe_codec" or before.schema == docs.schema
     ids = {n: sorted(r.doc_id for r in d.select("doc_id").collect()) for n, d in seen.items()}
     assert set(ids["simhash_dedup"]) < set(ids["toxicity"]) < set(ids["documents"])
@@ -31,4 +32,5 @@ def test_stages(spark):
             assert r.text == texts[r.doc_id]
         else:
             assert len(r.text) < len(texts[r.doc_id]) and r.n_chars == len(r.text)
+    assert P._LEFT <= common.made()
     common.release()
