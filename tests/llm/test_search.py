@@ -2,11 +2,14 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from subword_spark.llm import mtree_search as M
+from subword_spark.llm.queries import ORACLES, op2_mtree_top_k
+from tools.check_oracles import digest
 
 
 def brute(rows, k, mod):
@@ -37,6 +40,14 @@ def test_tables(spark, sf):
     assert search(df, 5, 50) == brute([tuple(r) for r in df.collect()], 5, 50)
 
 
+def test_query_matches_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf}/embeddings.parquet')")
+    got, want = op2_mtree_top_k(spark, sf).toPandas(), con.sql(ORACLES["op2_mtree_top_k"]).df()
+    assert digest(got) == digest(want)
+
+
 def test_small_pages_ties_and_odd_vectors(spark, monkeypatch):
     for name, value in (("PAGE", 8), ("FAN", 3), ("SHARD", 60), ("PIVOTS", 4), ("BLOCK", 16)):
         monkeypatch.setattr(M, name, value)
