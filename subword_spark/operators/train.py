@@ -222,6 +222,10 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
         if budget <= 0 or vocab_room <= 0:
             break
         top = [(r.l, r.r, r.cnt) for r in top_pairs(counts_now, n_top, opts.min_frequency, rank_of).collect()]
+        # This has filled the last round's caches; the state and counts before are not read again.
+        for old in held[:-2]:
+            old.unpersist()
+        held = held[-2:]
         picks = choose_batch(top, tokens, index, min(budget, max_batch or budget), vocab_room, forbidden_pairs(opts, index))
         if not picks:
             break
@@ -254,11 +258,6 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
             for old in held:
                 old.unpersist()
             held = []
-        elif len(held) > 2:
-            counts_now.count()  # fills both caches, so that the older state is not read again
-            held[0].unpersist()
-            held[1].unpersist()
-            held = held[2:]
     for old in held:
         old.unpersist()
     return BPEModel(
