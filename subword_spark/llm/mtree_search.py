@@ -11,8 +11,12 @@ most ``page`` entries; a routing entry has a centre, its covering radius, its di
 centre of its own page (the parent distance) and a child page; a leaf entry has a vector and
 its parent distance. Pages are rows of a table in the shared folder.
 
-Search. Queries meet the shards in blocks. First each query searches a shard of its own
-region, which gives it a k-th best score; then it searches all other shards with that bound.
+Search. Each pair of a shard and a block of queries is a group of its own, so a group holds
+one shard's pages and about ``BLOCK`` queries, however many queries there are. First each query
+searches a shard of its own region, which gives it a k-th best score; then it searches all
+other shards with that bound. Queries go to every shard and pages to every block, so the rows
+moved are queries times shards and pages times blocks; blocks are half as large as shards to
+keep the two alike.
 Within a shard pages are taken best first, by the least distance a page can hold. An entry is
 passed over without computing its distance if the stored parent distance and the query's
 distance to the parent already put it beyond the bound.
@@ -38,7 +42,8 @@ PIVOTS = 16
 SHARD = 32_768
 PAGE = 256
 FAN = 16
-BLOCK = 512
+#: Queries that meet a shard in one group.
+BLOCK = 16_384
 _MARGIN = 1e-6
 _LIMIT = float(1 << 24)
 
@@ -238,32 +243,32 @@ def top_k(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     asked = table(filled(queries).withColumn("region", region("v")).select("id", "v", home.alias("home")), "queries")
     n_shards = sum(parts)
 
-    def blocks(df: DataFrame, where: str) -> DataFrame:
-        """Queries in blocks of bounded size, by the shard that they go to."""
-        df = df.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n_queries // BLOCK)))))
-        return df.groupBy(where, "block").agg(F.collect_list(F.struct("id", "v", "bound", "home")).alias("asked"))
-
     def answer(tree: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(tree) and len(block):
             t = _Tree(tree, dim)
-            here = int(tree["shard"].iloc[0])
-            for rows in block["asked"]:
-                for r in rows:
-                    if block["first"].iloc[0] or r["home"] != here:
-                        bound = None if r["bound"] is None or np.isnan(r["bound"]) else int(r["bound"])
-                        q = np.asarray(r["v"], np.int64)
-                        out += [(r["id"], i, s) for s, i in t.search(q, r["id"], k, r2, bound)]
+            for r in block.itertuples():
+                bound = None if np.isnan(r.bound) else int(r.bound)
+                out += [(r.id, i, s) for s, i in t.search(np.asarray(r.v, np.int64), r.id, k, r2, bound)]
         return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype({"query_id": "int64", "id": "int64", "score": "int64"})
 
-    schema = "query_id long, id long, score long"
-    n_queries = asked.count()
+    def meet(pages: DataFrame, block: DataFrame) -> DataFrame:
+        """Answers of each block from its shard; ``pages`` have the blocks they go to."""
+        return pages.groupBy("shard", "block").cogroup(block.groupBy("shard", "block")).applyInPandas(answer, "query_id long, id long, score long")
+
     by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    at_home = blocks(asked.withColumn("bound", F.lit(None).cast("double")), "home").select(F.col("home").alias("shard"), "asked", F.lit(True).alias("first"))
-    found = table(pages.groupBy("shard").cogroup(at_home.groupBy("shard")).applyInPandas(answer, schema), "found")
+    n_blocks = max(1, -(-asked.count() // BLOCK))
+    number = F.xxhash64("id", "v")
+    # A home has as many blocks as its queries need, and its pages go to these only.
+    per_home = asked.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+    at_home = asked.join(per_home, "home").select(F.col("home").alias("shard"), F.pmod(number, F.col("n")).alias("block"), "id", "v", F.lit(None).cast("double").alias("bound"))
+    asking = at_home.select(F.col("shard").alias("to"), F.col("block").alias("part")).distinct()
+    found = table(meet(pages.join(asking, F.col("shard") == F.col("to")).drop("to").withColumnRenamed("part", "block"), at_home), "found")
     bounds = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("bound")).where(F.col("n") >= k)
-    elsewhere = blocks(asked.join(bounds, asked.id == bounds.query_id, "left").select("id", "v", "bound", "home").withColumn("all", F.lit(0)), "all")
-    elsewhere = elsewhere.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))).alias("shard"), "asked", F.lit(False).alias("first"))
-    rest = pages.groupBy("shard").cogroup(elsewhere.groupBy("shard")).applyInPandas(answer, schema)
+    every = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
+    elsewhere = asked.join(bounds, asked.id == bounds.query_id, "left").select("home", F.pmod(number, F.lit(n_blocks)).alias("block"), "id", "v", "bound")
+    elsewhere = elsewhere.withColumn("shard", F.explode(every)).where("shard <> home").drop("home")
+    all_blocks = F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))
+    rest = meet(pages.withColumn("block", F.explode(all_blocks)), elsewhere)
     ranked = found.union(rest).distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score")

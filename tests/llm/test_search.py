@@ -92,3 +92,28 @@ def test_bounds_pass_over_distances(monkeypatch):
         s = v.astype(np.int64) @ v[i].astype(np.int64)
         assert got == [(int(s[t]), int(t)) for t in np.lexsort((np.arange(len(v)), -s)) if t != i][:5]
     assert computed < 0.5 * 10 * len(v)
+
+
+def test_groups_hold_one_block_of_queries(spark, monkeypatch):
+    """No group gets more queries than a few times BLOCK, also where most have one vector and home."""
+    import pickle
+
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+
+    for name, value in (("SHARD", 100), ("PIVOTS", 4), ("BLOCK", 16)):
+        monkeypatch.setattr(M, name, value)
+    real = PandasCogroupedOps.applyInPandas
+
+    def bounded(self, answer, schema):
+        def checked(tree, block):
+            if len(pickle.dumps(block)) > 8_000:  # 16 queries: about 2,500
+                raise AssertionError(f"a group of {len(pickle.dumps(block))} bytes")
+            return answer(tree, block)
+
+        return real(self, checked, schema)
+
+    monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", bounded)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(400)] + [(400 + i, [0.5] * 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    assert search(df, 5, 1) == brute(rows, 5, 1)
