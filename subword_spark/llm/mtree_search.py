@@ -21,8 +21,9 @@ Within a shard pages are taken best first, by the least distance a page can hold
 passed over without computing its distance if the stored parent distance and the query's
 distance to the parent already put it beyond the bound.
 
-Scores are integers and are computed exactly; distances only decide what is passed over, with
-a margin for rounding.
+Scores are integers and are computed exactly, with Python integers where a sum may pass 64
+bits; distances only decide what is passed over, with a margin for rounding that follows the
+norms. An answer whose score is beyond 64 bits is an error, as it is in SQL.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ FAN = 16
 #: Queries that meet a shard in one group.
 BLOCK = 16_384
 _MARGIN = 1e-6
-_LIMIT = float(1 << 24)
+_WORD = 1 << 63
 
 _PAGES = "shard long, page int, leaf boolean, centre binary, vectors binary, parent_distance binary, radius binary, child binary, ids binary, id_count binary"
 
@@ -96,18 +97,23 @@ class _Loader:
 
 
 def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products; components are below 2^24, so int64 holds every sum."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[-1] < 2.0**53:
+    """Exact integer products: in doubles or int64 where these hold every sum, else as Python integers."""
+    most = _largest(a) * _largest(b) * a.shape[-1]
+    if most < 1 << 53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    return a @ b.T
+    return a @ b.T if most < _WORD else a.astype(object) @ b.T.astype(object)
+
+
+def _largest(a: np.ndarray) -> int:
+    return max(int(a.max()), -int(a.min())) if a.size else 0
 
 
 class _Tree:
-    def __init__(self, rows: pd.DataFrame, dim: int):
+    def __init__(self, rows: pd.DataFrame, dim: int, kind: type = np.int32):
         self.pages = {}
         for r in rows.itertuples():
             width = dim if r.leaf else dim + 1
-            v = np.frombuffer(r.vectors, np.int32 if r.leaf else np.float64).reshape(-1, width)
+            v = np.frombuffer(r.vectors, kind if r.leaf else np.float64).reshape(-1, width)
             count = np.frombuffer(r.id_count, np.int32)
             self.pages[r.page] = (
                 r.leaf,
@@ -167,30 +173,38 @@ class _Tree:
 
 
 def quantize(vectors: DataFrame, id_col: str, vector_col: str, scale: float = 256) -> DataFrame:
-    """``id, v``: each component x as floor(scale * x), of x as a double."""
-    x = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale))
-    whole = F.forall(
-        F.col(vector_col),
-        lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double") * scale) < _LIMIT),
-    )
-    return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & whole).select(F.col(id_col).cast("long").alias("id"), x.cast("array<int>").alias("v"))
+    """``id, v``: each component x as floor(scale * x), of x as a double.
+
+    Null ids and vectors, and vectors with a null or non-finite component, are left out; no
+    other. A scaled component beyond 64 bits is an error, as it is in SQL.
+    """
+
+    def whole(x):
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < float(_WORD), F.floor(y)).otherwise(F.raise_error(F.lit("a scaled component is beyond 64 bits")))
+
+    finite = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+    known = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite)
+    return known.select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vector_col), whole).cast("array<bigint>").alias("v"))
 
 
 def top_k(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k highest integer inner products of each query: ``query_id, rank, id, score``.
 
-    ``points`` and ``queries``: ``id`` (long), ``v`` (array<int>). A query's own id is no
+    ``points`` and ``queries``: ``id`` (long), ``v`` (array<bigint>). A query's own id is no
     candidate; ties go to the smaller id. Vectors of other lengths than the longest count as
     filled up with zeros. Rows with the same id and vector count once; an id with several
     vectors counts with each. No rows: no result.
     """
     prepare(points.sparkSession)
-    dim, r2 = points.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()
+    most = F.greatest(F.max(F.array_max("v")), -F.min(F.array_min("v")).cast("decimal(20,0)"))
+    dim, r2, largest = points.agg(F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))), most).first()
     if dim is None:
         return points.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
+    kind = np.int32 if (largest or 0) < 1 << 31 else np.int64  # of the vectors in pages
 
     def filled(df: DataFrame) -> DataFrame:
-        return df.select("id", F.concat("v", F.array_repeat(F.lit(0), F.greatest(F.lit(dim) - F.size("v"), F.lit(0)))).alias("v")).distinct()
+        return df.select("id", F.concat(F.col("v").cast("array<bigint>"), F.array_repeat(F.lit(0).cast("long"), F.greatest(F.lit(dim) - F.size("v"), F.lit(0)))).alias("v")).distinct()
 
     nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     distinct = filled(points).withColumn("n", nth).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -212,7 +226,7 @@ def top_k(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("low", kind="stable")
-        v = np.stack(pdf["v"].to_numpy()).reshape(len(pdf), dim).astype(np.int32)
+        v = np.stack(pdf["v"].to_numpy()).reshape(len(pdf), dim).astype(kind)
         ids = pdf["ids"].to_numpy()
         loader = _Loader(v, r2)
         loader.load(np.arange(len(v)), loader.v.mean(0))
@@ -246,10 +260,12 @@ def top_k(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def answer(tree: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(tree) and len(block):
-            t = _Tree(tree, dim)
+            t = _Tree(tree, dim, kind)
             for r in block.itertuples():
-                bound = None if np.isnan(r.bound) else int(r.bound)
+                bound = None if r.bound == -_WORD else int(r.bound)
                 out += [(r.id, i, s) for s, i in t.search(np.asarray(r.v, np.int64), r.id, k, r2, bound)]
+            if any(not -_WORD <= s < _WORD for _, _, s in out):
+                raise OverflowError("a score is beyond 64 bits")
         return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype({"query_id": "int64", "id": "int64", "score": "int64"})
 
     def meet(pages: DataFrame, block: DataFrame) -> DataFrame:
@@ -258,15 +274,15 @@ def top_k(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     n_blocks = max(1, -(-asked.count() // BLOCK))
-    number = F.xxhash64("id", "v")
+    number, none = F.xxhash64("id", "v"), F.lit(-_WORD).cast("long")  # a null would turn bounds to doubles in pandas
     # A home has as many blocks as its queries need, and its pages go to these only.
     per_home = asked.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
-    at_home = asked.join(per_home, "home").select(F.col("home").alias("shard"), F.pmod(number, F.col("n")).alias("block"), "id", "v", F.lit(None).cast("double").alias("bound"))
+    at_home = asked.join(per_home, "home").select(F.col("home").alias("shard"), F.pmod(number, F.col("n")).alias("block"), "id", "v", none.alias("bound"))
     asking = at_home.select(F.col("shard").alias("to"), F.col("block").alias("part")).distinct()
     found = table(meet(pages.join(asking, F.col("shard") == F.col("to")).drop("to").withColumnRenamed("part", "block"), at_home), "found")
-    bounds = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("bound")).where(F.col("n") >= k)
+    bounds = found.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("bound")).where(F.col("n") >= k)
     every = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
-    elsewhere = asked.join(bounds, asked.id == bounds.query_id, "left").select("home", F.pmod(number, F.lit(n_blocks)).alias("block"), "id", "v", "bound")
+    elsewhere = asked.join(bounds, asked.id == bounds.query_id, "left").select("home", F.pmod(number, F.lit(n_blocks)).alias("block"), "id", "v", F.coalesce("bound", none).alias("bound"))
     elsewhere = elsewhere.withColumn("shard", F.explode(every)).where("shard <> home").drop("home")
     all_blocks = F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))
     rest = meet(pages.withColumn("block", F.explode(all_blocks)), elsewhere)

@@ -117,3 +117,28 @@ def test_groups_hold_one_block_of_queries(spark, monkeypatch):
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(400)] + [(400 + i, [0.5] * 4) for i in range(400)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
     assert search(df, 5, 1) == brute(rows, 5, 1)
+
+
+def test_large_components(spark, monkeypatch):
+    """Components beyond 2^24 are kept and scores stay exact, also where bounds pass 2^53 and sums 2^63."""
+    for name, value in (("SHARD", 60), ("PIVOTS", 4), ("BLOCK", 16)):
+        monkeypatch.setattr(M, name, value)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * 10.0 ** (i % 7)]) for i in range(400)]
+    rows += [(400 + i, [float(x) for x in rng.integers(1 << 21, 1 << 22, 4)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert search(df, 5, 10) == brute(rows, 5, 10)
+    # One far vector whose product with itself is beyond 64 bits, but no answer is.
+    rows = [(i, [float(x) for x in rng.integers(-9, 9, 4)]) for i in range(60)] + [(60, [2.0**40, 3.0, -1.0, 2.0]), (61, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    known = {i: [math.floor(256 * x) for x in v] + [0] * (4 - len(v)) for i, v in rows}
+    want = []
+    for i in range(0, 62, 10):
+        best = sorted((-sum(a * b for a, b in zip(known[i], v)), d) for d, v in known.items() if d != i)[:5]
+        want += [(i, n + 1, d, -s) for n, (s, d) in enumerate(best)]
+    assert search(df, 5, 10) == sorted(want)
+
+
+def test_products_beyond_64_bits():
+    a, b = np.array([[(1 << 40) + 1, 5], [3, -7]], np.int64), np.array([[1 << 40, 11]], np.int64)
+    assert M._dot(a, b)[:, 0].tolist() == [((1 << 40) + 1) * (1 << 40) + 55, 3 * (1 << 40) - 77]
