@@ -206,6 +206,34 @@ def test_license_query(spark):
         assert {r.doc_id for r in rows if r.license == name} == {i for i, t in docs.items() if mark in (t or "")}
 
 
+@pytest.mark.parametrize("numbered", [False, True])
+def test_licenses_are_told_from_their_siblings(spark, numbered):
+    """Each text or notice is reported under its own name and under no sibling's."""
+    known = [L.Template(k, v) for k, v in L.TEMPLATES.items()]
+    near = L.siblings(known)
+    assert {"GPL-2.0-or-later", "LGPL-2.1-or-later", "AGPL-3.0-or-later"} <= near["GPL-3.0-or-later"] and "BSD-2-Clause" in near["BSD-3-Clause"]
+    names = list(L.TEMPLATES)
+    texts = [f"Some words before. {t} And some more words after it, as files have them." for t in L.TEMPLATES.values()]
+    if numbered:  # as people write them: numbers, another holder
+        texts = [t.replace("Redistributions of", "1. Redistributions of").replace("Redistributions in", "2. Redistributions in").replace("Neither", "3. Neither").replace("copyright holder nor", "Foo Project nor") for t in texts]
+    rows = L.license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = collections.defaultdict(set)
+    for r in rows:
+        found[r.id].add(r.license)
+    for i, name in enumerate(names):
+        own = name.partition("#")[0]
+        assert own in found[i] and not found[i] & ({x.partition("#")[0] for x in near[name]} - {own}), (name, found[i])
+
+
+def test_siblings_side_by_side():
+    """Two notices in one text are both reported, at their places."""
+    known = [L.Template(k, v) for k, v in L.TEMPLATES.items()]
+    for a, b in [("GPL-2.0-or-later", "GPL-3.0-or-later"), ("BSD-3-Clause", "BSD-2-Clause"), ("LGPL-2.1-or-later", "GPL-2.0-or-later")]:
+        for x, y in ((a, b), (b, a)):
+            hits = L.scan(pa.array([f"{L.TEMPLATES[x]} {L.TEMPLATES[y]}"]), known)
+            assert {name for _, name, *_ in L.settle(hits, known, L.siblings(known)) if not name.endswith("notice")} == {a, b}
+
+
 # URL filter
 
 
