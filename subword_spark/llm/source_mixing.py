@@ -115,7 +115,7 @@ def corrections(copied: DataFrame, sources: DataFrame, cap: float, rounds: int =
         state = best.select("sid", "lack", F.col("size").alias("last"))
     can = F.when(F.col("change") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
     one = copied.join(picks.select("sid", "size", "change"), ["sid", "size"]).where(can)
-    return one.groupBy("sid", "size", "change").agg(F.min(F.struct("id", "uid")).alias("d")).select(F.col("d.uid").alias("uid"), "change")
+    return one.groupBy("sid", "size", "change").agg(F.min(F.struct("id", "copies", "uid")).alias("d")).select(F.col("d.uid").alias("uid"), "change")
 
 
 def entropy_mix(
@@ -155,21 +155,38 @@ def entropy_mix(
     rate = F.when(F.col("lam").isNull(), F.lit(float(cap))).otherwise(F.when(F.abs(free - F.round(free)) < 1e-9, F.round(free)).otherwise(free))
     cells = cells.join(lams, "sid").withColumn("rate", rate).withColumn("parts", F.ceil(F.col("n") / RANKED))
 
-    # Documents of a cell are ranked in parts of bounded size; a part's place along its source
-    # is the sum of the fractions before it, so the rounding goes on from part to part.
+    # Documents of a cell are ranked in parts of bounded size by the hash of the id; rows of one
+    # id that are too many for a part are a part of their own, in lots by row. Such rows are
+    # interchangeable and their lots follow each other, so the copies of an id do not depend on
+    # row order. A row's place along its source is the sum of the fractions of the larger sizes
+    # and of the rows before it, so the rounding goes on from part to part.
     d, c = sized.select("id", "source", "size", "uid").alias("d"), cells.alias("c")
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("d.id", "d.uid"), F.col("parts"))).otherwise(F.lit(0).cast("long"))
-    placed = d.join(c, F.expr("d.source <=> c.source AND d.size = c.size")).select("d.id", "d.source", "d.size", "d.uid", "sid", "rate", part.alias("part"))
-    here = placed.groupBy("sid", "size", "part").agg(F.count("*").alias("m"), F.first("rate").alias("r"))
-    along = Window.partitionBy("sid").orderBy(F.col("size").desc(), "part").rowsBetween(Window.unboundedPreceding, -1)
-    here = here.withColumn("start", F.coalesce(F.sum(F.col("m") * (F.col("r") - F.floor("r"))).over(along), F.lit(0.0)) + 0.5)
-    rank = F.row_number().over(Window.partitionBy("sid", "size", "part").orderBy(F.xxhash64("id"), "id", "uid"))
-    frac = F.col("rate") - F.floor("rate")
-    extra = F.floor(F.col("start") + F.col("rank") * frac) - F.floor(F.col("start") + (F.col("rank") - 1) * frac)
+    dealt = d.join(c, F.expr("d.source <=> c.source AND d.size = c.size")).select("d.id", "d.size", "d.uid", "sid", "rate", "parts")
+    many = dealt.where("parts > 1").groupBy("sid", "size", "id").agg(F.count("*").alias("m")).where(F.col("m") > RANKED)
+    many = many.select("sid", "size", "id", F.ceil(F.col("m") / RANKED).alias("lots"))
+    big = F.col("lots").isNotNull()
+    place = [
+        F.when(F.col("parts") > 1, F.pmod(F.xxhash64("d.id"), F.col("parts"))).otherwise(F.lit(0).cast("long")).alias("part"),
+        big.alias("big"),
+        F.when(big, F.col("d.id")).alias("own"),
+        F.when(big, F.pmod(F.xxhash64("uid"), F.col("lots"))).otherwise(F.lit(0).cast("long")).alias("lot"),
+    ]
+    placed = dealt.alias("d").join(F.broadcast(many).alias("m"), F.expr("d.sid = m.sid AND d.size = m.size AND d.id <=> m.id"), "left")
+    placed = placed.select("d.id", "d.size", "d.uid", "d.sid", "rate", *place)
+    where = ["sid", "size", "part", "big", "own", "lot"]
+    rest = F.col("rate") - F.floor("rate")
+    larger = Window.partitionBy("sid").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cells.select("sid", "size", (F.coalesce(F.sum(F.col("n") * rest).over(larger), F.lit(0.0)) + 0.5).alias("start"))
+    before = Window.partitionBy("sid", "size").orderBy("part", "big", "own", "lot").rowsBetween(Window.unboundedPreceding, -1)
+    here = placed.groupBy(*where).agg(F.count("*").alias("m")).withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0))).join(starts, ["sid", "size"])
+    rank = F.row_number().over(Window.partitionBy(*where).orderBy(F.xxhash64("id"), "id", "uid"))
+    at = F.col("before") + F.col("rank")
+    extra = F.floor(F.col("start") + at * rest) - F.floor(F.col("start") + (at - 1) * rest)
     copied = table(
         placed.withColumn("rank", rank)
-        .join(here.select("sid", "size", "part", "start"), ["sid", "size", "part"])
-        .select("uid", "id", "sid", "size", "rate", (F.floor("rate") + extra).cast("int").alias("copies")),
+        .alias("p")
+        .join(here.alias("h"), F.expr(" AND ".join(f"p.{x} <=> h.{x}" for x in where)))
+        .select("uid", "id", "p.sid", "p.size", "rate", (F.floor("rate") + extra).cast("int").alias("copies")),
         "copied",
     )
     changed = corrections(copied, sources, cap)

@@ -2,6 +2,9 @@
 
 import math
 
+from pyspark.sql import functions as F
+
+from subword_spark.llm import source_mixing as M
 from subword_spark.llm.queries import op1_source_mixing
 from subword_spark.llm.source_mixing import entropy_mix
 
@@ -55,3 +58,15 @@ def test_rates_are_exponential_in_size(spark):
     for s in "ab":
         slope = {round(math.log(r["rate"]) / r["size"], 9) for r in rows if r["source"] == s and r["rate"] < 3}
         assert len(slope) == 1
+
+
+def test_copies_do_not_depend_on_row_order(spark, monkeypatch):
+    """Cells of many parts, ids that repeat and null ids: the same copies however the rows lie."""
+    monkeypatch.setattr(M, "RANKED", 20)
+    text = [(i, "w " * (3 + i % 4), "abc"[i % 3]) for i in range(1200)]
+    text += [(5, "w " * 3, "a")] * 90 + [(None, "w " * 4, "b")] * 90 + [(2000 + i // 2, "w " * 5, "c") for i in range(60)]
+    df = spark.createDataFrame(text, "doc_id long, text string, source string")
+    got = [sorted(str(tuple(r)) for r in entropy_mix(x).select("id", "source", "size", "copies").collect()) for x in (df.coalesce(1), df.repartition(7, "text"), df.orderBy(F.col("doc_id").desc()).repartition(3))]
+    assert got[0] == got[1] == got[2]
+    rows = [r.asDict() for r in entropy_mix(df).collect()]
+    _check(rows, lambda mine: max(r["size"] for r in mine))
