@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .best_fit_packing import pack
 from .bpe_codec import bpe_encode
 from .chat_format import format_trees, read_turns, unescape
-from .common import read
+from .common import WORD, read, table
 from .license_scan import license_scan
 from .mtree_search import quantize, top_k
+from .period_runs import period_runs
+from .prefix_trie import trie_nodes, turn_sequences
 from .simhash_dedup import simhash_dedup
 from .source_mixing import entropy_mix
 from .substring_dedup import substring_dedup
@@ -145,6 +148,64 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids, each document ended by id 0, packed into sequences of 2048."""
+    out = pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end=0)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """Conversations that share their first turns: the first h (crc32 of the id, modulo 6) are
+    those of the conversation with the id's hundred, the others its own."""
+    h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6)).cast("int")
+    heads = sequences.where("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("head"))
+    each = sequences.withColumn("base", F.expr("conv_id - conv_id % 100")).join(heads, "base", "left").withColumn("h", h)
+    own = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return each.select("conv_id", F.when(F.col("head").isNull(), own).otherwise(F.concat(F.slice("head", F.lit(1), F.col("h")), own)).alias("turns"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that they share first turns."""
+    sequences = turn_sequences(read(spark, sf_dir, "conversations"))
+    return trie_nodes(rebuilt(table(sequences, "sequences")))
+
+
+def tiled(docs: DataFrame) -> DataFrame:
+    """Documents, a tenth of them (by crc32 of the id) with a stretch of words that repeats up
+    to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), 0)
+    each = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    each = each.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    each = each.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + F.pmod(i - F.col("a"), F.col("p")))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long")), lambda i: F.element_at("words", (at(i) + 1).cast("int")))
+    return each.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them with planted ones."""
+    out = period_runs(tiled(read(spark, sf_dir, "documents")))
+    # The run with the greatest length / period; the cross products are exact.
+    top = F.expr("""array_sort(runs, (a, b) -> CASE
+        WHEN a.length * b.period <> b.length * a.period THEN IF(a.length * b.period > b.length * a.period, -1, 1)
+        WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1)
+        ELSE CAST(sign(a.period - b.period) AS INT) END)""")
+    out = out.withColumn("top", F.try_element_at(top, F.lit(1)))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"),
+        F.col("top.period").alias("period"),
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_mtree_top_k": op2_mtree_top_k,
@@ -156,10 +217,20 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_period_runs": op13_period_runs,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+
+def _crc32(text: str) -> str:
+    """crc32 of ASCII text, bit by bit."""
+    byte = "list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda a, b: {byte}), 4294967295)"
+
+
 ORACLES = {
     "op2_mtree_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
@@ -168,6 +239,37 @@ s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(range(1, le
       FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+""",
+    "op12_prefix_trie": rf"""
+WITH t AS (SELECT conv_id, list({'{'}'role': coalesce(role, ''), 'text': coalesce(text, ''){'}'} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, own, {_crc32("conv_id::VARCHAR")} % 6 AS h FROM t),
+r AS (SELECT a.conv_id, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) AS s FROM h a LEFT JOIN t b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, s[1:d] AS k, d, d = len(s) AS last FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM r)),
+n AS (SELECT k, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last) AS ends,
+             (count(*) - 1) * coalesce(length(k[d].text), 0) AS saved FROM p GROUP BY k, d),
+c AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (k)),
+u AS (SELECT k[1:e] AS k, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth::BIGINT AS depth, x.conv_id AS parent_conv_id, m.n_convs::BIGINT AS n_convs, m.n_children::BIGINT AS n_children,
+       u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN u USING (k) LEFT JOIN n x ON m.depth > 0 AND x.depth = m.depth - 1 AND x.k = m.k[1:m.depth - 1]
+""",
+    "op13_period_runs": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS o, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+e AS (SELECT doc_id, o, len(o) AS n, h % 10 = 0 AND len(o) > 0 AS tiled, (h // 10) % greatest(len(o), 1) AS a, h // 10 AS g FROM d),
+w AS (SELECT doc_id, n, i, CASE WHEN tiled AND i >= a THEN o[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] ELSE o[i + 1] END AS x
+      FROM (SELECT *, unnest(range(0, n)) AS i FROM e)),
+eq AS (SELECT l.doc_id, r.i - l.i AS q, l.i AS i FROM w l JOIN w r ON l.doc_id = r.doc_id AND l.x = r.x AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+s AS (SELECT doc_id, q, min(i) AS b, max(i) + 1 + q AS f FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM eq) GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, b, f, min(q) AS q FROM s WHERE f - b >= greatest(6, 4 * q) GROUP BY doc_id, b, f),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY (f - b)::DECIMAL(38, 0) * 1000000000000 // q DESC, b, q) AS k FROM runs) WHERE k = 1),
+digest AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(b, ',', f - b, ',', q, chr(10)), '' ORDER BY b, q) AS lines FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(b + q, f)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.b::BIGINT AS start, (top.f - top.b)::BIGINT AS length, top.q::BIGINT AS period,
+       (1000 * (top.f - top.b) // top.q)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM e LEFT JOIN top USING (doc_id) LEFT JOIN digest USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
     "op10_substring_dedup": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import prepare, row_field, source
-from .words import Words, slices, split_words, text_of_word, word_hashes
+from .words import Words, covered, slices, split_words, text_of_word, word_hashes
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -102,14 +102,6 @@ def _shared(sorted_ranks: np.ndarray) -> np.ndarray:
     return out
 
 
-def covered(starts: np.ndarray, length, n: int) -> np.ndarray:
-    """Which of n words lie in a span."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + length, -1)
-    return np.cumsum(edge[:n]) > 0
-
-
 def _per_text(marks: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(np.r_[0, np.cumsum(marks, dtype=np.int64)][bounds])
 

@@ -82,6 +82,24 @@ def split_words(texts: pa.Array, space: np.ndarray = IS_SPACE) -> Words:
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
+def word_numbers(w: Words, space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, pa.Array]:
+    """A number from 0 for each word, equal for words of equal bytes only, and the distinct
+    words in the order of their numbers."""
+    at = np.r_[0, np.cumsum(w.ends - w.starts)].astype(np.int64)
+    data = w.data[~space[w.data]]  # words without what parts them
+    words = pa.Array.from_buffers(pa.large_binary(), len(w.starts), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def covered(starts: np.ndarray, length, n: int) -> np.ndarray:
+    """Which of n words lie in a span."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + length, -1)
+    return np.cumsum(edge[:n]) > 0
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every input bit over 64 bits."""
     h = h ^ (h >> np.uint64(32))
