@@ -40,7 +40,7 @@ def slices(batches, col: str = "seq", max_symbols: int = MAX_SLICE_SYMBOLS):
             start = stop
 
 
-def _flat(batch: pa.RecordBatch):
+def unpack(batch: pa.RecordBatch):
     seq = batch.column("seq")
     lengths = pc.list_value_length(seq).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = seq.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -66,7 +66,7 @@ MAX_DENSE_PAIRS = 1 << 22
 MAX_EXACT_TOTAL = 1 << 53
 
 
-def _sum_by_key(keys: np.ndarray, weights: np.ndarray):
+def sum_by_key(keys: np.ndarray, weights: np.ndarray):
     """Distinct pair keys (ascending) and their summed weights, without those that sum to 0."""
     if keys.size == 0:
         return keys, weights
@@ -99,12 +99,12 @@ def _pairs_batch(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
 def count_pairs(batches):
     """Partial weighted counts of adjacent pairs, one row per distinct pair and slice."""
     for batch in slices(batches):
-        flat, lengths, weights = _flat(batch)
+        flat, lengths, weights = unpack(batch)
         keys, inside = _pair_keys(flat, lengths)
         if keys.size == 0:
             continue
         w = np.repeat(weights, lengths)[:-1]
-        ks, sums = _sum_by_key(keys[inside], w[inside])
+        ks, sums = sum_by_key(keys[inside], w[inside])
         if ks.size:
             yield _pairs_batch(ks, sums)
 
@@ -141,7 +141,7 @@ def apply_merges(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len:
     they hold no pair any more.
     """
     for batch in slices(batches):
-        flat, lengths, weights = _flat(batch)
+        flat, lengths, weights = unpack(batch)
         keys, inside = _pair_keys(flat, lengths)
         pos, which = merge_positions(keys, inside, batch_keys)
         if pos.size:
@@ -198,63 +198,6 @@ def distinct_code_points(batches):
         yield pa.RecordBatch.from_arrays([pa.array(cps.astype(np.int32))], names=["cp"])
 
 
-STEP_DDL = "kind tinyint, seq array<int>, weight bigint, l int, r int, cnt bigint"
-_STEP_SCHEMA = pa.schema(
-    [
-        ("kind", pa.int8()),
-        ("seq", pa.list_(pa.int32())),
-        ("weight", pa.int64()),
-        ("l", pa.int32()),
-        ("r", pa.int32()),
-        ("cnt", pa.int64()),
-    ]
-)
-
-
-def step(batches, batch_keys: np.ndarray, new_ids: np.ndarray, min_len: int = 2):
-    """One training round in one pass: apply the batch's merges and count what they change.
-
-    Emits state rows (``kind`` 0: seq, weight) and signed changes of pair counts (``kind`` 1:
-    l, r, cnt). Only rows that hold a merged pair are counted, before and after: the pass
-    costs one look at every symbol, and sums in proportion to the rows that change."""
-    for batch in slices(batches):
-        flat, lengths, weights = _flat(batch)
-        keys, inside = _pair_keys(flat, lengths)
-        pos, which = merge_positions(keys, inside, batch_keys)
-        pk, sums = np.empty(0, np.int64), np.empty(0, np.int64)
-        if pos.size:
-            seq_of = np.repeat(np.arange(lengths.size), lengths)
-            lost = np.bincount(seq_of[pos], minlength=lengths.size)
-            touched = lost > 0
-            was = inside & touched[seq_of[:-1]]
-            before, gone = keys[was], -weights[seq_of[:-1][was]]
-            flat = flat.copy()
-            flat[pos] = new_ids[which]
-            keep = np.ones(flat.size, bool)
-            keep[pos + 1] = False
-            flat, seq_of, lengths = flat[keep], seq_of[keep], lengths - lost
-            keys, inside = _pair_keys(flat, lengths)
-            now = inside & touched[seq_of[:-1]] if keys.size else inside
-            pk, sums = _sum_by_key(np.concatenate((before, keys[now])), np.concatenate((gone, weights[seq_of[:-1][now]])))
-        live = lengths >= min_len
-        if not np.all(live):
-            flat = flat[np.repeat(live, lengths)]
-            lengths, weights = lengths[live], weights[live]
-        n_state, n_pairs = int(lengths.size), int(pk.size)
-        if n_state:
-            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-            seq = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
-            yield _step_batch(n_state, 0, {"seq": seq, "weight": pa.array(weights.astype(np.int64))})
-        if n_pairs:
-            yield _step_batch(n_pairs, 1, {"l": pa.array((pk >> 32).astype(np.int32)), "r": pa.array((pk & 0xFFFFFFFF).astype(np.int32)), "cnt": pa.array(sums.astype(np.int64))})
-
-
-def _step_batch(n: int, kind: int, cols: dict) -> pa.RecordBatch:
-    """A batch of the step's schema: the given columns, nulls elsewhere."""
-    cols = {"kind": pa.array(np.full(n, kind, np.int8))} | cols
-    return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(n, f.type) for f in _STEP_SCHEMA], schema=_STEP_SCHEMA)
-
-
 def first_positions(batches, order_by: tuple[str, ...], schema: pa.Schema):
     """The first place of each symbol in a batch: ``sym, at`` (order columns and position).
 

@@ -1,21 +1,30 @@
 """Distributed BPE training.
 
-State: one row per distinct symbol sequence, ``(seq array<int>, weight bigint)``, and one
-row per distinct pair, ``(l, r, cnt)``. Pairs are counted once, over the initial state. Then
-each round is one Spark job:
-
-1. ``orderBy(cnt desc, l, r).limit(N)`` of the pair counts to the driver, which picks a *safe
-   batch* from those N pairs (see ``choose_batch``);
-2. one ``mapInArrow`` pass (``kernels.step``) applies the batch to every row in one vectorised
-   sweep, drops rows left without pairs, and emits signed changes of the pair counts, which
-   only rows that hold a merged pair cause;
-3. the new counts are the old ones and the changes, summed by pair (map-side combine, one
-   shuffle of distinct pairs only).
-
-Every ``checkpoint_every`` rounds state and counts are written as Parquet under the shared
-checkpoint folder and read back, so a lost executor recomputes a few rounds at most; the
-files written before are deleted then, and all of them at the end. Paths are explicit and
-unique per training: nothing of the session changes, and trainings can run side by side.
+State: the distinct symbol sequences with their weights, packed in blocks (``blocks``). Blocks
+are Parquet files in bucket folders under the shared folder; the driver knows for each bucket
+where its present version is. Pair counts: the driver holds the ``HOT`` most frequent pairs
+(a bound, whatever the corpus), each with the set of buckets it occurs in (:class:`HotPairs`).
+All other pairs are known to come after a cut in the order of picks, and a pair's count never
+grows after the round that made it; so the cut stays true until the held pairs are used up,
+and only then all blocks are counted again.
+
+Each round:
+
+1. The driver picks a *safe batch* from the held pairs (see ``choose_batch``).
+2. Only buckets that hold a picked pair are read; one Arrow pass merges the batch and counts
+   what changes beside the merged places, and the new version of these buckets is written.
+3. The changes are summed by pair (map-side combine, one small shuffle) and those of held pairs
+   and of new pairs above the cut go to the driver. Old counts are never exchanged.
+
+Adjacent symbols whose pair is rarer than the minimum frequency never merge, and neither does
+what grows from them: each occurrence of a later pair across that place is one of the rare
+pair. So once a tenth of all pairs are rare, sequences are cut there and equal pieces become
+one row. The proof needs each token to be made in one way only: where a merge spells a token
+that exists, the state is made anew from the first blocks by replaying the merges.
+
+Every version is a written table: nothing is cached, no lineage grows, and a lost executor
+costs the tasks that it ran. Paths are explicit and unique per training, so trainings can run
+side by side. All files are deleted at the end, replaced versions as soon as they are.
 
 Results equal canonical one-merge-at-a-time BPE with ties broken by the smallest
 ``(left id, right id)``, where ids are vocabulary ids (specials, alphabet in code-point
@@ -31,22 +40,29 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..options import BPEOptions
-from ..session import remove_path, shared_table, ship_package
-from . import kernels
+from ..session import remove_path, scratch_path, shared_table, ship_package
+from . import blocks, kernels
 from .model import BPEModel
 from .symbols import symbols, weighted_sequences
-from .vocab import full_byte_alphabet, initial_tokens, intern_state, observed_alphabet
+from .vocab import alphabet_index, full_byte_alphabet, initial_tokens, observed_alphabet
 
 log = logging.getLogger(__name__)
 
 PAIR_DDL = "l int, r int, cnt bigint"
 
+#: Pairs that the driver holds after a full count; twice as many at most before the rarest go.
+HOT = 1 << 18
+#: Rare pairs' share of all pairs at which sequences are cut at them, and the symbols from
+#: which on the pass over all blocks is worth it (the results do not depend on either).
+CUT_SHARE = 0.1
+CUT_SYMBOLS = 1 << 20
+_WORDS = blocks.BUCKETS // 64
+
 
 def pair_counts(state: DataFrame) -> DataFrame:
     """Weighted adjacent-pair counts of a state table: ``l int, r int, cnt bigint``."""
@@ -181,9 +197,18 @@ class _Work:
         self.paths.append(path)
         return out
 
-    def close(self, keep: int = 0) -> None:
-        """Delete all but the last ``keep`` tables."""
-        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, f"train-{name}"))
+        return self.paths[-1]
+
+    def folders(self, path: str, key: str) -> list[int]:
+        """The values of a partition column that a written table has."""
+        files = self.spark.read.schema(f"{key} int").parquet(path).inputFiles()
+        return sorted({int(f.rpartition(f"/{key}=")[2].partition("/")[0]) for f in files if f"/{key}=" in f})
+
+    def close(self, keep: set[str] = frozenset()) -> None:
+        """Delete all tables but those in ``keep``."""
+        gone, self.paths = [p for p in self.paths if p not in keep], [p for p in self.paths if p in keep]
         for path in gone:
             try:
                 remove_path(self.spark, path)
@@ -191,6 +216,142 @@ class _Work:
                 log.warning("could not remove %s", path)
 
 
+class HotPairs:
+    """The pairs that come first in the order of picks, with counts and buckets.
+
+    ``cut`` is None if all pairs of at least the minimum frequency are held; otherwise every
+    pair that is not held comes after ``cut`` (count, left rank, right rank) in that order.
+    """
+
+    def __init__(self, table: pa.Table, rank_of: list[int] | None, most: int):
+        self.rank_of, self.most = rank_of, most
+        self.keys, self.counts, self.buckets = _pair_columns(table)
+        self.cut: tuple[int, int, int] | None = None
+        order = np.argsort(self.keys)
+        self.keys, self.counts, self.buckets = self.keys[order], self.counts[order], self.buckets[order]
+        if len(self.keys) > most:
+            self._keep_first(most)
+
+    def _order(self, at: np.ndarray) -> np.ndarray:
+        """Places ``at`` in the order of picks."""
+        left, right = self._ranks(self.keys[at])
+        return at[np.lexsort((right, left, -self.counts[at]))]
+
+    def _ranks(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left, right = keys >> 32, keys & 0xFFFFFFFF
+        if self.rank_of is None:
+            return left, right
+        ranks = np.array(self.rank_of)
+        return ranks[left], ranks[right]
+
+    def _keep_first(self, n: int) -> None:
+        order = self._order(np.arange(len(self.keys)))[:n]
+        left, right = self._ranks(self.keys[order[-1:]])
+        self.cut = (int(self.counts[order[-1]]), int(left[0]), int(right[0]))
+        kept = np.sort(order)
+        self.keys, self.counts, self.buckets = self.keys[kept], self.counts[kept], self.buckets[kept]
+
+    def first(self, n: int, min_count: int) -> list[tuple[int, int, int]]:
+        """The next ``n`` pairs ``(left, right, count)`` that surely come before all others."""
+        at = np.flatnonzero(self.counts >= max(min_count, self.cut[0] if self.cut else 0))
+        if len(at) > 4 * n:  # with all that are as frequent as the last
+            least = np.partition(self.counts[at], len(at) - n)[len(at) - n]
+            at = at[self.counts[at] >= least]
+        order = self._order(at)[:n]
+        out = [(int(k >> 32), int(k & 0xFFFFFFFF), int(c)) for k, c in zip(self.keys[order], self.counts[order])]
+        if self.cut:
+            ranks = zip(*(x.tolist() for x in self._ranks(self.keys[order])))
+            out = [p for p, (left, right) in zip(out, ranks) if (-p[2], left, right) <= (-self.cut[0], *self.cut[1:])]
+        return out
+
+    def buckets_of(self, keys: np.ndarray) -> list[int]:
+        """Buckets in which one of the pairs may occur."""
+        words = np.bitwise_or.reduce(self.buckets[np.searchsorted(self.keys, keys)], axis=0)
+        return np.flatnonzero(np.unpackbits(words.view(np.uint8), bitorder="little")).tolist()
+
+    def change(self, table: pa.Table) -> None:
+        """Add signed changes; pairs that are new come in."""
+        keys, deltas, where = _pair_columns(table)
+        order = np.argsort(keys)
+        keys, deltas, where = keys[order], deltas[order], where[order]
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        held = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.counts[at[held]] += deltas[held]
+        self.buckets[at[held]] |= where[held]
+        new = ~held & (deltas > 0)
+        self.keys = np.r_[self.keys, keys[new]]
+        self.counts = np.r_[self.counts, deltas[new]]
+        self.buckets = np.concatenate((self.buckets, where[new]))
+        live = self.counts > 0
+        order = np.flatnonzero(live)[np.argsort(self.keys[live])]
+        self.keys, self.counts, self.buckets = self.keys[order], self.counts[order], self.buckets[order]
+        if len(self.keys) > 2 * self.most:
+            self._keep_first(self.most)
+
+
+def _pair_columns(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, counts and bucket sets of pairs (the rows with keys that are not negative)."""
+    keys, counts = table["k"].to_numpy(), table["d"].to_numpy()
+    where = np.stack([table[f"m{i}"].to_numpy() for i in range(_WORDS)], 1).astype(np.int64).view(np.uint64)
+    pair = keys >= 0
+    return keys[pair].copy(), counts[pair].copy(), where[pair].copy()
+
+
+class State:
+    """The blocks of one training: where each bucket's present version is, and its size."""
+
+    def __init__(self, work: _Work):
+        self.work = work
+        self.at: dict[int, str] = {}
+        self.first: dict[int, str] = {}
+        self.symbols: dict[int, int] = {}
+        self.pairs: dict[int, int] = {}
+
+    def read(self, at: dict[int, str], buckets: list[int] | None = None, columns: str = "part, ids, lengths, weights") -> DataFrame:
+        paths = [f"{at[b]}/bucket={b}" for b in sorted(at if buckets is None else buckets)]
+        rows = self.work.spark.read.schema(blocks.BLOCK_DDL.removeprefix("bucket int, "))
+        return rows.parquet(*paths).select(*columns.split(", "))
+
+    def write(self, made: DataFrame, replaced: list[int]) -> dict[int, str]:
+        """Write new versions of the buckets ``replaced`` (which may become fewer); returns the
+        buckets written."""
+        path = self.work.path("blocks")
+        made.write.partitionBy("bucket").parquet(path)
+        new = dict.fromkeys(self.work.folders(path, "bucket"), path)
+        for b in replaced:
+            self.at.pop(b, None)
+            self.symbols.pop(b, None)
+            self.pairs.pop(b, None)
+        self.at |= new
+        self.first = self.first or dict(self.at)
+        self.work.close(keep={*self.at.values(), *self.first.values()})
+        return new
+
+    def sizes(self, table: pa.Table) -> None:
+        """Note the sizes that blocks have reported."""
+        for k, d in zip(table["k"].to_pylist(), table["d"].to_pylist()):
+            if k < 0:
+                (self.symbols if k % 2 else self.pairs)[(-1 - k) // 2] = d
+
+
+def sum_changes(rows: DataFrame) -> DataFrame:
+    """Changes (or counts) by pair: ``k, d`` and the buckets they came from, ``m0`` to ``m3``."""
+    words = [f"bit_or(if(part div 64 = {i}, shiftleft(1L, part % 64), 0L)) AS m{i}" for i in range(_WORDS)]
+    return rows.selectExpr("part", "inline(arrays_zip(keys, deltas)) AS (k, d)").groupBy("k").agg(*map(F.expr, ["sum(d) AS d", *words]))
+
+
+def _hot_pairs(summed: DataFrame, state: State, min_count: int, rank_of: list[int] | None) -> HotPairs:
+    """The first ``HOT`` pairs in the order of picks, and the sizes; a bounded top-k."""
+    order = ["k"]
+    if rank_of is not None:
+        ranks = F.from_json(F.lit(json.dumps(rank_of)), "array<int>")
+        order = [F.get(ranks, F.expr("CAST(shiftright(k, 32) AS INT)")), F.get(ranks, F.expr("CAST(k & 4294967295L AS INT)"))]
+    bound = HOT + 1 + 2 * blocks.BUCKETS  # the sizes come first
+    top = summed.where(f"k < 0 OR d >= {min_count}").orderBy(F.expr("k >= 0"), F.desc("d"), *order).limit(bound).toArrow()
+    state.sizes(top)
+    return HotPairs(top, rank_of, HOT)
+
+
 def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None, order_by: tuple[str, ...], work: _Work) -> BPEModel:
     # The distinct sequences are the output of the only pass over the corpus.
     seqs = work.write(weighted_sequences(lines, col, opts), "sequences")
@@ -206,27 +367,46 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
         next_rank = len(seen)
     n_alphabet = len(tokens) - len(dict.fromkeys(opts.specials))
     vocab_size = len(index)
+    model = BPEModel(options=opts, tokens=tokens, merges=[], n_alphabet=n_alphabet)
+    if opts.max_merges == 0 or vocab_size >= opts.target_vocabulary_size:
+        return model
 
-    state = work.write(intern_state(seqs, tokens), "state")
-    counts_now = work.write(pair_counts(state), "counts")
-    work.close(keep=2)
-    held: list[DataFrame] = []  # caches that the current state and counts still read
-    merges: list[tuple[str, str]] = []
-    counts: list[int] = []
-    sizes: list[int] = []
+    min_count, forbidden = opts.min_frequency, partial(forbidden_pairs, opts, index)
     n_top = max(opts.batch_candidates, 2 * sum(len(s) for s in opts.specials) + 2)
-    rounds = 0
-    while True:
-        budget = opts.max_merges - len(merges) if opts.max_merges is not None else 1 << 62
+    state = State(work)
+    code_points, ids = alphabet_index(tokens)
+    packed = seqs.select("seq", "weight").mapInArrow(partial(blocks.pack_text, code_points=code_points, ids=ids), blocks.BLOCK_DDL)
+    state.write(packed, [])
+    if not state.at:
+        return model
+    hot = _hot_pairs(sum_changes(state.read(state.at, columns="part, keys, deltas")), state, min_count, rank_of)
+
+    def anew(rows: DataFrame) -> HotPairs:
+        """Replace all blocks and count them."""
+        state.write(rows, list(state.at))
+        return _hot_pairs(sum_changes(state.read(state.at, columns="part, keys, deltas")), state, min_count, rank_of) if state.at else hot
+
+    rounds: list[tuple[np.ndarray, np.ndarray]] = []
+    was_cut = False
+    while state.at:
+        budget = opts.max_merges - len(model.merges) if opts.max_merges is not None else 1 << 62
         vocab_room = opts.target_vocabulary_size - vocab_size
         if budget <= 0 or vocab_room <= 0:
             break
-        top = [(r.l, r.r, r.cnt) for r in top_pairs(counts_now, n_top, opts.min_frequency, rank_of).collect()]
-        # This has filled the last round's caches; the state and counts before are not read again.
-        for old in held[:-2]:
-            old.unpersist()
-        held = held[-2:]
-        picks = choose_batch(top, tokens, index, min(budget, max_batch or budget), vocab_room, forbidden_pairs(opts, index))
+        # Pairs that can never merge any more, once they are enough to be worth a pass.
+        rare = sum(state.pairs.values()) - int(hot.counts[hot.counts >= min_count].sum())
+        if hot.cut is None and rare > CUT_SHARE * sum(state.pairs.values()) and sum(state.symbols.values()) >= CUT_SYMBOLS:
+            live = hot.keys[hot.counts >= min_count]
+            before = sum(state.symbols.values())
+            pieces = state.read(state.at).mapInArrow(partial(blocks.pieces, live=live), "seq binary, weight bigint")
+            hot = anew(pieces.groupBy("seq").agg(F.sum("weight").alias("weight")).mapInArrow(blocks.pack_ids, blocks.BLOCK_DDL))
+            was_cut = True
+            model.trace.append({"round": len(rounds), "step": "cut", "symbols_before": before, "symbols": sum(state.symbols.values())})
+        picks = choose_batch(hot.first(n_top, min_count), tokens, index, min(budget, max_batch or budget), vocab_room, forbidden())
+        if not picks and hot.cut is not None:
+            hot = _hot_pairs(sum_changes(state.read(state.at).mapInArrow(blocks.count, blocks.COUNTS_DDL)), state, min_count, rank_of)
+            model.trace.append({"round": len(rounds), "step": "count", "symbols": sum(state.symbols.values())})
+            picks = choose_batch(hot.first(n_top, min_count), tokens, index, min(budget, max_batch or budget), vocab_room, forbidden())
         if not picks:
             break
         for p in picks:
@@ -237,35 +417,36 @@ def _train(lines: DataFrame, col: str, opts: BPEOptions, max_batch: int | None,
                 if rank_of is not None:
                     rank_of.append(next_rank)
                     next_rank += 1
-            merges.append((tokens[p.l], tokens[p.r]))
-            counts.append(int(p.cnt))
-            sizes.append(vocab_size)
-            if opts.progress_every and len(merges) % opts.progress_every == 0:
-                log.info("%d merges after %d rounds, %d tokens", len(merges), rounds + 1, vocab_size)
+            model.merges.append((tokens[p.l], tokens[p.r]))
+            model.counts.append(int(p.cnt))
+            model.vocab_sizes.append(vocab_size)
+            if opts.progress_every and len(model.merges) % opts.progress_every == 0:
+                log.info("%d merges after %d rounds, %d tokens", len(model.merges), len(rounds) + 1, vocab_size)
         keys = np.array([(p.l << 32) | p.r for p in picks], dtype=np.int64)
-        new_ids = np.array([index[p.token] for p in picks], dtype=np.int64)
+        new_ids = np.array([index[p.token] for p in picks], dtype=np.int32)
         order = np.argsort(keys)
-        fn = partial(kernels.step, batch_keys=keys[order], new_ids=new_ids[order])
-        stepped = state.mapInArrow(fn, kernels.STEP_DDL).persist(StorageLevel.MEMORY_AND_DISK)
-        changes = stepped.where("kind = 1").select("l", "r", "cnt")
-        counts_now = counts_now.unionByName(changes).groupBy("l", "r").agg(F.sum("cnt").alias("cnt")).where("cnt > 0").persist(StorageLevel.MEMORY_AND_DISK)
-        state = stepped.where("kind = 0").select("seq", "weight")
-        held += [stepped, counts_now]
-        rounds += 1
-        if opts.checkpoint_every and rounds % opts.checkpoint_every == 0:
-            state, counts_now = work.write(state, "state"), work.write(counts_now, "counts")
-            work.close(keep=2)
-            for old in held:
-                old.unpersist()
-            held = []
-    for old in held:
-        old.unpersist()
-    return BPEModel(
-        options=opts,
-        tokens=tokens,
-        merges=merges,
-        counts=counts,
-        vocab_sizes=sizes,
-        n_alphabet=n_alphabet,
-        rounds=rounds,
-    )
+        batch_keys, new_ids = keys[order], new_ids[order]
+        rounds.append((batch_keys, new_ids))
+        if not picks[0].new and was_cut:
+            # A second way to a token: the cuts are no longer known to be right.
+            first = state.read(state.first)
+            hot, was_cut = anew(first.mapInArrow(partial(blocks.replay, rounds=rounds), blocks.BLOCK_DDL)), False
+            model.trace.append({"round": len(rounds), "step": "replay", "symbols": sum(state.symbols.values())})
+            continue
+        touched = [b for b in hot.buckets_of(keys) if b in state.at]
+        model.trace.append(
+            {"round": len(rounds), "step": "merge", "merges": len(picks), "buckets_read": len(touched), "buckets": len(state.at)}
+            | {"symbols_read": sum(state.symbols[b] for b in touched), "symbols": sum(state.symbols.values())}
+        )
+        fn = partial(blocks.step, batch_keys=batch_keys, new_ids=new_ids, known=hot.keys)
+        written = state.write(state.read(state.at, touched).mapInArrow(fn, blocks.BLOCK_DDL), touched)
+        if not picks[0].new:  # pairs of a token that exists may have become more frequent
+            hot = _hot_pairs(sum_changes(state.read(state.at).mapInArrow(blocks.count, blocks.COUNTS_DDL)), state, min_count, rank_of)
+            continue
+        least = hot.cut[0] if hot.cut else min_count
+        summed = sum_changes(state.read(written, columns="part, keys, deltas"))
+        changed = summed.where(f"k < 0 OR d < 0 OR d >= {least}").toArrow()
+        state.sizes(changed)
+        hot.change(changed)
+    model.rounds = len(rounds)
+    return BPEModel(**{f: getattr(model, f) for f in model.__dataclass_fields__})

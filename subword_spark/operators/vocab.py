@@ -44,18 +44,22 @@ def initial_tokens(opts: BPEOptions, alphabet: list[str]) -> list[str]:
     return tokens
 
 
+def alphabet_index(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the single-character tokens, ascending, and their first ids."""
+    index: dict[int, int] = {}
+    for cp, i in sorted((ord(t), i) for i, t in enumerate(tokens) if len(t) == 1):
+        index.setdefault(cp, i)
+    cps = sorted(index)
+    return np.array(cps, dtype=np.int64), np.array([index[c] for c in cps], dtype=np.int64)
+
+
 def intern_state(seqs: DataFrame, tokens: list[str], min_len: int = 2, keep_text: bool = False) -> DataFrame:
     """Weighted sequence strings -> ``(seq array<int>, weight bigint)`` of token ids.
 
     Only single-character tokens take part; rows shorter than ``min_len`` are dropped.
     ``keep_text`` keeps the sequence string as ``text``.
     """
-    singles = sorted((ord(t), i) for i, t in enumerate(tokens) if len(t) == 1)
-    index: dict[int, int] = {}
-    for cp, i in singles:
-        index.setdefault(cp, i)
-    cps = np.array(sorted(index), dtype=np.int64)
-    ids = np.array([index[c] for c in cps], dtype=np.int64)
+    cps, ids = alphabet_index(tokens)
     fn = partial(kernels.intern, code_points=cps, ids=ids, min_len=min_len, keep_text=keep_text)
     schema = "seq array<int>, weight bigint" + (", text string" if keep_text else "")
     return seqs.select("seq", "weight").mapInArrow(fn, schema)

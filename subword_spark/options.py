@@ -43,9 +43,8 @@ class BPEOptions:
     # Equal counts: smallest (left, right) by vocabulary id, or by first appearance of the
     # symbols in the corpus order (merged tokens rank after all symbols, in creation order).
     tie_break: str = "vocab"
-    # Driver-side knobs of the distributed trainer (results do not depend on them).
-    batch_candidates: int = 512
-    checkpoint_every: int = 8
+    # Candidates of one training round (results do not depend on it).
+    batch_candidates: int = 2048
 
     def __post_init__(self) -> None:
         if self.model_kind not in MODEL_KINDS:

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from bpe_reference import merge_left_to_right
 from subword_spark.operators import kernels as K
+from subword_spark.operators.blocks import Block
 from subword_spark.operators.pairs import conflict_free_groups
 
 seqs_st = st.lists(st.lists(st.integers(0, 3), max_size=12), min_size=1, max_size=8)
@@ -69,20 +70,40 @@ def test_step_applies_and_counts_changes(seqs, ws, pair):
             expect_counts[(a, b)] -= w
         for a, b in zip(after, after[1:]):
             expect_counts[(a, b)] += w
-    out = list(K.step([batch_of(seqs, ws)], np.array([(l << 32) | r], np.int64), np.array([9], np.int64)))
-    state, counts = [], Counter()
-    for row in (row for b in out for row in b.to_pylist()):
-        if row["kind"] == 0:
-            state.append((row["seq"], row["weight"]))
-        else:
-            counts[(row["l"], row["r"])] += row["cnt"]
-    assert state == expect_state
-    assert counts == Counter({k: v for k, v in expect_counts.items() if v})
+    rows = [(s, w) for s, w in zip(seqs, ws) if s]
+    block = Block(*(np.array(x, t) for x, t in (([i for s, _ in rows for i in s], np.int32), ([len(s) for s, _ in rows], np.int32), ([w for _, w in rows], np.int64))))
+    after, keys, deltas = block.merge(np.array([(l << 32) | r], np.int64), np.array([9], np.int32))
+    counts = {(int(k >> 32), int(k & 0xFFFFFFFF)): int(d) for k, d in zip(keys, deltas)}
+    assert counts == {k: v for k, v in expect_counts.items() if v}
+    cuts = np.cumsum(after.lengths)[:-1]
+    state = list(zip([x.tolist() for x in np.split(after.ids, cuts)], after.weights.tolist())) if after.lengths.size else []
+    assert [x for x in state if len(x[0]) > 1] == expect_state
+
+
+@settings(max_examples=60, deadline=None)
+@given(seqs_st, st.sets(st.tuples(st.integers(0, 3), st.integers(0, 3)), max_size=6))
+def test_block_cut(seqs, live):
+    """Cut between all symbols whose pair is not live; pieces of one symbol go."""
+    rows = [s for s in seqs if s]
+    block = Block(np.array([i for s in rows for i in s], np.int32), np.array([len(s) for s in rows], np.int32), np.arange(len(rows)))
+    got = block.cut(np.array(sorted((l << 32) | r for l, r in live), np.int64))
+    want = []
+    for w, s in enumerate(rows):
+        piece = [s[0]]
+        for a, b in zip(s, s[1:]):
+            if (a, b) in live:
+                piece.append(b)
+            else:
+                want.append((piece, w))
+                piece = [b]
+        want.append((piece, w))
+    pieces = np.split(got.ids, np.cumsum(got.lengths)[:-1]) if got.lengths.size else []
+    assert list(zip([x.tolist() for x in pieces], got.weights.tolist())) == [x for x in want if len(x[0]) > 1]
 
 
 def test_sums_beyond_float_precision_are_exact():
     big = (1 << 53) + 1
-    keys, sums = K._sum_by_key(np.array([1 << 32 | 2, 1 << 32 | 2, 3 << 32 | 4]), np.array([big, 2, 5]))
+    keys, sums = K.sum_by_key(np.array([1 << 32 | 2, 1 << 32 | 2, 3 << 32 | 4]), np.array([big, 2, 5]))
     assert keys.tolist() == [1 << 32 | 2, 3 << 32 | 4] and sums.tolist() == [big + 2, 5]
 
 

@@ -35,7 +35,7 @@ def test_training_leaves_the_session_and_the_folder_as_they_were(spark):
         _Work(spark).close()
     assert spark.sparkContext.getCheckpointDir() == root
     df = spark.createDataFrame([("abab cdcd abcd " * 3,)] * 5, "line string")
-    opts = BPEOptions(minimum_pair_frequency=1, max_merges=12, checkpoint_every=2)
+    opts = BPEOptions(minimum_pair_frequency=1, max_merges=12)
     with ThreadPoolExecutor(2) as pool:
         a, b = pool.map(lambda _: train(df, "line", opts, max_batch=1), range(2))
     assert a.merges == b.merges and len(a.merges) == 12

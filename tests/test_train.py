@@ -1,5 +1,6 @@
 """Training: goldens, the reference's determinism and specials tests, batched == one at a time."""
 
+import importlib
 import random
 
 import pytest
@@ -7,9 +8,12 @@ from pyspark.sql import functions as F
 
 from bpe_reference import train_reference
 from subword_spark.operators.symbols import sequence_rows
+from subword_spark.operators import blocks
 from subword_spark.operators.train import choose_batch, train
 from subword_spark.options import BPEOptions
 
+train_module = importlib.import_module("subword_spark.operators.train")
+
 MERGE_CORPUS = ["hello world", "hello there general kenobi", "world peace now", "byte pair encoding demo"]
 
 
@@ -128,13 +132,80 @@ def test_counts_stay_exact_over_many_rounds(lines_df):
     """Counts kept by changes alone equal full counts at every round, across checkpoints."""
     rng = random.Random(5)
     lines = ["".join(rng.choice("abcde ") for _ in range(40)) for _ in range(20)]
-    opts = BPEOptions(minimum_pair_frequency=2, checkpoint_every=3)
+    opts = BPEOptions(minimum_pair_frequency=2)
     df = lines_df(lines)
     tokens, merges, counts = reference_for(df, opts)
     m = train(df, "line", opts)
     assert (m.tokens, m.merges, m.counts) == (tokens, merges, counts) and m.rounds > 10
 
 
+@pytest.mark.parametrize("cuts, held", [(True, 1 << 18), (False, 8), (True, 30)])
+def test_cuts_and_held_pairs_do_not_change_results(lines_df, monkeypatch, cuts, held):
+    """Sequences cut at rare pairs, and only a few pairs on the driver: same merges, counts."""
+    monkeypatch.setattr(train_module, "CUT_SYMBOLS", 0 if cuts else 1 << 30)
+    monkeypatch.setattr(train_module, "CUT_SHARE", 0.02)
+    monkeypatch.setattr(train_module, "HOT", held)
+    rng = random.Random(17)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 6))) for _ in range(15)]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 10))) for _ in range(12)] + ["aaaa baaab aaaaaaa"] * 3
+    opts = BPEOptions(minimum_pair_frequency=3)
+    df = lines_df(lines)
+    tokens, merges, counts = reference_for(df, opts)
+    m = train(df, "line", opts.with_(batch_candidates=2) if held == 8 else opts)
+    assert (m.tokens, m.merges, m.counts) == (tokens, merges, counts)
+    steps = [t["step"] for t in m.trace]
+    assert "cut" in steps if held > 100 else "count" in steps
+
+
+def test_second_way_to_a_token_replays(lines_df, monkeypatch):
+    """A pick of a token that exists, after sequences were cut: the state is made anew from the
+    first blocks. (Such picks are very rare; here one is made out of an ordinary pick.)"""
+    monkeypatch.setattr(train_module, "CUT_SYMBOLS", 0)
+    monkeypatch.setattr(train_module, "CUT_SHARE", 0.0)
+    calls = []
+
+    def again(top, tokens, index, *rest):
+        picks = choose_batch(top, tokens, index, *rest)
+        calls.append(1)
+        if len(calls) == 3:
+            picks = picks[:1]
+            index[picks[0].token] = len(tokens)
+            tokens.append(picks[0].token)
+            picks[0].new = False
+        return picks
+
+    monkeypatch.setattr(train_module, "choose_batch", again)
+    rng = random.Random(23)
+    lines = ["".join(rng.choice("abc") for _ in range(rng.randint(2, 14))) for _ in range(14)] + [f"x{i}y{i}" for i in "defghi"]
+    opts = BPEOptions(minimum_pair_frequency=2)
+    df = lines_df(lines)
+    tokens, merges, counts = reference_for(df, opts)
+    m = train(df, "line", opts)
+    assert (m.tokens, m.merges, m.counts) == (tokens, merges, counts)
+    steps = [t["step"] for t in m.trace]
+    assert "cut" in steps[: steps.index("replay")] and "merge" in steps[steps.index("replay") :]
+
+
+def test_rounds_read_the_blocks_of_their_pairs(spark, monkeypatch):
+    """Frequent pairs are in all buckets; at the end a round reads few of them."""
+    def small(batches, **k):
+        from subword_spark.operators import blocks as here  # the worker's
+
+        here.BLOCK_SYMBOLS = 300
+        return here.pack_text(batches, **k)
+
+    monkeypatch.setattr(blocks, "pack_text", small)
+    rng = random.Random(3)
+    words = ["th" + "".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(250)]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words) for _ in range(2)], "line_no int, line string")
+    m = train(df, "line", BPEOptions(minimum_pair_frequency=5, max_merges=40, batch_candidates=8))
+    merges = [t for t in m.trace if t["step"] == "merge"]
+    assert merges[0]["buckets_read"] == merges[0]["buckets"] > 4 and merges[0]["symbols_read"] == merges[0]["symbols"]
+    assert min(t["symbols_read"] / t["symbols"] for t in merges) < 0.8
+    tokens, want, counts = reference_for(df, m.options)
+    assert (m.merges, m.counts) == (want, counts)
+
+
 def test_choose_batch_conflicts():
     tokens = ["<u>", "a", "b", "c", "d"]
     index = {t: i for i, t in enumerate(tokens)}
