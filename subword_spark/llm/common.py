@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 
 _TABLES: dict[str, SparkSession] = {}
+_MADE: contextvars.ContextVar[set[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -36,6 +39,8 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     _TABLES[path] = spark
+    if (mine := _MADE.get()) is not None:
+        mine.add(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -52,6 +57,17 @@ def made() -> set[str]:
     return set(_TABLES)
 
 
+@contextlib.contextmanager
+def collecting() -> Iterator[set[str]]:
+    """The paths of the tables that this thread makes inside the block, whatever others make."""
+    paths: set[str] = set()
+    token = _MADE.set(paths)
+    try:
+        yield paths
+    finally:
+        _MADE.reset(token)
+
+
 def release(paths: set[str] | None = None) -> None:
     """Delete these tables, or every one that is still there."""
     for path in made() if paths is None else paths:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from .common import prepare, source
 from .toxicity import _BREAK, _LOWER
-from .words import slices, split_words, window_hashes, word_hashes
+from .words import Words, slices, split_words, window_hashes, word_hashes
 
 _PROVIDED = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
@@ -151,12 +151,19 @@ for _id, _kind in [
 SHINGLE, LEAST, BANDS = 5, 0.8, 60
 
 
-def _shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(first token, hash)`` of all shingles, and the first token of each text."""
+def _tokens(texts: pa.Array) -> Words:
     w = split_words(texts, _BREAK)
     w.data = _LOWER[w.data]
-    at, h = window_hashes(word_hashes(w, 21, _BREAK), w.first, size, 22 + size)
-    return at, h, w.first
+    return w
+
+
+def _shingles(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first token, hash)`` of all shingles."""
+    return window_hashes(word_hashes(w, 21, space=_BREAK)[0], w.first, size, 22 + size)
+
+
+def _words(w: Words, at: int, size: int) -> tuple[bytes, ...]:
+    return tuple(w.data[a:b].tobytes() for a, b in zip(w.starts[at : at + size], w.ends[at : at + size]))
 
 
 def signature(h: np.ndarray) -> np.ndarray:
@@ -169,11 +176,14 @@ def signature(h: np.ndarray) -> np.ndarray:
 
 class Template:
     def __init__(self, name: str, text: str):
-        tokens = len(split_words(pa.array([text]), _BREAK).starts)
+        w = _tokens(pa.array([text]))
+        tokens = len(w.starts)
         if not tokens:
             raise ValueError(f"template {name!r} has no words")
         self.name, self.size = name, min(SHINGLE, tokens)
-        self.set = np.unique(_shingles(pa.array([text]), self.size)[1])
+        at, h = _shingles(w, self.size)
+        self.set = np.unique(h)
+        self.words = {int(x): _words(w, int(i), self.size) for i, x in zip(at, h)}
         self.length = tokens - self.size + 1
         self.block = -(-self.length // 2)
         self.blocks = -(-(self.length + self.block - 1) // self.block)
@@ -195,11 +205,18 @@ def scan(texts: pa.Array, templates: list[Template]) -> list[tuple[int, str, int
     """``(text, template, first token, token after the last, share)`` of every window that
     holds enough of a template, cut to the shortest run with all of its shingles of the template."""
     out = []
+    w = _tokens(texts)
+    first = w.first
     for size in sorted({t.size for t in templates}):
-        at, h, first = _shingles(texts, size)
+        at, h = _shingles(w, size)
         text = np.searchsorted(first, at, "right") - 1
         group = [t for t in templates if t.size == size]
+        words = {x: s for t in group for x, s in t.words.items()}
         some = np.flatnonzero(np.isin(h, np.concatenate([t.set for t in group])))
+        # Whole words decide: a hash that other words share is no shingle of a template.
+        some = some[[_words(w, int(at[i]), size) == words[int(h[i])] for i in some]] if len(some) else some
+        real = np.zeros(len(h), bool)
+        real[some] = True
         start_of = np.searchsorted(text, np.arange(len(first) - 1))  # first shingle of each text
         end_of = np.searchsorted(text, np.arange(len(first) - 1), "right")
         for block, blocks in sorted({(t.block, t.blocks) for t in group}):
@@ -216,7 +233,7 @@ def scan(texts: pa.Array, templates: list[Template]) -> list[tuple[int, str, int
                 sig = signature(np.unique(h[lo:hi])).reshape(BANDS, 2)
                 for t in shape:
                     if (sig == t.bands).all(1).any():
-                        inside = np.flatnonzero(np.isin(h[lo:hi], t.set))
+                        inside = np.flatnonzero(real[lo:hi] & np.isin(h[lo:hi], t.set))
                         share = len(np.unique(h[lo:hi][inside])) / len(t.set)
                         if share >= LEAST:
                             base = int(first[d])

@@ -17,6 +17,8 @@ two at a time, so no bucket is gathered whole, however many fingerprints share a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -112,23 +114,87 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     cells = keys.join(size.select("s", "v", F.ceil(F.col("n") / BLOCK).alias("blocks")), ["s", "v"])
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     cells = cells.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    groups = cells.groupBy("s", "v", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list("fp").alias("fps"))
+    # Flat rows by group; two groups that share a hash are compared as one, which costs and loses nothing.
+    group = F.xxhash64("s", "v", F.least("own", "other"), F.greatest("own", "other"))
+    rows = cells.select(group.alias("g"), "fp").repartition("g").sortWithinPartitions("g")
+    return rows.mapInArrow(partial(verify, max_bits=max_bits), "a long, b long")
+
+
+def verify(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Links within each group of rows ``(g, fp)`` that come by group. A group that goes on in
+    the next batch is held until it ends: it has two blocks at most."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b = group_links(*(np.concatenate(x) for x in zip(*parts)), max_bits)
+        return pa.RecordBatch.from_pydict({"a": a.view(np.int64), "b": b.view(np.int64)})
+
+    for batch in batches:
+        g, fp = batch["g"].to_numpy(), batch["fp"].to_numpy().view(np.uint64)
+        if not len(g):
+            continue
+        last = int(np.searchsorted(g, g[-1]))
+        if held and (last or held[-1][0][-1] != g[0]):
+            yield found([*held, (g[:last], fp[:last])])
+            held = []
+        elif last:
+            yield found([(g[:last], fp[:last])])
+        held.append((g[last:].copy(), fp[last:].copy()))
+    if held:
+        yield found(held)
+
+
+def group_links(g: np.ndarray, fp: np.ndarray, max_bits: int, small: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Links of groups that stand one after another: all of small groups, a spanning forest of
+    the others."""
+    cut = np.flatnonzero(np.diff(g)) + 1
+    size = np.diff(np.r_[0, cut, len(g)])
+    in_small = np.repeat(size <= small, size)
+    a, b = [], []
+    for step in range(1, small):
+        near = (g[step:] == g[:-step]) & in_small[step:]
+        x, y = fp[:-step][near], fp[step:][near]
+        bits = np.bitwise_count(x ^ y)
+        near = (bits > 0) & (bits <= max_bits)
+        a.append(x[near])
+        b.append(y[near])
+    starts = np.r_[0, cut]
+    for at in np.flatnonzero(size > small):
+        links_ = np.array(forest(np.unique(fp[starts[at] : starts[at] + size[at]]), max_bits), np.uint64).reshape(-1, 2)
+        a.append(links_[:, 0])
+        b.append(links_[:, 1])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, row: bool, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``marked(id, fp, uid)`` of all rows, with ``row`` also their columns, and ``group(fp,
+    root, component)`` of the distinct fingerprints, both written."""
+    prepare(docs.sparkSession)
+    rows = source(docs, id_col, text_col, row).withColumn("id", F.col("id").cast("long"))
 
-    def verify(batches):
+    def mark(batches):
         for batch in batches:
-            a, b = [], []
-            for group in batch["fps"]:
-                values = group.values.to_numpy().view(np.uint64)
-                if len(values) > 8:
-                    found = forest(np.unique(values), max_bits)
-                else:
-                    small = values.tolist()
-                    found = [(x, y) for i, x in enumerate(small) for y in small[:i] if x != y and (x ^ y).bit_count() <= max_bits]
-                a.extend(x for x, _ in found)
-                b.extend(y for _, y in found)
-            yield pa.RecordBatch.from_pydict({"a": np.array(a, np.uint64).view(np.int64), "b": np.array(b, np.uint64).view(np.int64)})
+            for part, texts in slices(batch, text_col, 4 << 20):
+                data, at = utf8(texts)
+                raw = data.tobytes()
+                fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1], at[1:])], np.uint64).view(np.int64)
+                out = {"id": part["id"], "fp": pa.array(fp)}
+                yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
+
+    marked = table(rows.mapInArrow(mark, "id long, fp long" + row_field(rows)).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
+    distinct = table(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
+    pairs = table(links(distinct, max_bits).distinct(), "links")
+    comps = components(pairs)
+    at = distinct.join(comps, distinct.fp == comps.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+    low = at.groupBy("root").agg(F.min("low").alias("component"))
+    group = table(at.join(low, "root").select("fp", "root", "component"), "groups")
+    drop(pairs, distinct)
+    return marked, group
+
 
-    return groups.select("fps").mapInArrow(verify, "a long, b long")
+def _first(keys: DataFrame) -> DataFrame:
+    """``uid`` of the row that stays of each group: of the smallest id, the smallest uid."""
+    return keys.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "uid")).alias("f")).select(F.col("f.uid").alias("uid"))
 
 
 def simhash_dedup(
@@ -147,32 +213,22 @@ def simhash_dedup(
     component. Repeated rows are copies. Empty table: no rows. Other input columns are never
     read by name.
     """
-    prepare(docs.sparkSession)
-    rows = source(docs, id_col, text_col, row).withColumn("id", F.col("id").cast("long"))
-
-    def mark(batches):
-        for batch in batches:
-            for part, texts in slices(batch, text_col, 4 << 20):
-                data, at = utf8(texts)
-                raw = data.tobytes()
-                fp = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1], at[1:])], np.uint64).view(np.int64)
-                out = {"id": part["id"], "fp": pa.array(fp)}
-                yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
-
-    marked = table(rows.mapInArrow(mark, "id long, fp long" + row_field(rows)).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
-    distinct = table(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
-    pairs = table(links(distinct, max_bits), "links")
-    comps = components(pairs)
-    at = distinct.join(comps, distinct.fp == comps.node, "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
-    low = at.groupBy("root").agg(F.min("low").alias("component"))
-    group = table(at.join(low, "root").select("fp", "root", "component"), "groups")
-    drop(pairs)
-
-    # One row stays of each group: of the smallest id, the one with the smallest uid.
+    marked, group = _groups(docs, id_col, text_col, row, shingle, max_bits)
     keys = marked.select("id", "fp", "uid").join(group, "fp")
-    first = keys.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "uid")).alias("f")).select(F.col("f.uid").alias("uid"), F.lit(True).alias("keep"))
-    known = keys.select("id", "fp", "component", "uid")
-    out = known.join(first, "uid", "left")
+    out = keys.select("id", "fp", "component", "uid").join(_first(keys).withColumn("keep", F.lit(True)), "uid", "left")
     if row:
         out = out.join(marked.select("uid", "row"), "uid")
     return out.select("id", F.col("fp").alias("fingerprint"), "component", F.coalesce("keep", F.lit(False)).alias("keep"), *(["row"] if row else []))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` that :func:`simhash_dedup` keeps, with all their columns.
+
+    The numbers of the rows that go are written first. While they are few, Spark sends them to
+    every task and the texts stay where they are; otherwise it joins by row number. Nulls,
+    empty texts, ties, repeats and empty tables: as there.
+    """
+    marked, group = _groups(docs, id_col, text_col, True, shingle, max_bits)
+    keys = marked.select("id", "fp", "uid").join(group, "fp").select("id", "uid", "root")
+    gone = table(keys.select("uid").join(_first(keys), "uid", "left_anti"), "copies")
+    return marked.join(gone, "uid", "left_anti").select("row.*")

@@ -9,9 +9,10 @@
    high, so a window that occurs twice is never lost. The sketch is never in one place: width
    and number of segments follow the number of windows.
 3. Exact grouping of the windows whose least count is 2 or more: a block sends each such
-   window once, as 96 hash bits of its words with its smallest document, and is told whether
-   a smaller document elsewhere holds it. (96 bits over 10^12 candidates: a false match has a
-   chance of about 10^-5 in the whole run.)
+   window once with its smallest document, and is told whether a smaller document elsewhere
+   holds it. A window's key is 128 bits made of two XXH64 hashes of every one of its words, with
+   seeds of their own; words are hashed as whole byte strings, so no pattern inside a word can
+   make two words alike. (Comparing the words themselves would move seven times as much.)
 4. Each block removes the words of the windows found and returns its documents.
 
 Rows of a passage that thousands of documents share meet as one entry per block, so no group
@@ -86,10 +87,10 @@ class _Block:
         self.words = w = split_words(self.texts)
         ids = self.rows["id"]
         self.ids = ids.cast(pa.int64()).fill_null(_LAST).to_numpy(zero_copy_only=False)
-        h = word_hashes(w, 1)
-        self.at, self.hash = window_hashes(h, w.first, size, 2)
+        h = word_hashes(w, *((1, 3) if strong else (1,)))
+        self.at, self.hash = window_hashes(h[0], w.first, size, 2)
         if strong:
-            self.more = window_hashes(word_hashes(w, 3), w.first, size, 4)[1]
+            self.more = window_hashes(h[1], w.first, size, 4)[1]
         self.doc = self.ids[text_of_word(w.first)[self.at]]
 
     def cells(self, row: int, bits: int) -> np.ndarray:
@@ -212,8 +213,8 @@ def substring_dedup(
                 out = {"segment": [], "block_id": [], "keys": [], "docs": [], "runs": []}
                 for s, lo, hi in _runs(seg):
                     docs_of = _runs(low[lo:hi])
-                    key = np.empty(hi - lo, [("a", "<u8"), ("b", "<u4")])
-                    key["a"], key["b"] = a[lo:hi], (b[lo:hi] >> np.uint64(32)).astype(np.uint32)
+                    key = np.empty(hi - lo, [("a", "<u8"), ("b", "<u8")])
+                    key["a"], key["b"] = a[lo:hi], b[lo:hi]
                     out["segment"].append(s)
                     out["block_id"].append(block_id)
                     out["keys"].append(key.tobytes())
@@ -224,7 +225,7 @@ def substring_dedup(
                 )
 
     def group(pdf: pd.DataFrame) -> pd.DataFrame:
-        each = [np.frombuffer(x, [("a", "<u8"), ("b", "<u4")]) for x in pdf["keys"]]
+        each = [np.frombuffer(x, [("a", "<u8"), ("b", "<u8")]) for x in pdf["keys"]]
         doc = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(r, np.uint32)) for d, r in zip(pdf["docs"], pdf["runs"])])
         a, b = np.concatenate([x["a"] for x in each]), np.concatenate([x["b"] for x in each])
         order = np.lexsort((doc, b, a))

@@ -7,7 +7,7 @@ deepest LCP interval that holds a suffix has the length of the longest substring
 there and occurs again in the same text; these spans are the maximal repeated substrings and
 their tails. Their union gives the covered words, their largest length the longest repeat.
 
-Works on words (64-bit hashes of their bytes), per text, in slices of bounded bytes or one
+Works on numbers of whole words (equal numbers for equal bytes, no hashing), per text, in slices of bounded bytes or one
 text; no shuffle.
 """
 
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import prepare, row_field, source
-from .words import Words, covered, slices, split_words, text_of_word, word_hashes
+from .words import Words, covered, slices, split_words, text_of_word, word_numbers
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -117,7 +117,7 @@ def features(texts: pa.Array, limits: Limits) -> dict[str, np.ndarray]:
     n = len(w.starts)
     in_word = covered(w.starts, w.ends - w.starts, len(w.data))
     character = (w.data & 0xC0) != 0x80
-    repeat = longest_repeats(np.unique(word_hashes(w, 11), return_inverse=True)[1], w.first)
+    repeat = longest_repeats(word_numbers(w)[0], w.first)
     three = np.flatnonzero(repeat >= 3)
     long_ = np.flatnonzero(repeat >= limits.min_repeat)
     longest = np.zeros(len(w.first) - 1, np.int64)

@@ -64,7 +64,7 @@ class Tokens:
 def tokens(texts: pa.Array) -> Tokens:
     w: Words = split_words(texts, _BREAK)
     w.data = _LOWER[w.data]
-    h, some, token = np.unique(word_hashes(w, 7, _BREAK), return_index=True, return_inverse=True)
+    h, some, token = np.unique(word_hashes(w, 7, space=_BREAK)[0], return_index=True, return_inverse=True)
     length = w.ends[some] - w.starts[some]
     at = np.r_[0, np.cumsum(length)]
     byte = np.arange(at[-1]) - np.repeat(at[:-1], length) + np.repeat(w.starts[some], length)

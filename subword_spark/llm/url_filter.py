@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from .common import ascii_lower, prepare, table
 
 _START, _END = "\x02", "\x03"
+#: Characters of texts whose runs one task makes, at most, where there are many.
+PART_CHARS = 2_000_000
 
 
 def host(url: Column) -> Column:
@@ -45,8 +47,9 @@ def apply_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     with the rule's. The longest (host and path together) wins, then the smallest.
     """
     keys = urls.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    # No more of a host's last labels than the longest rule has.
+    most = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
+    suffix = F.expr(f"explode(array_distinct(transform(sequence(1, {most}), i -> substring_index(host, '.', -i))))")
     rules = rules.select(
         F.col("host").alias("suffix"),
         F.col("path").alias("start"),
@@ -68,13 +71,20 @@ def _runs(order: int) -> Column:
     )
 
 
+def _spread(texts: DataFrame) -> DataFrame:
+    """Texts dealt out evenly before their runs are made, which take many times their space."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return texts.repartition(max(n, size // PART_CHARS), "text")
+
+
 def train(known: DataFrame, order: int) -> DataFrame:
     """Counts of both models: ``context, next, a_n, b_n`` for runs and, where ``next`` is
     null, ``a_n, b_n`` (times seen) and ``a_t, b_t`` (distinct next characters) of contexts.
 
     ``known``: text, accepted (boolean).
     """
-    seen = known.select("accepted", F.explode(_runs(order)).alias("r")).select("accepted", "r.context", "r.next")
+    seen = _spread(known).select("accepted", F.explode(_runs(order)).alias("r")).select("accepted", "r.context", "r.next")
     counted = seen.groupBy("context", "next").agg(F.count_if("accepted").alias("a_n"), F.count_if(~F.col("accepted")).alias("b_n"))
     shorter = counted.select(F.explode(F.sequence(F.lit(0), F.lit(order))).alias("k"), "context", "next", "a_n", "b_n")
     shorter = shorter.select(F.expr("right(context, k)").alias("context"), "next", "a_n", "b_n")
@@ -114,7 +124,7 @@ def text_scores(texts: DataFrame, model: DataFrame, order: int) -> DataFrame:
 
     Sums are decimal, so that they do not depend on the order of rows.
     """
-    at = table(texts.select("text").distinct().select("text", F.explode(_runs(order)).alias("r")).select("text", "r.context", "r.next"), "runs")
+    at = table(_spread(texts.select("text").distinct()).select("text", F.explode(_runs(order)).alias("r")).select("text", "r.context", "r.next"), "runs")
     scores = table(run_scores(at.select("context", "next").distinct(), model, order), "scores")
     exact = F.sum(F.col("score").cast("decimal(18,9)")) / F.count("*")
     return at.join(scores, ["context", "next"]).groupBy("text").agg(exact.cast("double").alias("score"))
@@ -152,7 +162,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url
     rows = pages.select(F.col(id_col).alias("id"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
     text = F.concat("host", "path")
     judged = table(apply_rules(rows, rules).withColumn("text", text), "rules")
-    known = judged.where("verdict IS NOT NULL").groupBy("text").agg(F.max(F.col("verdict") == "allow").alias("accepted"))
+    known = table(judged.where("verdict IS NOT NULL").groupBy("text").agg(F.max(F.col("verdict") == "allow").alias("accepted")), "known")
     fold = F.pmod(F.xxhash64("text"), F.lit(5))
     held, fit = known.where(fold == 0), known.where(fold != 0)
     model = train(fit, order)

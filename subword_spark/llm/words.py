@@ -12,12 +12,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_SLICE = 1 << 20
-
 
 @dataclass
 class Words:
@@ -109,23 +108,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_hashes(w: Words, seed: int, space: np.ndarray = IS_SPACE) -> np.ndarray:
-    """A 64-bit hash per word, in byte slices of bounded size."""
-    rng = np.random.default_rng(seed)
-    value = rng.integers(1, 2**63, 256, dtype=np.uint64)
-    value[space] = 0
-    step = np.uint64(int(rng.integers(1, 2**62)) * 2 + 1)
-    out = np.empty(len(w.starts), np.uint64)
-    i = 0
-    while i < len(w.starts):
-        j = max(i + 1, int(np.searchsorted(w.starts, w.starts[i] + _SLICE)))
-        s, e = w.starts[i:j], w.ends[j - 1]
-        heads = s - s[0]
-        at = np.arange(e - s[0]) - np.repeat(heads, np.diff(np.append(heads, e - s[0])))
-        power = np.cumprod(np.full(int(at.max()) + 1, step, np.uint64))
-        out[i:j] = np.add.reduceat(value[w.data[s[0] : e]] * power[at], heads)
-        i = j
-    return mix(out)
+def word_hashes(w: Words, *seeds: int, space: np.ndarray = IS_SPACE) -> list[np.ndarray]:
+    """For each seed, the XXH64 of each word's bytes; each distinct word is hashed once."""
+    number, distinct = word_numbers(w, space)
+    distinct = distinct.to_pylist()
+    return [np.array([xxhash.xxh64_intdigest(x, seed) for x in distinct], np.uint64)[number] for seed in seeds]
 
 
 def window_hashes(h: np.ndarray, first: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:

@@ -32,5 +32,19 @@ def test_stages(spark):
             assert r.text == texts[r.doc_id]
         else:
             assert len(r.text) < len(texts[r.doc_id]) and r.n_chars == len(r.text)
-    assert P._LEFT <= common.made()
+    assert all(paths <= common.made() for paths in P._LEFT.values())
+    common.release()
+
+
+def test_run_and_an_empty_table(spark, tmp_path):
+    """``run`` over documents with nulls, repeats and clashing names; and over none."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    extra = spark.createDataFrame([(None, None, "en", "web", None), (7, "", None, None, 0), (7, None, "en", None, 0)], docs.schema)
+    for name, rows in (("some", docs.union(extra).union(extra)), ("none", docs.limit(0))):
+        at = f"{tmp_path}/{name}"
+        rows.write.parquet(f"{at}/documents.parquet")
+        spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(f"{at}/labels.parquet")
+        got = P.run(spark, at).collect()
+        assert bool(got) == (name == "some")
+        assert all(r.n_tokens * 4 == len(r.ids) for r in got)
     common.release()

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from subword_spark.llm import common
-from subword_spark.llm.words import slices, split_words, window_hashes, word_hashes
+from subword_spark.llm.words import slices, split_words, window_hashes, word_hashes, word_numbers
 
 TEXTS = ["a b  c", None, "", "  x\ty", "z", "a b c d", "é ü\x0bé", "x" * 3_000_000]
 
@@ -18,7 +18,7 @@ def test_words_are_those_of_bytes_split():
 
 def test_hashes_depend_on_the_words_alone():
     w = split_words(pa.array(TEXTS))
-    h = word_hashes(w, 1)
+    h = word_hashes(w, 1)[0]
     by_word = {}
     for a, b, x in zip(w.starts, w.ends, h):
         by_word.setdefault(w.data[a:b].tobytes(), set()).add(int(x))
@@ -28,6 +28,16 @@ def test_hashes_depend_on_the_words_alone():
     assert at.tolist() == [0, 6, 7, 10] and runs[0] == runs[1] and len(set(runs.tolist())) == 3
 
 
+def test_words_in_thue_morse_order_differ():
+    """A word and its complement, on which polynomials modulo 2^64 agree."""
+    a = b"".join(b"ab"[bin(i).count("1") % 2 :][:1] for i in range(1024)).decode()
+    b = a.translate(str.maketrans("ab", "ba"))
+    w = split_words(pa.array([f"{a} {b} {a}"]))
+    assert word_numbers(w)[0].tolist() == [0, 1, 0]
+    x, y, z = word_hashes(w, 1)[0].tolist()
+    assert x == z != y
+
+
 def test_slices_cover_the_batch():
     batch = pa.RecordBatch.from_pydict({"text": pa.array(["ab", None, "c" * 50, "", "d"])})
     parts = list(slices(batch, "text", 10))
