@@ -9,21 +9,24 @@ one stage, and a stage begins by deleting the tables that the stage before left
 from __future__ import annotations
 
 import functools
+import threading
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subword_spark.llm.bpe_codec import bpe_encode
-from subword_spark.llm.common import made, prepare, read, release
+from subword_spark.llm.common import collecting, prepare, read, release
 from subword_spark.llm.queries import fold
-from subword_spark.llm.simhash_dedup import simhash_dedup
+from subword_spark.llm import simhash_dedup as near
 from subword_spark.llm.source_mixing import entropy_mix
 from subword_spark.llm.substring_dedup import substring_dedup
 from subword_spark.llm.toxicity import Fit, sample, score_toxicity, train
 from subword_spark.session import remove_path, shared_table
 
-_LEFT: set[str] = set()
+#: What the last stage of a pipeline has left in the shared folder, by application, tables
+#: and thread: pipelines side by side keep to their own.
+_LEFT: dict[tuple[str, str, int], set[str]] = {}
 
 
 def stage(operate):
@@ -31,11 +34,11 @@ def stage(operate):
 
     @functools.wraps(operate)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release(_LEFT)
-        _LEFT.clear()
-        before = made()
-        out = operate(spark, docs, sf_dir)
-        _LEFT.update(made() - before)
+        key = (spark.sparkContext.applicationId, sf_dir, threading.get_ident())
+        release(_LEFT.pop(key, set()))
+        with collecting() as mine:
+            out = operate(spark, docs, sf_dir)
+        _LEFT[key] = mine
         return out
 
     return run_stage
@@ -43,7 +46,10 @@ def stage(operate):
 
 @stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window that the network calls toxic (0.5 or more) go."""
+    """Documents with a window that the network calls toxic (0.5 or more) go.
+
+    Null and empty texts have an empty window and its score; equal texts go or stay together;
+    null and repeated ids are only passed on. Empty table: no rows."""
     fit = Fit()
     labels = read(spark, sf_dir, "labels").where(fold() != 0)
     model = train(*sample(docs, labels, "doc_id", "text", "toxic", fit), fit)
@@ -52,14 +58,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked within 4 fingerprint bits, the document with the smallest id stays."""
-    return simhash_dedup(docs, shingle=4, max_bits=4, row=True).where("keep").select("row.*")
+    """Of each group linked within 4 fingerprint bits, the document with the smallest id stays.
+
+    Null and empty texts are linked with each other; a null id is larger than every other; of
+    repeated rows one stays. Empty table: no rows."""
+    return near.drop_near_copies(docs, shingle=4, max_bits=4)
 
 
 @stage
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """13-word passages that a smaller document holds are cut out of the text. ``n_chars``
-    follows where a text has changed; a text may become empty."""
+    follows where a text has changed; a text may become empty. A null text stays null; rows with
+    the same id keep what they share; a null id is larger than every other. Empty table: no rows."""
     out = substring_dedup(docs, layout="text", row=True)
     cut = F.col("n_removed") > 0
     new = {"text": F.when(cut, F.col("kept")).otherwise(F.col("row.text")), "n_chars": F.when(cut, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))}
@@ -68,7 +78,10 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: 0 to 3 times."""
+    """Each document as often as the mix takes it: 0 to 3 times.
+
+    A null source is a source of its own; null and empty texts have size 0; repeated rows count
+    each. Empty table: no rows."""
     out = entropy_mix(docs, weights=(5, 2, 1), cap=3, row=True).where("copies > 0")
     return out.select(F.explode(F.sequence(F.lit(1), "copies")), "row").select("row.*")
 
@@ -76,7 +89,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text (little-endian unsigned 32-bit numbers), and the digest of
-    what they decode to."""
+    what they decode to. Null and empty texts have no ids. Empty table: no rows."""
     out = bpe_encode(docs, public_tokenizers.path("word_bpe_49k.json"), decoded=True, row=True)
     return out.select(
         F.col("id").alias("doc_id"),
