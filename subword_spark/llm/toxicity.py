@@ -41,10 +41,13 @@ _LOWER[65:91] += 32
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the training sample and of the fit."""
+    """Bounds of the training sample and of the fit. A sampled text counts as a whole up to
+    ``spans`` times ``span_chars`` characters; of a longer one, ``spans`` spans are sampled from
+    all over it."""
 
     max_per_class: int = 1500
-    max_chars: int = 8_000
+    span_chars: int = 4_000
+    spans: int = 8
     rounds: int = 6
     updates: int = 100  # of the weights in each round, in whole passes over the sample
     seed: int = 5
@@ -312,14 +315,24 @@ def train(texts: list[str | None], labels: np.ndarray, fit: Fit = Fit()) -> Mode
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit: Fit) -> tuple[list, np.ndarray]:
     """A bounded sample of labelled texts: at most ``max_per_class`` ids of each label by hash
-    order, texts up to ``max_chars``. Null labels and null ids teach nothing."""
+    order, out of those that ``docs`` holds. Texts of any length teach: a long one is cut into
+    spans, and ``spans`` of them by hash order stand for it. Null labels and null ids teach
+    nothing; of rows with one id the smallest text counts."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label")).distinct()
+    known = known.join(docs.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     ids = None
     for value in (0, 1):
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(fit.max_per_class)
         ids = part if ids is None else ids.union(part)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text") <= fit.max_chars)
-    rows = texts.join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text")).collect()  # 2 * max_per_class ids at most
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    chosen = texts.join(F.broadcast(ids), "id")  # 2 * max_per_class ids at most
+    size = F.length("text")
+    last = F.greatest(F.ceil(size / fit.span_chars) - 1, F.lit(0))
+    numbers = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: F.struct(F.xxhash64("id", i).alias("h"), i.alias("i")))
+    some = F.array_sort(F.transform(F.slice(F.array_sort(numbers), 1, fit.spans), lambda x: x["i"]))
+    spans = F.transform(some, lambda i: F.substr("text", (i * fit.span_chars + 1).cast("int"), F.lit(fit.span_chars)))
+    whole = F.when(last < fit.spans, F.col("text")).otherwise(F.array_join(spans, "\n"))
+    rows = chosen.select("id", "label", whole.alias("text")).groupBy("id", "label").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["id"], r["label"]))
     return [r["text"] for r in rows], np.array([r["label"] for r in rows], float)
 

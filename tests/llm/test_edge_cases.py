@@ -90,3 +90,29 @@ def test_one_class_scores_its_share(spark):
     df = docs(spark)
     assert {r.score for r in score_toxicity(df, train(["a"], [1])).collect()} == {1.0}
     assert {r.score for r in score_toxicity(df, train([], [])).collect()} == {0.0}
+
+
+def test_long_labelled_texts_teach(spark):
+    """A text beyond the sampled spans is cut into spans from all over it; shorter ones are whole."""
+    from subword_spark.llm.toxicity import Fit, sample
+
+    fit = Fit(max_per_class=3, span_chars=10, spans=4)
+    long = "".join(f"{i:09d} " for i in range(50))
+    docs = spark.createDataFrame([(1, long), (2, "a" * 40), (3, None), (4, "x"), (9, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, None), (5, 1), (6, 1), (7, 1), (8, 1)], "doc_id long, toxic int")
+    texts, label = sample(docs, labels, "doc_id", "text", "toxic", fit)
+    assert label.tolist() == [1, 1, 0] and texts[1:] == ["a" * 40, ""]
+    spans = texts[0].split("\n")
+    assert len(spans) == 4 and all(s in long and len(s) == 10 for s in spans) and spans == sorted(spans)
+    assert int(spans[-1]) > 10
+
+
+def test_url_of_very_many_labels(spark):
+    """A host of 100,000 labels, and the rule of its last ones."""
+    from subword_spark.llm.url_filter import apply_rules
+
+    rules = spark.createDataFrame([("org", "/", "allow"), ("b.example.org", "/x", "block")], "host string, path string, verdict string")
+    host = "a." * 100_000
+    urls = spark.createDataFrame([(host + "b.example.org", "/xy"), (host + "org", "/"), (host + "net", "/"), ("org", "/"), ("", "")], "host string, path string")
+    got = {(r.host[-5:], r.path): (r.rule, r.verdict) for r in apply_rules(urls, rules).collect()}
+    assert got == {("e.org", "/xy"): ("b.example.org/x", "block"), ("a.org", "/"): ("org/", "allow"), ("a.net", "/"): (None, None), ("org", "/"): ("org/", "allow"), ("", ""): (None, None)}
