@@ -62,8 +62,13 @@ def char_sequence_string(normalized: Column, opts: BPEOptions) -> Column:
     Chunks between markers are kept when non-empty and re-joined by exactly one marker,
     so leading, trailing and repeated markers vanish.
     """
+    return F.btrim(collapse_markers(normalized, opts), F.lit(opts.marker))
+
+
+def collapse_markers(normalized: Column, opts: BPEOptions) -> Column:
+    """Runs of markers as one marker."""
     m = opts.marker
-    return F.btrim(F.regexp_replace(normalized, _lit_regex(m) + "+", m.replace("\\", "\\\\").replace("$", "\\$")), F.lit(m))
+    return F.regexp_replace(normalized, _lit_regex(m) + "+", m.replace("\\", "\\\\").replace("$", "\\$"))
 
 
 def chars(col: Column) -> Column:

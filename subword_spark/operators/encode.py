@@ -218,6 +218,11 @@ def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
     return _encode_udf(model, order, False)(line_sequence(col, opts))
 
 
+def encode_sequences(seqs: Column, model: BPEModel, order: str = "scan") -> Column:
+    """``struct<ids, n_unknown>`` of an array of sequence strings, one after another."""
+    return _encode_udf(model, order, True)(seqs)
+
+
 def encode(
     df: DataFrame,
     text_col: str,
