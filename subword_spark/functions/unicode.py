@@ -1,17 +1,19 @@
-"""Unicode normal forms and accent stripping as an Arrow-batched pandas UDF.
+"""Unicode normal forms and accent stripping.
 
-Spark has no built-in Unicode normaliser, so this is the one Python step of normalisation.
-ASCII strings are already in every normal form and have no combining marks, so they are
-returned untouched without calling ``unicodedata``.
+Spark has no built-in Unicode normaliser. Texts of characters below U+0300 are mapped natively,
+character by character; the others go through ``unicodedata`` in an Arrow-batched pandas UDF,
+the one Python step of normalisation.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 
@@ -90,19 +92,40 @@ def nfc_check() -> str:
     return f"[\\x{{{first:x}}}-\\x{{10ffff}}]"
 
 
+#: Below this every character is a starter, and so is the first character of what it turns
+#: into; no two of them compose. So each character can be replaced on its own.
+NATIVE_BELOW = 0x300
+
+
+@lru_cache(maxsize=None)
+def _replacements(form: str, strip_accents: bool) -> str:
+    """What each character below ``NATIVE_BELOW`` turns into, as a JSON list."""
+    return json.dumps([normalize_one(chr(c), form, strip_accents) for c in range(NATIVE_BELOW)])
+
+
+def _native_form(col: Column, form: str, strip_accents: bool) -> Column:
+    """The form of texts whose characters are all below ``NATIVE_BELOW``."""
+    if form == "NFC" and not strip_accents:
+        return col
+    table = F.from_json(F.lit(_replacements(form, strip_accents)), "array<string>")
+    each = F.transform(F.split(col, ""), lambda c: F.when(c == "", c).otherwise(F.get(table, F.ascii(c))))
+    return F.when(col.rlike("[^\\x00-\\x7f]"), F.array_join(each, "")).otherwise(col)
+
+
+def crosses_to_python(col: Column, form: str = "NFC", strip_accents: bool = False) -> Column:
+    """Whether a text needs the UDF: it has a character from ``NATIVE_BELOW`` on."""
+    check = nfc_check() if form == "NFC" and not strip_accents else f"[\\x{{{NATIVE_BELOW:x}}}-\\x{{10ffff}}]"
+    return F.coalesce(col.rlike(check), F.lit(False))
+
+
 def unicode_form(col: Column, form: str = "NFC", strip_accents: bool = False) -> Column:
     """``unicodedata.normalize(form)`` and optional removal of combining marks.
 
-    Only rows that can change are sent to Python: for NFC alone, rows with a character
-    at or above the first of ``nfc_suspects()``; otherwise non-ASCII rows. The others cross as nulls and keep
-    their value.
+    Texts of ASCII, Latin and other characters below U+0300 are mapped character by character
+    in the JVM (for NFC alone they stay as they are). Only rows with a character from there on,
+    where marks are reordered and characters compose, go to Python; the others cross as nulls.
     """
-    from pyspark.sql import functions as F
-
     if form == "none" and not strip_accents:
         return col
-    if form == "NFC" and not strip_accents:
-        needs = col.rlike(nfc_check())
-    else:
-        needs = col.rlike("[^\\x00-\\x7f]")
-    return F.coalesce(_udf(form, strip_accents)(F.when(needs, col)), col)
+    needs = crosses_to_python(col, form, strip_accents)
+    return F.coalesce(_udf(form, strip_accents)(F.when(needs, col)), _native_form(col, form, strip_accents))

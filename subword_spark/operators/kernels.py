@@ -190,14 +190,6 @@ def intern(batches, code_points: np.ndarray, ids: np.ndarray, min_len: int = 2,
         yield out
 
 
-def distinct_code_points(batches):
-    """Distinct code points of a string column, per batch."""
-    for batch in batches:
-        joined = "".join(s for s in batch.column(0).to_pylist() if s)
-        cps = np.unique(np.frombuffer(joined.encode("utf-32-le"), dtype="<u4"))
-        yield pa.RecordBatch.from_arrays([pa.array(cps.astype(np.int32))], names=["cp"])
-
-
 def first_positions(batches, order_by: tuple[str, ...], schema: pa.Schema):
     """The first place of each symbol in a batch: ``sym, at`` (order columns and position).
 

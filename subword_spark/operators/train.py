@@ -36,11 +36,12 @@ from __future__ import annotations
 import json
 import logging
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -91,10 +92,25 @@ def first_seen_symbols(lines: DataFrame, col: str, opts: BPEOptions, order_by: t
     kinds = pa.schema([("sym", pa.string())] + [(c, to_arrow_type(rows.schema[c].dataType)) for c in order_by] + [("pos", pa.int64())])
     ddl = ", ".join(["sym string"] + [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in order_by] + ["pos bigint"])
     places = rows.mapInArrow(partial(kernels.first_positions, order_by=order_by, schema=kinds), ddl)
-    first = places.groupBy("sym").agg(F.min(F.struct(*order_by, "pos")).alias("at"))
+    packed = packed_place([(c, rows.schema[c].dataType.simpleString()) for c in order_by])
+    first = places.groupBy("sym").agg(F.min(F.struct(*order_by, "pos") if packed is None else packed).alias("at"))
     return [r.sym for r in first.orderBy("at").collect()]
 
 
+def packed_place(order_by: list[tuple[str, str]]) -> Column | None:
+    """The order columns and ``pos`` (below 2^30) as one number that sorts as they do, so that
+    its least value is a hash aggregate; None where they do not fit into 126 bits."""
+    bits = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+    if any(kind not in bits for _, kind in order_by) or sum(bits[kind] for _, kind in order_by) > 96:
+        return None
+    number = lambda x: F.lit(Decimal(x)).cast("decimal(38,0)")
+    out = number(0)
+    for c, kind in order_by:  # null comes first, as in a struct
+        value = F.coalesce(F.col(c).cast("decimal(38,0)") + number(2 ** (bits[kind] - 1) + 1), number(0))
+        out = (out * number(2 ** bits[kind] + 1) + value).cast("decimal(38,0)")
+    return (out * number(2**30) + F.col("pos")).cast("decimal(38,0)")
+
+
 @dataclass
 class Pick:
     l: int

@@ -17,9 +17,10 @@ MAX_ALPHABET = 0x110000
 
 
 def alphabet_df(seqs: DataFrame, col: str = "seq") -> DataFrame:
-    """Distinct symbols of a sequence-string column (``symbol string``), computed per
-    Arrow batch first so only distinct code points reach the shuffle."""
-    cps = seqs.select(col).mapInArrow(kernels.distinct_code_points, "cp int").distinct()
+    """Distinct symbols of a sequence-string column (``symbol string, cp int``), native: the
+    distinct symbols of each row, then a partial and a final aggregate by code point."""
+    each = seqs.select(F.explode(F.array_distinct(F.split(col, ""))).alias("symbol")).where("symbol <> ''")
+    cps = each.select(F.ascii("symbol").alias("cp")).distinct()
     return cps.select(F.expr("char(cp)").alias("symbol"), "cp")
 
 

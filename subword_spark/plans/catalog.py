@@ -16,7 +16,8 @@ from ..functions.text import byte_string, hex_symbol, n_chars, n_whitespace_word
 from ..functions.unicode import unicode_form
 from ..operators.decode import decode
 from ..operators.encode import encode
-from ..operators.metrics import roundtrip_report, stability, stats_report, token_frequency, vocab_coverage
+from ..operators.encode_pieces import encode_files, encode_long, token_positions
+from ..operators.metrics import roundtrip_report, stability, stats_report, throughput, token_frequency, vocab_coverage
 from ..operators.model import BPEModel
 from ..operators.pairs import apply_pairs, frequent_pairs, merge_with_delta, pair_counts_native, update_pair_counts
 from ..operators.symbols import computed_once, line_sequence, weighted_sequences, word_sequences
@@ -88,6 +89,22 @@ def q_corpus_lines(spark, sf):
     return doc_lines(spark, sf)
 
 
+def _form(spark, sf, form: str):
+    return doc_lines(spark, sf).select("doc_id", "line_no", unicode_form(F.col("line"), form).alias("normal"))
+
+
+def q_normalize_nfd(spark, sf):
+    return _form(spark, sf, "NFD")
+
+
+def q_normalize_nfkc(spark, sf):
+    return _form(spark, sf, "NFKC")
+
+
+def q_normalize_nfkd(spark, sf):
+    return _form(spark, sf, "NFKD")
+
+
 def q_normalize_nfc(spark, sf):
     return doc_lines(spark, sf).select("doc_id", "line_no", unicode_form(F.col("line"), "NFC").alias("nfc"))
 
@@ -386,6 +403,28 @@ def q_encode_bytes(spark, sf):
     return enc.select("conv_id", "turn", "line_no", F.size("ids").cast("int").alias("n_tokens"), format_token_ids(F.col("ids")).alias("ids"))
 
 
+def q_encode_cut_docs(spark, sf):
+    """The documents' ids, texts of more than 500 characters encoded in pieces and stitched."""
+    enc = encode_long(documents(spark, sf), "text", word_model(spark, sf), piece_chars=500)
+    return enc.select("doc_id", F.size("ids").cast("int").alias("n_tokens"), format_token_ids(F.col("ids")).alias("ids"))
+
+
+def q_encode_cut_lines(spark, sf):
+    """Line-unit ids of every conversation line, cut at 40 symbols where no merge crosses."""
+    m = train(conv_lines(spark, sf), "line", LINE)
+    enc = encode_long(conv_lines(spark, sf), "line", m, order="rank", piece_chars=40)
+    return enc.select("conv_id", "turn", "line_no", F.size("ids").cast("int").alias("n_tokens"), format_token_ids(F.col("ids")).alias("ids"))
+
+
+def q_encode_whole_file(spark, sf):
+    """All documents written as one file and encoded as one text, a task for each part: how
+    often each token occurs, and the sum of its places."""
+    m = word_model(spark, sf)
+    path = scratch_path(spark, "one-file")
+    documents(spark, sf).where("text IS NOT NULL").orderBy("doc_id").select("text").coalesce(1).write.text(path)
+    return token_positions(encode_files(spark, path, m, chunk_bytes=1 << 18))
+
+
 def q_decode_docs(spark, sf):
     m = word_model(spark, sf)
     enc = encode(documents(spark, sf), "text", m)
@@ -503,6 +542,12 @@ def q_vocab_coverage(spark, sf):
     return vocab_coverage(documents(spark, sf), "text", m, group_by=("lang",))
 
 
+def q_throughput(spark, sf):
+    """Timed encode and decode jobs: each trial's tokens, and that it took time."""
+    out = throughput(documents(spark, sf), "text", word_model(spark, sf), trials=2)
+    return out.select("kind", "trial", "n_tokens", ((F.col("seconds") > 0) & (F.col("tokens_per_sec") > 0)).alias("timed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from . import catalog as C
 from . import oracle_sql as O
 
@@ -14,6 +16,12 @@ def _line_select(expr: str, alias: str) -> str:
     return f"SELECT doc_id, line_no, {expr} AS {alias} FROM ({DOC_LINES})"
 
 
+def _unicode_table(form: str) -> str:
+    """What single characters turn into; texts without combining marks follow from these."""
+    found = ((chr(c), unicodedata.normalize(form, chr(c))) for c in range(0x80, 0x3000))
+    return ", ".join(f"('{c}', '{t}')" for c, t in found if c != t)
+
+
 def _train(lines: str, opts) -> str:
     return "WITH RECURSIVE " + O.train_ctes(O.sequences_cte(lines, opts), opts)
 
@@ -352,6 +360,28 @@ def build() -> dict[str, str]:
     WITH ca AS ({_conv_word_alphabet()}), ds AS ({_doc_word_symbols()}),
     t AS (SELECT lang, count(*)::BIGINT AS n_symbols, count_if(c IN (SELECT c FROM ca))::BIGINT AS n_covered FROM ds GROUP BY lang)
     SELECT lang, n_symbols, n_covered, {_ratio('n_covered', 'n_symbols')} AS coverage FROM t"""
+    for form in ("NFD", "NFKC", "NFKD"):
+        o[f"normalize_{form.lower()}"] = f"""
+    WITH m(c, t) AS (VALUES {_unicode_table(form)}),
+    s AS (SELECT doc_id, line_no, unnest(string_split(line, '')) AS c, generate_subscripts(string_split(line, ''), 1) AS i FROM ({DOC_LINES}))
+    SELECT doc_id, line_no, string_agg(coalesce(t, c), '' ORDER BY i) AS normal FROM s LEFT JOIN m USING (c) GROUP BY doc_id, line_no"""
+    o["encode_cut_docs"] = o["encode_docs"]
+    o["encode_cut_lines"] = o["encode_lines"]
+    o["encode_whole_file"] = (
+        _word_encode()
+        + f""",
+    there AS (SELECT doc_id FROM documents WHERE text IS NOT NULL AND {O.normalize('text', C.WORD)} <> ''),
+    occ AS (SELECT coalesce(v.token_id, 0) AS token_id, row_number() OVER (ORDER BY dw.doc_id, dw.pos, x.i) - 1 AS p
+            FROM dw JOIN there USING (doc_id) JOIN (SELECT w, unnest(st) AS tok, generate_subscripts(st, 1) AS i FROM wtok) x USING (w)
+            LEFT JOIN vocab v ON v.token = x.tok)
+    SELECT CAST(token_id AS INTEGER) AS token_id, count(*)::BIGINT AS n, sum(p)::BIGINT AS sum_pos FROM occ GROUP BY token_id"""
+    )
+    o["throughput"] = (
+        _word_encode()
+        + """
+    SELECT kind, CAST(trial AS INTEGER) AS trial, (SELECT sum(n_tokens) FROM enc)::BIGINT AS n_tokens, TRUE AS timed
+    FROM (VALUES ('encode'), ('decode')) k(kind), range(2) t(trial)"""
+    )
     return o
 
 

@@ -239,3 +239,15 @@ def test_first_seen_batched_equals_one_at_a_time(lines_df):
         seqs = [list(r.seq) for r in sequence_rows(df.orderBy("line_no"), "line", opts).collect()]
         _, merges, _ = train_reference(seqs, opts.specials, opts.target_vocabulary_size, 1, 20, first_seen=True)
         assert fast.merges == slow.merges == merges, lines
+
+
+def test_first_places_are_packed(spark):
+    """Order columns as one number: sorts as they do, and the least of it is a hash aggregate."""
+    rows = [(2**63 - 1, 2**31 - 1, 5), (-(2**63), -(2**31), 2**30 - 1), (None, 7, 0), (3, None, 1), (3, -1, 4), (3, -1, 3), (2, 2**31 - 1, 9), (-1, 0, 0)]
+    df = spark.createDataFrame(rows, "a bigint, b int, pos bigint")
+    place = train_module.packed_place([("a", "bigint"), ("b", "int")])
+    got = [tuple(r)[:3] for r in df.withColumn("p", place).orderBy("p").collect()]
+    assert got == [tuple(r) for r in df.orderBy("a", "b", "pos").collect()]
+    plan = df.groupBy("b").agg(F.min(place).alias("at"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert train_module.packed_place([("a", "bigint"), ("b", "bigint")]) is None and train_module.packed_place([("a", "string")]) is None
