@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from .best_fit_packing import pack
 from .bpe_codec import bpe_encode
-from .chat_format import format_trees, read_turns, unescape
+from .chat_format import CLOSE, CONTROL, OPEN, format_trees, read_turns, unescape
 from .common import WORD, read, table
 from .license_scan import license_scan
 from .mtree_search import quantize, top_k
@@ -231,7 +231,50 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda a, b: {byte}), 4294967295)"
 
 
+def _escaped_length(text: str) -> str:
+    """Length of a text with backslashes doubled and control strings broken up."""
+    found = " + ".join(f"(length({text}) - length(replace({text}, '{c}', ''))) // {len(c)}" for c in CONTROL)
+    return f"(length({text}) + length({text}) - length(replace({text}, chr(92), '')) + {found})"
+
+
+def _windows(n: int) -> str:
+    """Word windows of each document: ``doc_id, p, k``."""
+    return f"SELECT doc_id, p, array_to_string(ws[p:p + {n - 1}], ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {n - 2})) AS p FROM d)"
+
+
+def _covered(n: int, what: str) -> str:
+    """Words in windows that a document holds twice or more, by document."""
+    return f"""SELECT doc_id, count(DISTINCT i)::BIGINT AS {what} FROM (SELECT doc_id, unnest(range(p, p + {n})) AS i FROM
+      (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, k) AS c FROM w{n}) WHERE c > 1) GROUP BY doc_id"""
+
+
 ORACLES = {
+    "op4_chat_format": rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM r),
+a AS (SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY i) AS turns,
+             coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS learnt,
+             sum({_escaped_length("role")} + length(role) - length(replace(role, chr(10), '')) + {_escaped_length("text")} + {len(OPEN) + 1 + len(CLOSE)})::BIGINT AS formatted_chars
+      FROM n GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learnt)::BIGINT AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars FROM a
+""",
+    "op5_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+w3 AS ({_windows(3)}), w8 AS ({_windows(8)}), c3 AS ({_covered(3, "n_repeat_words")}), c8 AS ({_covered(8, "n_covered_words")}),
+same AS (SELECT a.doc_id, b.p - a.p AS lag, a.p FROM w8 a JOIN w8 b ON a.doc_id = b.doc_id AND a.k = b.k AND a.p < b.p),
+longest AS (SELECT doc_id, max(n) + 7 AS longest_repeat FROM (SELECT doc_id, count(*) AS n FROM
+            (SELECT *, p - row_number() OVER (PARTITION BY doc_id, lag ORDER BY p) AS island FROM same) GROUP BY doc_id, lag, island) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d)
+          WHERE regexp_matches(l, '[^ 	-]') GROUP BY doc_id),
+f AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(lines.n, 0)::BIGINT AS n_dup_lines,
+             coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_covered_words, 0)::BIGINT AS n_covered_words,
+             coalesce(longest_repeat, 0)::BIGINT AS longest_repeat
+      FROM d LEFT JOIN c3 USING (doc_id) LEFT JOIN c8 USING (doc_id) LEFT JOIN longest USING (doc_id) LEFT JOIN lines USING (doc_id)),
+g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT *, NOT base_failed AND n_covered_words <= 0.3::DOUBLE * n_words AND longest_repeat <= 100 AS kept FROM g
+""",
     "op2_mtree_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
