@@ -91,6 +91,10 @@ def solve(counts: DataFrame, sources: DataFrame, cap: float, tolerance: float =
         state = new
         if (state.agg(F.max("off")).first()[0] or 0) <= tolerance:
             break
+    else:
+        off = state.agg(F.max("off")).first()[0]
+        if off > 1000 * tolerance:
+            raise RuntimeError(f"a source is {off:.3g} of its target off after {max_rounds} rounds")
     return state.select("sid", "lam")
 
 
@@ -163,7 +167,8 @@ def entropy_mix(
     d, c = sized.select("id", "source", "size", "uid").alias("d"), cells.alias("c")
     dealt = d.join(c, F.expr("d.source <=> c.source AND d.size = c.size")).select("d.id", "d.size", "d.uid", "sid", "rate", "parts")
     many = dealt.where("parts > 1").groupBy("sid", "size", "id").agg(F.count("*").alias("m")).where(F.col("m") > RANKED)
-    many = many.select("sid", "size", "id", F.ceil(F.col("m") / RANKED).alias("lots"))
+    # Few or none: written, so that Spark knows its size and sends it to the tasks only if it is small.
+    many = table(many.select("sid", "size", "id", F.ceil(F.col("m") / RANKED).alias("lots")), "lots")
     big = F.col("lots").isNotNull()
     place = [
         F.when(F.col("parts") > 1, F.pmod(F.xxhash64("d.id"), F.col("parts"))).otherwise(F.lit(0).cast("long")).alias("part"),
@@ -171,7 +176,7 @@ def entropy_mix(
         F.when(big, F.col("d.id")).alias("own"),
         F.when(big, F.pmod(F.xxhash64("uid"), F.col("lots"))).otherwise(F.lit(0).cast("long")).alias("lot"),
     ]
-    placed = dealt.alias("d").join(F.broadcast(many).alias("m"), F.expr("d.sid = m.sid AND d.size = m.size AND d.id <=> m.id"), "left")
+    placed = dealt.alias("d").join(many.alias("m"), F.expr("d.sid = m.sid AND d.size = m.size AND d.id <=> m.id"), "left")
     placed = placed.select("d.id", "d.size", "d.uid", "d.sid", "rate", *place)
     where = ["sid", "size", "part", "big", "own", "lot"]
     rest = F.col("rate") - F.floor("rate")

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from subword_spark.llm import source_mixing as M
@@ -70,3 +71,11 @@ def test_copies_do_not_depend_on_row_order(spark, monkeypatch):
     assert got[0] == got[1] == got[2]
     rows = [r.asDict() for r in entropy_mix(df).collect()]
     _check(rows, lambda mine: max(r["size"] for r in mine))
+
+
+def test_a_source_that_does_not_converge_raises(spark):
+    counts = spark.createDataFrame([(0, s, 3) for s in (1, 7, 50)], "sid int, size long, n long")
+    sources = spark.createDataFrame([(0, 174, 50, 400.0)], "sid int, source_size long, largest long, target double")
+    assert M.solve(counts, sources, 3).first()["lam"] > 0
+    with pytest.raises(RuntimeError):
+        M.solve(counts, sources, 3, max_rounds=1)
