@@ -1,5 +1,10 @@
 """Driver contract: entry() runs, queries and oracles line up, a sample agrees with DuckDB."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -32,3 +37,19 @@ def test_query_matches_oracle(spark, name):
     assert sorted(s.columns) == sorted(d.columns)
     assert len(s) == len(d)
     assert digest(s) == digest(d)
+
+
+@pytest.mark.parametrize("how", ["folders gone", "library gone"])
+def test_queries_stay_without_the_llm_subpackage(tmp_path, how):
+    """The entry imports and registers all other queries when the subpackage, or a library that
+    only it needs, is not there."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    skip = shutil.ignore_patterns("llm", "__pycache__") if how == "folders gone" else shutil.ignore_patterns("__pycache__")
+    shutil.copytree(f"{root}/subword_spark", tmp_path / "subword_spark", ignore=skip)
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    if how == "library gone":
+        shutil.copy(f"{root}/corpus_pipeline.py", tmp_path)
+    hide = "import sys; sys.modules['ahocorasick'] = None; " if how == "library gone" else ""
+    code = hide + "import __spark_entry__ as E; q, o = E.queries(), E.oracle_sql(); print(len(q), len(o), 'pipeline' in q, any(x.startswith('op') and x[2].isdigit() for x in q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+    assert done.stdout.split() == [str(len(C.QUERIES)), str(len(C.QUERIES)), "False", "False"]
