@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.encode import encode
 from ..operators.model import BPEModel
-from ..session import scratch_path
+from ..session import has_folder, scratch_path
 
 
 def encode_stream(
@@ -48,11 +48,14 @@ def encode_stream(
 def encode_stream_table(
     spark: SparkSession, source_dir: str, text_col: str, model: BPEModel, keep: tuple[str, ...], glob: str | None = None
 ) -> DataFrame:
-    """Run the stream over the files of ``source_dir`` (optionally filtered by ``glob``) to
-    completion and read what it wrote."""
-    probe = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    schema = probe.parquet(source_dir).schema
-    query, sink = encode_stream(spark, source_dir, schema, text_col, model, keep, glob=glob)
+    """Run the stream over the files of ``source_dir`` to completion and read what it wrote.
+    ``glob`` picks files of the folder, or folders of files (a table is one or the other)."""
+    path = f"{source_dir.rstrip('/')}/{glob}" if glob else source_dir
+    schema = spark.read.parquet(path).schema
+    if glob and not has_folder(spark, path):  # a stream reads folders only
+        query, sink = encode_stream(spark, source_dir, schema, text_col, model, keep, glob=glob)
+    else:
+        query, sink = encode_stream(spark, path, schema, text_col, model, keep)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

@@ -43,3 +43,15 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path):
     got = sorted((r.doc_id, list(r.ids)) for r in spark.read.parquet(sink).collect())
     both = docs.union(docs.limit(3).withColumn("doc_id", F.col("doc_id") + 10_000))
     assert got == sorted((r.doc_id, list(r.ids)) for r in encode(both, "text", m).collect()) and len(got) == 203
+
+
+def test_stream_reads_a_table_that_is_a_folder(spark, tmp_path):
+    """A table of several files is a folder with the table's name."""
+    rows = [(i, f"some text {i} aab") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    docs.limit(1).write.parquet(str(tmp_path / "other.parquet"))
+    m = train(corpus_lines(docs), "line", BPEOptions(unit="word", max_merges=3))
+    got = encode_stream_table(spark, str(tmp_path), "text", m, ("doc_id",), glob="documents.parquet")
+    want = {r.doc_id: list(r.ids) for r in encode(docs, "text", m).collect()}
+    assert {r.doc_id: list(r.ids) for r in got.collect()} == want and got.count() == 20
