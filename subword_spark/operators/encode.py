@@ -1,9 +1,9 @@
 """Encode text columns to token ids.
 
 Pretokenisation is a native column expression; the merge step is sequential per row, so it
-runs in an Arrow-batched pandas UDF holding the model (bounded by the vocabulary size).
-The operator is narrow: no shuffle, one pass. An Arrow batch is worked on in slices of bounded
-text; each distinct word or line of a slice is encoded once.
+runs in an Arrow UDF holding the model (bounded by the vocabulary size). The operator is
+narrow: no shuffle, one pass. An Arrow batch is worked on in slices of bounded text; each
+distinct word or line of a slice is encoded once, and many of them side by side.
 
 ``order='scan'`` is the reference tokenizer's left-to-right scan (a shift-reduce stack, O(n));
 ``order='rank'`` replays merges by rank, each over all occurrences, left to right
@@ -15,15 +15,16 @@ from __future__ import annotations
 import heapq
 import json
 from bisect import bisect_right
-from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from ..session import ship_package
+from . import kernels
 from .model import BPEModel
 from .symbols import computed_once, line_sequence, word_sequences
 
@@ -31,7 +32,6 @@ ENCODED_DDL = "ids array<int>, n_unknown int"
 UNKNOWN = -1  # id of a symbol outside the vocabulary; never part of a merge
 # Characters of sequence text that one numpy step holds; a longer row is its own slice.
 MAX_SLICE_CHARS = 1 << 22
-_EMPTY_WORDS = np.empty(0, dtype=object)
 
 
 class Encoder:
@@ -52,6 +52,16 @@ class Encoder:
             key = (l << 32) | r
             self.merge_new.setdefault(key, n)
             self.ranks.setdefault(key, []).append(rank)
+        # The same for many sequences at once.
+        self.symbols = np.full(0x110000, UNKNOWN, np.int32)
+        self.symbols[[ord(c) for c in self.single]] = list(self.single.values())
+        n_ids = max([len(tokens), *(max(x) + 1 for x in table)])
+        self.twice = any(len(r) > 1 for r in self.ranks.values())
+        if order == "scan":
+            self.merged = kernels.PairTable(self.merge_new, n_ids)
+        else:
+            self.pair_rank = kernels.PairTable({k: r[0] for k, r in self.ranks.items()}, n_ids)
+            self.rank_ids = np.array(self.rank_new, np.int32)
 
     # -- merge orders ---------------------------------------------------------------
     def _scan(self, ids: list[int]) -> list[int]:
@@ -128,49 +138,79 @@ class Encoder:
         missing = sum(1 for t in merged if not 0 <= t < nv)
         return out, missing
 
-    def encode_batch(self, values, words: bool) -> tuple[list, list]:
-        """Id arrays and unknown counts of rows of sequence strings (``words``: of lists of
-        them), slice by slice."""
-        rows = list(values)
-        size = [0 if r is None else sum(map(len, r)) + len(r) if words else len(r) for r in rows]
-        ids: list = []
-        miss: list = []
+    def encode_distinct(self, seqs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of sequence strings one after another, how many each has, and how many of those
+        are unknown."""
+        n = pc.utf8_length(seqs).to_numpy(zero_copy_only=False).astype(np.int64)
+        points = np.frombuffer("".join(seqs.to_pylist()).encode("utf-32-le"), "<u4")
+        order = np.argsort(-n, kind="stable")
+        lengths, flat = n[order], kernels.gather(self.symbols[points], n, order)
+        ends = np.cumsum(lengths)
+        made: list[tuple[np.ndarray, np.ndarray]] = []
+        lo, some = 0, int(np.count_nonzero(lengths))
+        while lo < some:  # longest first
+            longest = int(lengths[lo])
+            hi = min(some, lo + max(1, kernels.MAX_CELLS // longest))
+            part = flat[ends[lo] - longest : ends[hi - 1]]
+            if hi - lo < kernels.MIN_SIDE_BY_SIDE or self.order == "rank" and (self.twice or longest > kernels.MAX_RANK_SYMBOLS):
+                hi = hi if hi - lo < kernels.MIN_SIDE_BY_SIDE or self.twice else int(np.searchsorted(-lengths[:hi], -kernels.MAX_RANK_SYMBOLS))
+                merge = self._scan if self.order == "scan" else self._rank
+                each = [np.array(merge(flat[e - k : e].tolist()), np.int32) for e, k in zip(ends[lo:hi], lengths[lo:hi])]
+                made.append((np.concatenate(each), np.array([len(x) for x in each], np.int64)))
+            elif self.order == "scan":
+                made.append(kernels.scan_merge(part, lengths[lo:hi], self.merged))
+            else:
+                made.append(kernels.rank_merge(part, lengths[lo:hi], self.pair_rank, self.rank_ids))
+            lo = hi
+        made.append((np.empty(0, np.int32), np.zeros(len(n) - some, np.int64)))
+        flat, lengths = (np.concatenate(x) for x in zip(*made))
+        back = np.argsort(order)
+        flat, lengths = kernels.gather(flat, lengths, back), lengths[back]
+        bad = (flat < 0) | (flat >= self.n_vocab)
+        lost = np.diff(np.concatenate(([0], np.cumsum(bad)))[np.concatenate(([0], np.cumsum(lengths)))])
+        return np.where(bad, np.int32(self.unknown_id), flat), lengths, lost
+
+    def encode_rows(self, rows: pa.Array) -> pa.StructArray:
+        """``struct<ids, n_unknown>`` of rows of sequence strings, or of lists of them, slice by
+        slice. Nothing is held for each symbol or sequence of the rows but numbers."""
+        if not pa.types.is_list(rows.type) and not pa.types.is_large_list(rows.type):
+            at = np.arange(len(rows) + 1) - np.concatenate(([0], np.cumsum(rows.is_null().to_numpy(zero_copy_only=False))))
+            seqs = rows.drop_null()
+        else:
+            at = np.concatenate(([0], np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))))
+            seqs = rows.flatten()
+        size = np.concatenate(([0], np.cumsum(pc.binary_length(seqs).to_numpy(zero_copy_only=False).astype(np.int64) + 1)))[at]
+        ids, n_ids, n_lost = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         lo = 0
         while lo < len(rows):
-            hi, chars = lo + 1, size[lo]
-            while hi < len(rows) and chars + size[hi] <= MAX_SLICE_CHARS:
-                chars += size[hi]
-                hi += 1
-            a, b = self._encode_slice(rows[lo:hi], words)
-            ids += a
-            miss += b
+            hi = max(lo + 1, int(np.searchsorted(size, size[lo] + MAX_SLICE_CHARS, "right")) - 1)
+            flat, lengths, lost = self._encode_slice(seqs.slice(at[lo], at[hi] - at[lo]), at[lo : hi + 1] - at[lo])
+            ids.append(flat)
+            n_ids.append(lengths)
+            n_lost.append(lost)
             lo = hi
-        return ids, miss
+        none = rows.is_null()
+        places = np.concatenate(([0], np.cumsum(np.concatenate(n_ids))))
+        if places[-1] > np.iinfo(np.int32).max:
+            raise ValueError("an Arrow batch has more than 2^31 ids: lower spark.sql.execution.arrow.maxRecordsPerBatch")
+        lists = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(np.concatenate(ids)), mask=none)
+        lost = pa.array(np.concatenate(n_lost).astype(np.int32), mask=none.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([lists, lost], names=["ids", "n_unknown"])
 
-    def _encode_slice(self, rows: list, words: bool) -> tuple[list, list]:
-        """Factorise all sequences of a slice, encode each distinct one once, and gather every
-        row's ids with numpy."""
-        if words:
-            arrays = [np.asarray(r, dtype=object) if r is not None else _EMPTY_WORDS for r in rows]
-        else:
-            arrays = [np.array([r], dtype=object) if r is not None else _EMPTY_WORDS for r in rows]
-        lens = np.fromiter((len(a) for a in arrays), dtype=np.int64, count=len(arrays))
-        if lens.sum() == 0:
-            return [None if r is None else np.empty(0, np.int32) for r in rows], [None if r is None else 0 for r in rows]
-        codes, uniq = pd.factorize(np.concatenate(arrays))
-        per_seq = [self.encode_symbols(w) for w in uniq]
-        tl = np.fromiter((len(h[0]) for h in per_seq), dtype=np.int64, count=len(per_seq))
-        flat = np.fromiter(chain.from_iterable(h[0] for h in per_seq), dtype=np.int32, count=int(tl.sum()))
-        lost = np.fromiter((h[1] for h in per_seq), dtype=np.int64, count=len(per_seq))
-        at = np.concatenate(([0], np.cumsum(tl)[:-1]))
-        occ_len = tl[codes]
-        occ_start = np.concatenate(([0], np.cumsum(occ_len)[:-1]))
-        gathered = flat[np.repeat(at[codes] - occ_start, occ_len) + np.arange(int(occ_len.sum()))]
-        row_at = np.concatenate(([0], np.cumsum(lens)))
-        tokens = np.concatenate(([0], np.cumsum(occ_len)))[row_at]
-        missing = np.concatenate(([0], np.cumsum(lost[codes])))[row_at]
-        ids = [None if r is None else gathered[tokens[i] : tokens[i + 1]] for i, r in enumerate(rows)]
-        return ids, [None if r is None else int(missing[i + 1] - missing[i]) for i, r in enumerate(rows)]
+    def encode_batch(self, values, words: bool) -> tuple[list, list]:
+        """:meth:`encode_rows` of Python values: id arrays and unknown counts."""
+        kind = pa.list_(pa.string()) if words else pa.string()
+        ids, lost = self.encode_rows(pa.array(list(values), kind)).flatten()
+        return [None if x is None else np.array(x, np.int32) for x in ids.to_pylist()], lost.to_pylist()
+
+    def _encode_slice(self, seqs: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each distinct sequence is encoded once, and every row's ids are gathered with numpy.
+        ``at``: where each row begins among the sequences."""
+        coded = seqs.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        flat, lengths, lost = self.encode_distinct(coded.dictionary)
+        n, gone = (np.concatenate(([0], np.cumsum(x[codes])))[at] for x in (lengths, lost))
+        return kernels.gather(flat, lengths, codes), np.diff(n), np.diff(gone)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -196,14 +236,13 @@ def model_payload(model: BPEModel) -> tuple[str, str]:
     return hashlib.sha1(payload.encode("utf-8")).hexdigest(), payload
 
 
-def _encode_udf(model: BPEModel, order: str, words: bool):
+def _encode_udf(model: BPEModel, order: str):
     key, payload = model_payload(model)
     key = f"{key}-{order}"
 
-    @pandas_udf(ENCODED_DDL)
-    def _encode(s: pd.Series) -> pd.DataFrame:
-        ids, miss = _encoder(key, payload, order).encode_batch(s, words)
-        return pd.DataFrame({"ids": ids, "n_unknown": pd.array(miss, dtype="Int32")})
+    @arrow_udf(ENCODED_DDL)
+    def _encode(rows: pa.Array) -> pa.Array:
+        return _encoder(key, payload, order).encode_rows(rows)
 
     return _encode
 
@@ -214,13 +253,13 @@ def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
         raise ValueError("order must be 'scan' or 'rank'")
     opts = model.options
     if opts.unit == "word":
-        return _encode_udf(model, order, True)(word_sequences(col, opts))
-    return _encode_udf(model, order, False)(line_sequence(col, opts))
+        return _encode_udf(model, order)(word_sequences(col, opts))
+    return _encode_udf(model, order)(line_sequence(col, opts))
 
 
 def encode_sequences(seqs: Column, model: BPEModel, order: str = "scan") -> Column:
     """``struct<ids, n_unknown>`` of an array of sequence strings, one after another."""
-    return _encode_udf(model, order, True)(seqs)
+    return _encode_udf(model, order)(seqs)
 
 
 def encode(

@@ -136,3 +136,42 @@ def test_batch_encode_equals_per_row(words, monkeypatch):
                 continue
             parts = [enc.encode_symbols(w) for w in (r if words else [r])]
             assert list(i) == [t for p, _ in parts for t in p] and m == sum(n for _, n in parts)
+
+
+@pytest.mark.parametrize("order", ["scan", "rank"])
+def test_many_sequences_side_by_side_equal_one_by_one(order):
+    """Random merge tables, with pairs that make a token again, private ids and self pairs."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(60):
+        tokens = ["<unknown>"] + [chr(97 + i) for i in range(rng.randint(3, 8))]
+        table = []
+        for _ in range(rng.randint(1, 12)):
+            a = rng.randrange(1, len(tokens))
+            b = a if rng.random() < 0.3 else rng.randrange(1, len(tokens))
+            s = tokens[a] + tokens[b]
+            if s not in tokens and rng.random() < 0.85:
+                tokens.append(s)
+            table.append((a, b, tokens.index(s) if s in tokens else 100))
+        word = lambda: "".join(rng.choice("aaabcdefghz") for _ in range(rng.choice([0, 1, 2, 6, 9, 150 if rng.random() < 0.05 else 5])))
+        rows = [None if rng.random() < 0.05 else [word() for _ in range(rng.randint(0, 5))] for _ in range(rng.choice([4, 90]))]
+        enc = Encoder(tokens, table, 0, order)
+        for r, i, m in zip(rows, *enc.encode_batch(rows, True), strict=True):
+            parts = [enc.encode_symbols(w) for w in r or []]
+            assert r is None and i is None and m is None or (list(i), m) == ([t for p, _ in parts for t in p], sum(n for _, n in parts))
+
+
+def test_a_batch_of_words_is_encoded_without_an_object_for_each():
+    """What Python holds beside the Arrow batch is bounded by its numbers, not by word objects."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows = pa.array([["_", "ab", "abc"] * 100] * 10_000, pa.list_(pa.string()))
+    enc = Encoder(["<unknown>", "_", "a", "b", "c", "ab"], [(2, 3, 5)], 0, "scan")
+    tracemalloc.start()
+    out = enc.encode_rows(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.field("ids")[9_999].as_py() == [1, 5, 5, 4] * 100 and peak < 40 * 3_000_000
