@@ -1,8 +1,8 @@
 """Decode token-id columns back to text.
 
-One plan at every vocabulary size: an Arrow UDF gathers the tokens' bytes of a whole batch
-through an offset table (numpy, no per-token Python), and the text steps after it are native.
-The vocabulary travels once per Python worker inside the function and is bounded by the
+One plan at every vocabulary size: an Arrow UDF gathers the tokens' bytes of bounded slices of
+a batch through an offset table (numpy, no per-token Python), and the text steps after it are
+native. The vocabulary travels once per Python worker inside the function and is bounded by the
 model. Decoding is narrow: rows are never split, moved or joined.
 """
 
@@ -17,6 +17,9 @@ from pyspark.sql.functions import arrow_udf
 from ..session import ship_package
 from .model import BPEModel
 
+#: Ids that one numpy step holds, whatever the Arrow batch; a longer row is its own slice.
+SLICE_IDS = 1 << 20
+
 
 def _gather(tokens: list[bytes], strict: bool):
     """``array<int>`` -> joined token bytes. A bad id raises, or (lenient) makes its row null."""
@@ -25,6 +28,15 @@ def _gather(tokens: list[bytes], strict: bool):
 
     @arrow_udf("binary")
     def _decode(ids: pa.Array) -> pa.Array:
+        ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        made, lo = [pa.array([], pa.binary())], 0
+        while lo < len(ids):
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_IDS, "right")))
+            made.append(_slice(ids.slice(lo, hi - lo)))
+            lo = hi
+        return pa.concat_arrays(made)
+
+    def _slice(ids: pa.Array) -> pa.Array:
         size = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = ids.flatten()
         known = flat.is_valid().to_numpy(zero_copy_only=False)

@@ -175,3 +175,25 @@ def test_a_batch_of_words_is_encoded_without_an_object_for_each():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert out.field("ids")[9_999].as_py() == [1, 5, 5, 4] * 100 and peak < 40 * 3_000_000
+
+
+def test_decode_by_slices_equals_whole_batches(monkeypatch):
+    """Slices of any size give each row its text; a batch of many ids is not held in numbers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from subword_spark.operators import decode as D
+
+    rows = [None if i % 7 == 0 else [] if i % 7 == 1 else [-1] if i % 7 == 2 else [i % 3] * (i % 50) for i in range(300)]
+    want = [None if r is None or -1 in r else b"".join([b"a", b"bc", b""][x] for x in r) for r in rows]
+    for limit in (1 << 20, 60, 1):
+        monkeypatch.setattr(D, "SLICE_IDS", limit)
+        assert D._gather([b"a", b"bc", b""], False).func(pa.array(rows, pa.list_(pa.int32()))).to_pylist() == want
+    monkeypatch.setattr(D, "SLICE_IDS", 1 << 20)
+    many = pa.array([[0, 1, 0, 1] * 250] * 10_000, pa.list_(pa.int32()))
+    tracemalloc.start()
+    out = D._gather([b"a", b"bc"], True).func(many)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[9_999].as_py() == b"abc" * 500 and peak < 15 * 10_000_000
