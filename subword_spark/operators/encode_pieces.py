@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from .model import BPEModel
 from .symbols import line_sequence, word_sequences
 
 PIECE_CHARS = 1 << 20
+#: Sequences that one step of the cutting holds.
+SLICE_BYTES = 1 << 22
 
 
 def crossed_pairs(model: BPEModel) -> np.ndarray:
@@ -51,31 +54,50 @@ def cut_sequence(seq: str, crossed: np.ndarray, size: int) -> list[str]:
     return [seq[a:b] for a, b in zip(at, [*at[1:], len(seq)])]
 
 
-def _cut_words(words: list[str], size: int) -> Iterator[list[str]]:
-    held, n = [], 0
-    for w in words:
-        held.append(w)
-        n += len(w)
-        if n >= size:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def _cut_words(seqs: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Pieces of rows of words: the row of each, its number in the row, and its words. A piece
+    begins with the first word that begins at or after each multiple of ``size`` symbols."""
+    at = np.concatenate(([0], np.cumsum(seqs.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))))
+    words = seqs.flatten()
+    ends = np.concatenate(([0], np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64))))
+    row = np.repeat(np.arange(len(seqs)), np.diff(at))
+    no = (ends[:-1] - ends[at[row]]) // size
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (no[1:] != no[:-1])
+    first = np.flatnonzero(new)
+    return row[first], no[first], pa.ListArray.from_arrays(pa.array(np.r_[first, len(row)].astype(np.int32)), words)
+
+
+def _cut_lines(seqs: pa.Array, crossed: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The same of rows of one sequence each, cut where no merge crosses."""
+    pieces = [cut_sequence(s, crossed, size) for s in seqs.flatten().to_pylist()]
+    n = np.array([len(p) for p in pieces], np.int64)
+    made = pa.array([[s] for p in pieces for s in p], pa.list_(pa.string()))
+    return np.repeat(np.arange(len(pieces)), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), made
 
 
 def _cut_rows(batches, crossed: np.ndarray | None, size: int) -> Iterator[pa.RecordBatch]:
     """``(row, seqs)`` to ``(uid, no, row, seqs)``: the pieces of each row; the first has its row."""
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
-        for row, seqs in zip(batch["row"], batch["seqs"]):
-            words = seqs.as_py()
-            pieces = _cut_words(words, size) if crossed is None else ([p] for p in cut_sequence(words[0], crossed, size))
-            for no, piece in enumerate(pieces):
-                first = pa.array([row.as_py() if no == 0 else None], batch["row"].type)
-                yield pa.RecordBatch.from_pydict(
-                    {"uid": pa.array([number], pa.int64()), "no": pa.array([no], pa.int32()), "row": first, "seqs": pa.array([piece], pa.list_(pa.string()))}
-                )
-            number += 1
+        for lo, hi in _bounded(batch["seqs"]):
+            rows, seqs = batch["row"].slice(lo, hi - lo), batch["seqs"].slice(lo, hi - lo)
+            row, no, pieces = _cut_words(seqs, size) if crossed is None else _cut_lines(seqs, crossed, size)
+            yield pa.RecordBatch.from_pydict(
+                {"uid": pa.array(number + row, pa.int64()), "no": pa.array(no, pa.int32()), "row": rows.take(pa.array(row, mask=no > 0)), "seqs": pieces}
+            )
+            number += hi - lo
+
+
+def _bounded(seqs: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``SLICE_BYTES`` of sequences, or one row."""
+    at = np.concatenate(([0], np.cumsum(seqs.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))))
+    size = np.concatenate(([0], np.cumsum(pc.binary_length(seqs.flatten()).to_numpy(zero_copy_only=False).astype(np.int64))))[at]
+    lo = 0
+    while lo < len(seqs):
+        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + SLICE_BYTES, "right")) - 1)
+        yield lo, hi
+        lo = hi
 
 
 def encode_long(df: DataFrame, text_col: str, model: BPEModel, out_col: str = "ids", order: str = "scan", piece_chars: int = PIECE_CHARS) -> DataFrame:
@@ -163,11 +185,35 @@ def encode_files(spark: SparkSession, path: str, model: BPEModel, order: str = "
     return pieces.select("file", "start", "k", encode_sequences(F.array("seq"), model, order)["ids"].alias("ids"))
 
 
+def _sum_places(batches) -> Iterator[pa.RecordBatch]:
+    """``(file, start, k, ids)`` to ``(file, start, k, token_id, n, places)``: for each row and
+    token, how often it occurs and the sum of its places in the row."""
+    for batch in batches:
+        row, token, n, places = [], [], [], []
+        for i, ids in enumerate(batch["ids"]):
+            ids = ids.values.to_numpy(zero_copy_only=False)
+            for at in range(0, len(ids), 1 << 20):  # sums of bincount are exact to 2^53
+                part = ids[at : at + (1 << 20)]
+                count = np.bincount(part)
+                has = np.flatnonzero(count)
+                row.append(np.full(len(has), i))
+                token.append(has)
+                n.append(count[has])
+                places.append(np.bincount(part, np.arange(len(part)))[has].astype(np.int64) + at * count[has])
+        if row:
+            keys = batch.select(["file", "start", "k"]).take(pa.array(np.concatenate(row)))
+            cols = [pa.array(np.concatenate(x), t) for x, t in ((token, pa.int32()), (n, pa.int64()), (places, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*keys.columns, *cols], names=["file", "start", "k", "token_id", "n", "places"])
+
+
 def token_positions(encoded: DataFrame) -> DataFrame:
     """``token_id, n, sum_pos`` over the files of :func:`encode_files`: how often each token
-    occurs, and the sum of its places (from 0) in its file. Places come from the lengths of
-    the rows before; the ids themselves are not moved."""
+    occurs, and the sum of its places (from 0) in its file. Each row is summed where it is
+    encoded, once; places come from the lengths of the rows before. The ids are not moved."""
+    sums = encoded.select("file", "start", "k", "ids").mapInArrow(_sum_places, "file string, start bigint, k int, token_id int, n bigint, places bigint")
+    sums, _ = shared_table(sums, "token-sums")
     before = Window.partitionBy("file").orderBy("start", "k").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = encoded.select("file", "start", "k", F.size("ids").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    each = encoded.join(sizes.select("file", "start", "k", "first"), ["file", "start", "k"]).select("first", F.posexplode("ids").alias("at", "token_id"))
-    return each.groupBy("token_id").agg(F.count("*").alias("n"), F.sum(F.col("first") + F.col("at")).alias("sum_pos"))
+    sizes = sums.groupBy("file", "start", "k").agg(F.sum("n").alias("size"))
+    sizes = sizes.select("file", "start", "k", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    each = sums.join(sizes, ["file", "start", "k"])
+    return each.groupBy("token_id").agg(F.sum("n").alias("n"), F.sum(F.col("first") * F.col("n") + F.col("places")).alias("sum_pos"))

@@ -91,3 +91,52 @@ def test_large_single_row_is_many_pieces():
     m = model_of(random.Random(3), OPTIONS[1])
     pieces = cut_sequence(text.replace(" ", "_"), crossed_pairs(m), 100_000)
     assert len(pieces) >= 10 and max(map(len, pieces)) < 250_000 and np.sum([len(p) for p in pieces]) == len(text)
+
+
+def test_pieces_travel_in_few_batches(monkeypatch):
+    """Pieces of many rows share an Arrow batch, and hold the rows' words in their order."""
+    import numpy as np
+    import pyarrow as pa
+
+    from subword_spark.operators import encode_pieces as P
+
+    monkeypatch.setattr(P.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 1})())
+    words = [[f"w{i}-{j}" for j in range(i % 7 + 1)] for i in range(1000)]
+    lines = [["ab" * (i % 9 + 1)] for i in range(1000)]
+    for seqs, crossed in ((words, None), (lines, np.zeros(0, np.int64))):
+        batch = pa.RecordBatch.from_pydict({"row": pa.array([{"i": i} for i in range(1000)]), "seqs": pa.array(seqs, pa.list_(pa.string()))})
+        out = list(P._cut_rows([batch], crossed, 8))
+        got: dict = {}
+        for r in pa.Table.from_batches(out).to_pylist():
+            assert (r["row"] is not None) == (r["no"] == 0)
+            got.setdefault(r["uid"], []).append((r["no"], r["seqs"]))
+        join = (lambda s: s) if crossed is None else (lambda s: ["".join(s)])
+        assert [join([x for _, p in sorted(got[u]) for x in p]) for u in sorted(got)] == seqs
+        assert len(out) == 1 and any(len(p) > 1 for p in got.values())
+
+
+def test_a_task_reads_several_of_very_many_parts(tmp_path, monkeypatch):
+    from subword_spark.sources import whole_text as W
+
+    path = tmp_path / "a.txt"
+    path.write_text("word " * 1000)
+    monkeypatch.setattr(W, "TASKS", 10)
+    reader = W.WholeTextReader(str(path), 50)
+    tasks = reader.partitions()
+    assert len(tasks) == 10 and sum(len(t.parts) for t in tasks) == 100
+    assert "".join(s for t in tasks for b in reader.read(t) for s in b["text"].to_pylist()) == "word " * 1000
+
+
+def test_token_positions_encode_each_row_once(spark):
+    """The encoded rows are read once, whatever is summed from them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [("f", 0, 1, [3, 4, 3]), ("f", 9, 1, [4]), ("g", 0, 1, [3]), ("g", 5, 1, [])]
+    df = spark.createDataFrame(rows, "file string, start bigint, k int, ids array<int>")
+    out = token_positions(df.mapInArrow(note, df.schema))
+    assert sorted(map(tuple, out.collect())) == [(3, 3, 2), (4, 2, 4)] and seen.value == 4
