@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from .common import prepare, source, table
 from .words import slices, split_words, text_of_word, texts_of, window_hashes, word_hashes
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _ESC = 0xFFFF
 _LAST = np.iinfo(np.int64).max
 

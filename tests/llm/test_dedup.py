@@ -100,3 +100,16 @@ def test_text_layout_keeps_white_space(spark):
     df = spark.createDataFrame([(1, p), (2, f"a\n{p}\n\nb  c"), (3, "x\n y")], "doc_id long, text string")
     got = {r.id: (r.kept, r.n_removed) for r in D.substring_dedup(df, layout="text").collect()}
     assert got == {1: (p, 0), 2: ("a\nb  c", 13), 3: ("x\n y", 0)}
+
+
+def test_passage_blocks_hold_two_megabytes_of_text():
+    """Two blocks are worked on by an executor's two tasks at once: each is bounded."""
+    import pyarrow as pa
+
+    from subword_spark.llm.substring_dedup import _pack, _Block
+
+    texts = [f"word{i} " * 20_000 for i in range(40)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(40), pa.int64()), "text": pa.array(texts)})
+    made = [_Block(b["block"][0].as_py(), 13, "text") for b in _pack(iter([batch]), "text")]
+    assert [i for b in made for i in b.ids.tolist()] == list(range(40))
+    assert all(sum(len(t) for t in b.texts.to_pylist()) <= 2 << 20 for b in made)
