@@ -30,10 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import prepare, row_field, source
+from .common import give_back, prepare, returning, row_field, source
 from .words import slices
 
-_CACHE = 200_000
+#: Pieces that a worker remembers in each of two generations, and pairs of tokens.
+_CACHE = 100_000
+_PAIRS = 1 << 17
+#: Bytes of text that are encoded before their ids leave the worker.
+_SLICE = 1 << 19
 _LONG = 64
 _FINAL = 0x10000
 
@@ -105,7 +109,7 @@ class Merges:
     def compatible(self, a: int, b: int) -> bool:
         known = self.fits.get((a, b))
         if known is None:
-            if len(self.fits) > _CACHE:
+            if len(self.fits) > _PAIRS:
                 self.fits.clear()
             known = self.fits[a, b] = self._apart(a, b, 1 << 62)
         return known
@@ -147,6 +151,7 @@ class Codec(dict):
 
     def __init__(self, spec: str):
         super().__init__()
+        self.old: dict[str, bytes] = {}
         data = json.loads(spec)
         model = data["model"]
         if model["type"] != "BPE" or any(model.get(k) for k in ("unk_token", "continuing_subword_prefix", "byte_fallback", "dropout", "ignore_merges")):
@@ -167,7 +172,8 @@ class Codec(dict):
         parts = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(parts) + ")") if parts else None
         self.pieces = regex.compile(split["pattern"]["Regex"])
-        whole = Tokenizer.from_str(spec)
+        # Without vocabulary: only the file's normaliser and pre-tokeniser are used.
+        whole = Tokenizer.from_str(json.dumps(data | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []}))
         self.normalizer, self.pre = whole.normalizer, whole.pre_tokenizer
 
         tokens = {i: t for t, i in model["vocab"].items()} | {int(t["id"]): t["content"] for t in data["added_tokens"]}
@@ -183,9 +189,12 @@ class Codec(dict):
         return token[:-1] + chr(ord(token[-1]) + _FINAL)
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._ids("".join([self.alphabet[b] for b in piece.encode()]))
+        ids = self.old.pop(piece, None)
+        if ids is None:
+            ids = self._ids("".join([self.alphabet[b] for b in piece.encode()]))
         if len(piece) <= _LONG:
-            if len(self) > _CACHE:
+            if len(self) >= _CACHE:  # pieces that are not met again while as many others are go
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -226,6 +235,7 @@ def codec(spec: str) -> Codec:
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _CODECS:
         _CODECS[key] = Codec(spec)
+        give_back()  # what parsing the file has left
     return _CODECS[key]
 
 
@@ -252,7 +262,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         c = codec(spec)
         for batch in batches:
-            for part, texts in slices(batch, text_col, 2 << 20):
+            for part, texts in slices(batch, text_col, _SLICE):
                 ids = [c.encode(t) for t in texts.to_pylist()]
                 out = {"id": part["id"], "ids": pa.array(ids, pa.binary())}
                 if decoded:
@@ -262,7 +272,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_pydict(out)
 
     fields = f"id {rows.schema['id'].dataType.simpleString()}, ids binary" + (", decoded string" if decoded else "")
-    return rows.mapInArrow(run, fields + row_field(rows))
+    return rows.mapInArrow(returning(run), fields + row_field(rows))
 
 
 def bpe_decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, prepare, row_field, source, table
+from .common import components, drop, prepare, returning, row_field, source, table
 from .words import slices, utf8
 
 BLOCK = 2048
@@ -117,7 +117,7 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
     # Flat rows by group; two groups that share a hash are compared as one, which costs and loses nothing.
     group = F.xxhash64("s", "v", F.least("own", "other"), F.greatest("own", "other"))
     rows = cells.select(group.alias("g"), "fp").repartition("g").sortWithinPartitions("g")
-    return rows.mapInArrow(partial(verify, max_bits=max_bits), "a long, b long")
+    return rows.mapInArrow(returning(partial(verify, max_bits=max_bits)), "a long, b long")
 
 
 def verify(batches: Iterator[pa.RecordBatch], max_bits: int) -> Iterator[pa.RecordBatch]:
@@ -181,7 +181,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, row: bool, shingle: int
                 out = {"id": part["id"], "fp": pa.array(fp)}
                 yield pa.RecordBatch.from_pydict(out | ({"row": part["row"]} if row else {}))
 
-    marked = table(rows.mapInArrow(mark, "id long, fp long" + row_field(rows)).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
+    marked = table(rows.mapInArrow(returning(mark), "id long, fp long" + row_field(rows)).withColumn("uid", F.monotonically_increasing_id()), "fingerprints")
     distinct = table(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct")
     pairs = table(links(distinct, max_bits).distinct(), "links")
     comps = components(pairs)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, source, table
+from .common import give_back, prepare, returning, source, table
 from .words import slices, split_words, text_of_word, texts_of, window_hashes, word_hashes
 
 BLOCK_BYTES = 2 << 20
@@ -164,7 +164,7 @@ def substring_dedup(
     spark = docs.sparkSession
     prepare(spark)
     rows = source(docs, id_col, text_col, row).withColumn("id", F.col("id").cast("long"))
-    packed = rows.mapInArrow(lambda batches: _pack(batches, text_col), "block binary, n long").withColumn("block_id", F.monotonically_increasing_id())
+    packed = rows.mapInArrow(returning(lambda batches: _pack(batches, text_col)), "block binary, n long").withColumn("block_id", F.monotonically_increasing_id())
     blocks = table(packed, "blocks")
 
     total = blocks.agg(F.sum("n")).first()[0] or 0
@@ -197,7 +197,7 @@ def substring_dedup(
 
     answers = table(
         blocks.select("block", "block_id")
-        .mapInArrow(sketch, "row int, segment long, block_id long, cells binary")
+        .mapInArrow(returning(sketch), "row int, segment long, block_id long, cells binary")
         .groupBy("row", "segment")
         .applyInPandas(merge, "row int, segment long, block_id long, bits binary"),
         "sketch",
@@ -237,7 +237,7 @@ def substring_dedup(
         return _answer(pdf, each, smaller, ["segment", "block_id"])
 
     exact = table(
-        asked.mapInArrow(ask, "segment long, block_id long, keys binary, docs binary, runs binary")
+        asked.mapInArrow(returning(ask), "segment long, block_id long, keys binary, docs binary, runs binary")
         .groupBy("segment")
         .applyInPandas(group, "segment long, block_id long, bits binary"),
         "exact",
@@ -262,7 +262,7 @@ def substring_dedup(
         [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
         + ([rows.schema["row"]] if row else [])
     )
-    return asked.join(found, "block_id", "left").select("block", "counted", "found").mapInArrow(cut, schema)
+    return asked.join(found, "block_id", "left").select("block", "counted", "found").mapInArrow(returning(cut), schema)
 
 
 def _answer(pdf: pd.DataFrame, each: list, yes: np.ndarray, keys: list[str]) -> pd.DataFrame:
@@ -272,6 +272,7 @@ def _answer(pdf: pd.DataFrame, each: list, yes: np.ndarray, keys: list[str]) ->
     some = np.array([x.any() for x in bits], bool)
     out = pdf.loc[some, keys].copy()
     out["bits"] = [np.packbits(x).tobytes() for x in bits if x.any()]
+    give_back()
     return out
 
 
