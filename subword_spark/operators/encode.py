@@ -1,9 +1,10 @@
 """Encode text columns to token ids.
 
-Pretokenisation is a native column expression; the merge step is sequential per row, so it
-runs in an Arrow UDF holding the model (bounded by the vocabulary size). The operator is
-narrow: no shuffle, one pass. An Arrow batch is worked on in slices of bounded text; each
-distinct word or line of a slice is encoded once, and many of them side by side.
+Pretokenisation is a native column expression, or for words of simple texts a numpy split of
+the batch; the merge step is sequential per row, so it runs in an Arrow UDF holding the model
+(bounded by the vocabulary size). The operator is narrow: no shuffle, one pass. An Arrow batch is
+worked on, and leaves, in slices of bounded text; each distinct word or line of a slice is encoded
+once, and many of them side by side.
 
 ``order='scan'`` is the reference tokenizer's left-to-right scan (a shift-reduce stack, O(n));
 ``order='rank'`` replays merges by rank, each over all occurrences, left to right
@@ -15,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 from bisect import bisect_right
+from typing import Iterator, Tuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +28,13 @@ from pyspark.sql.functions import arrow_udf
 from ..session import ship_package
 from . import kernels
 from .model import BPEModel
-from .symbols import computed_once, line_sequence, word_sequences
+from .symbols import computed_once, line_sequence, splits_in_batches, text_or_words, word_sequences
 
 ENCODED_DDL = "ids array<int>, n_unknown int"
 UNKNOWN = -1  # id of a symbol outside the vocabulary; never part of a merge
+_ENCODED = pa.struct([("ids", pa.list_(pa.int32())), ("n_unknown", pa.int32())])
 # Characters of sequence text that one numpy step holds; a longer row is its own slice.
-MAX_SLICE_CHARS = 1 << 22
+MAX_SLICE_CHARS = 1 << 21
 
 
 class Encoder:
@@ -142,7 +145,7 @@ class Encoder:
         """Ids of sequence strings one after another, how many each has, and how many of those
         are unknown."""
         n = pc.utf8_length(seqs).to_numpy(zero_copy_only=False).astype(np.int64)
-        points = np.frombuffer("".join(seqs.to_pylist()).encode("utf-32-le"), "<u4")
+        points = kernels.points_of(seqs)
         order = np.argsort(-n, kind="stable")
         lengths, flat = n[order], kernels.gather(self.symbols[points], n, order)
         ends = np.cumsum(lengths)
@@ -171,31 +174,35 @@ class Encoder:
         return np.where(bad, np.int32(self.unknown_id), flat), lengths, lost
 
     def encode_rows(self, rows: pa.Array) -> pa.StructArray:
-        """``struct<ids, n_unknown>`` of rows of sequence strings, or of lists of them, slice by
-        slice. Nothing is held for each symbol or sequence of the rows but numbers."""
+        """``struct<ids, n_unknown>`` of rows of sequence strings, or of lists of them."""
+        return pa.concat_arrays([pa.array([], _ENCODED), *self.encode_parts(rows)])
+
+    def encode_parts(self, rows: pa.Array) -> Iterator[pa.StructArray]:
+        """:meth:`encode_rows` slice by slice. Nothing is held for each symbol or sequence of the
+        rows but numbers, and those of one slice at a time."""
         if not pa.types.is_list(rows.type) and not pa.types.is_large_list(rows.type):
             at = np.arange(len(rows) + 1) - np.concatenate(([0], np.cumsum(rows.is_null().to_numpy(zero_copy_only=False))))
             seqs = rows.drop_null()
         else:
             at = np.concatenate(([0], np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))))
             seqs = rows.flatten()
-        size = np.concatenate(([0], np.cumsum(pc.binary_length(seqs).to_numpy(zero_copy_only=False).astype(np.int64) + 1)))[at]
-        ids, n_ids, n_lost = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        lo = 0
-        while lo < len(rows):
-            hi = max(lo + 1, int(np.searchsorted(size, size[lo] + MAX_SLICE_CHARS, "right")) - 1)
-            flat, lengths, lost = self._encode_slice(seqs.slice(at[lo], at[hi] - at[lo]), at[lo : hi + 1] - at[lo])
-            ids.append(flat)
-            n_ids.append(lengths)
-            n_lost.append(lost)
-            lo = hi
-        none = rows.is_null()
-        places = np.concatenate(([0], np.cumsum(np.concatenate(n_ids))))
-        if places[-1] > np.iinfo(np.int32).max:
-            raise ValueError("an Arrow batch has more than 2^31 ids: lower spark.sql.execution.arrow.maxRecordsPerBatch")
-        lists = pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(np.concatenate(ids)), mask=none)
-        lost = pa.array(np.concatenate(n_lost).astype(np.int32), mask=none.to_numpy(zero_copy_only=False))
-        return pa.StructArray.from_arrays([lists, lost], names=["ids", "n_unknown"])
+        for lo, hi in _ranges(kernels.byte_offsets(seqs)[at].astype(np.int64) + at):
+            yield self._encode_slice(seqs.slice(at[lo], at[hi] - at[lo]), at[lo : hi + 1] - at[lo], rows.slice(lo, hi - lo).is_null())
+
+    def encode_texts(self, texts: pa.Array, words: pa.Array, marker: str) -> Iterator[pa.StructArray]:
+        """:meth:`encode_parts` of raw texts, or of their words where the text is null."""
+        size = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for lo, hi in _ranges(np.concatenate(([0], np.cumsum(size)))):
+            some, others = texts.slice(lo, hi - lo), words.slice(lo, hi - lo)
+            if others.null_count == len(others):
+                yield self._encode_slice(*kernels.split_words(some, marker), some.is_null())
+                continue
+            for raw, start, stop in _stretches(some.is_valid().to_numpy(zero_copy_only=False)):
+                if raw:
+                    part = some.slice(start, stop - start)
+                    yield self._encode_slice(*kernels.split_words(part, marker), part.is_null())
+                else:
+                    yield from self.encode_parts(others.slice(start, stop - start))
 
     def encode_batch(self, values, words: bool) -> tuple[list, list]:
         """:meth:`encode_rows` of Python values: id arrays and unknown counts."""
@@ -203,14 +210,34 @@ class Encoder:
         ids, lost = self.encode_rows(pa.array(list(values), kind)).flatten()
         return [None if x is None else np.array(x, np.int32) for x in ids.to_pylist()], lost.to_pylist()
 
-    def _encode_slice(self, seqs: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encode_slice(self, seqs: pa.Array, at: np.ndarray, none: pa.Array) -> pa.StructArray:
         """Each distinct sequence is encoded once, and every row's ids are gathered with numpy.
-        ``at``: where each row begins among the sequences."""
+        ``at``: where each row begins among the sequences; ``none``: which rows are null."""
         coded = seqs.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
         flat, lengths, lost = self.encode_distinct(coded.dictionary)
-        n, gone = (np.concatenate(([0], np.cumsum(x[codes])))[at] for x in (lengths, lost))
-        return kernels.gather(flat, lengths, codes), np.diff(n), np.diff(gone)
+        n, gone = (np.concatenate(([0], np.cumsum(x[codes])))[at] if x.any() else np.zeros(len(at), np.int64) for x in (lengths, lost))
+        if n[-1] > np.iinfo(np.int32).max:
+            raise ValueError("a row has more than 2^31 ids: encode it in pieces")
+        lists = pa.ListArray.from_arrays(pa.array(n.astype(np.int32)), pa.array(kernels.gather(flat, lengths, codes)), mask=none)
+        lost = pa.array(np.diff(gone).astype(np.int32), mask=none.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([lists, lost], names=["ids", "n_unknown"])
+
+
+def _ranges(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows in stretches of at most ``MAX_SLICE_CHARS``, or one row; ``size``: that of all before."""
+    lo = 0
+    while lo < len(size) - 1:
+        hi = max(lo + 1, int(np.searchsorted(size, size[lo] + MAX_SLICE_CHARS, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
+def _stretches(flags: np.ndarray) -> Iterator[tuple[bool, int, int]]:
+    """Runs of equal flags."""
+    edges = [0, *(np.flatnonzero(np.diff(flags)) + 1).tolist(), len(flags)]
+    for lo, hi in zip(edges, edges[1:]):
+        yield bool(flags[lo]), lo, hi
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -241,8 +268,21 @@ def _encode_udf(model: BPEModel, order: str):
     key = f"{key}-{order}"
 
     @arrow_udf(ENCODED_DDL)
-    def _encode(rows: pa.Array) -> pa.Array:
-        return _encoder(key, payload, order).encode_rows(rows)
+    def _encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            yield from _encoder(key, payload, order).encode_parts(rows)
+
+    return _encode
+
+
+def _encode_text_udf(model: BPEModel, order: str):
+    key, payload = model_payload(model)
+    key, marker = f"{key}-{order}", model.options.marker
+
+    @arrow_udf(ENCODED_DDL)
+    def _encode(batches: Iterator[Tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, words in batches:
+            yield from _encoder(key, payload, order).encode_texts(texts, words, marker)
 
     return _encode
 
@@ -252,6 +292,8 @@ def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
     if order not in ("scan", "rank"):
         raise ValueError("order must be 'scan' or 'rank'")
     opts = model.options
+    if splits_in_batches(opts):
+        return _encode_text_udf(model, order)(*text_or_words(col, opts))
     if opts.unit == "word":
         return _encode_udf(model, order)(word_sequences(col, opts))
     return _encode_udf(model, order)(line_sequence(col, opts))
