@@ -21,7 +21,7 @@ from subword_spark.llm.queries import fold
 from subword_spark.llm import simhash_dedup as near
 from subword_spark.llm.source_mixing import entropy_mix
 from subword_spark.llm.substring_dedup import substring_dedup
-from subword_spark.llm.toxicity import Fit, sample, score_toxicity, train
+from subword_spark.llm.toxicity import Fit, learn, score_toxicity
 from subword_spark.session import remove_path, shared_table
 
 #: What the last stage of a pipeline has left in the shared folder, by application, tables
@@ -52,7 +52,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null and repeated ids are only passed on. Empty table: no rows."""
     fit = Fit()
     labels = read(spark, sf_dir, "labels").where(fold() != 0)
-    model = train(*sample(docs, labels, "doc_id", "text", "toxic", fit), fit)
+    model = learn(docs, labels, "doc_id", "text", "toxic", fit)
     return score_toxicity(docs, model, row=True).where("score < 0.5").select("row.*")
 
 

@@ -56,46 +56,47 @@ def solve(counts: DataFrame, sources: DataFrame, cap: float, tolerance: float =
     """
     none = F.lit(None).cast("double")
     open_ = (F.col("target") < F.col("source_size") * cap * (1 - 1e-12)) & (F.col("target") > 0)
-    state = table(
-        sources.where("source_size > 0").select("sid", "largest", "target", F.when(open_, F.lit(0.0)).alias("lam"), none.alias("lo"), none.alias("hi")),
-        "dual",
+    held = ["sid", "largest", "target", "lam", "lo", "hi"]
+    sources = sources.where("source_size > 0")
+    state = sources.where(open_).select("sid", "largest", "target", F.lit(0.0).alias("lam"), none.alias("lo"), none.alias("hi"))
+    x = F.col("size") / F.col("largest")
+    free = F.exp(F.col("lam") * x)
+    words = F.col("n") * F.col("size")
+    lo = F.when(F.col("f") < F.col("target"), F.col("lam")).otherwise(F.col("lo"))
+    hi = F.when(F.col("f") >= F.col("target"), F.col("lam")).otherwise(F.col("hi"))
+    # Newton on ln f = ln target: f grows about as an exponential of lambda.
+    step = F.when(F.col("g") > 0, F.col("lam") - F.log(F.col("f") / F.col("target")) * F.col("f") / F.col("g"))
+    inside = step.isNotNull() & ((step > F.col("lo")) | F.col("lo").isNull()) & ((step < F.col("hi")) | F.col("hi").isNull())
+    halved = (
+        F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2)
+        .when(F.col("lo").isNotNull(), F.col("lo") + F.greatest(F.lit(1.0), F.abs("lo")))
+        .otherwise(F.col("hi") - F.greatest(F.lit(1.0), F.abs("hi")))
     )
     for _ in range(max_rounds):
-        x = F.col("size") / F.col("largest")
-        free = F.exp(F.col("lam") * x)
-        words = F.col("n") * F.col("size")
+        # The state goes through the sums as keys: a second join, to bring it back, would leave
+        # another broadcast in the driver's memory each round.
         sums = (
-            counts.join(state.where("lam IS NOT NULL"), "sid")
-            .groupBy("sid")
+            counts.join(state.select(*held), "sid")
+            .groupBy(*held)
             .agg(F.sum(words * F.least(free, F.lit(float(cap)))).alias("f"), F.sum(F.when(free < cap, words * x * free).otherwise(0.0)).alias("g"))
         )
-        lo = F.when(F.col("f") < F.col("target"), F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(F.col("f") >= F.col("target"), F.col("lam")).otherwise(F.col("hi"))
-        # Newton on ln f = ln target: f grows about as an exponential of lambda.
-        step = F.when(F.col("g") > 0, F.col("lam") - F.log(F.col("f") / F.col("target")) * F.col("f") / F.col("g"))
-        inside = step.isNotNull() & ((step > F.col("lo")) | F.col("lo").isNull()) & ((step < F.col("hi")) | F.col("hi").isNull())
-        halved = (
-            F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), (F.col("lo") + F.col("hi")) / 2)
-            .when(F.col("lo").isNotNull(), F.col("lo") + F.greatest(F.lit(1.0), F.abs("lo")))
-            .otherwise(F.col("hi") - F.greatest(F.lit(1.0), F.abs("hi")))
-        )
         new = (
-            state.join(sums, "sid", "left")
-            .withColumn("lo", lo)
+            sums.withColumn("lo", lo)
             .withColumn("hi", hi)
             .withColumn("off", F.abs(F.col("f") / F.col("target") - 1))
-            .withColumn("lam", F.when((F.col("off") <= tolerance) | F.col("f").isNull(), F.col("lam")).when(inside, step).otherwise(halved))
+            .withColumn("lam", F.when(F.col("off") <= tolerance, F.col("lam")).when(inside, step).otherwise(halved))
         )
-        new = table(new.select("sid", "largest", "target", "lam", "lo", "hi", "off"), "dual")
+        new = table(new.select(*held, "off"), "dual")
         drop(state)
         state = new
-        if (state.agg(F.max("off")).first()[0] or 0) <= tolerance:
+        if state.where(F.col("off") > tolerance).isEmpty():
             break
     else:
         off = state.agg(F.max("off")).first()[0]
         if off > 1000 * tolerance:
             raise RuntimeError(f"a source is {off:.3g} of its target off after {max_rounds} rounds")
-    return state.select("sid", "lam")
+    lam = F.when(open_, F.coalesce("lam", F.lit(0.0)))
+    return sources.join(state.select("sid", "lam"), "sid", "left").select("sid", lam.alias("lam"))
 
 
 def corrections(copied: DataFrame, sources: DataFrame, cap: float, rounds: int = 3) -> DataFrame:

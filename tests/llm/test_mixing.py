@@ -79,3 +79,18 @@ def test_a_source_that_does_not_converge_raises(spark):
     assert M.solve(counts, sources, 3).first()["lam"] > 0
     with pytest.raises(RuntimeError):
         M.solve(counts, sources, 3, max_rounds=1)
+
+
+def test_a_round_is_one_join_and_one_sum(spark, monkeypatch):
+    """Each round leaves one broadcast at most on the driver, and meets the texts' targets."""
+    plans = []
+    real = M.table
+    monkeypatch.setattr(M, "table", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    counts = spark.createDataFrame([(k, s, 3 + k) for k in (0, 1) for s in (1, 7, 50)] + [(2, 4, 1)], "sid int, size long, n long")
+    sources = spark.createDataFrame([(0, 174, 50, 400.0), (1, 232, 50, 120.0), (2, 4, 4, 12.0), (3, 0, 0, 0.0)], "sid int, source_size long, largest long, target double")
+    lams = {r.sid: r.lam for r in M.solve(counts, sources, 3).collect()}
+    assert len(plans) > 2 and all(p.count("Join") == 1 and p.count("Aggregate") == 1 for p in plans)
+    assert lams.keys() == {0, 1, 2} and lams[2] is None and lams[0] > 0 > lams[1]
+    for k, target in ((0, 400), (1, 120)):
+        got = sum((3 + k) * s * min(3, math.exp(lams[k] * s / 50)) for s in (1, 7, 50))
+        assert math.isclose(got, target, rel_tol=1e-8)

@@ -46,3 +46,19 @@ def test_pieces_outlive_a_full_cache(monkeypatch):
     assert [small.encode(t) for t in texts] == want
     assert len(small) <= 8 and len(small.old) <= 8
     assert sum(m.startswith("th") and len(m) == 3 for m in made) == 1
+
+
+def test_the_driver_gives_back_what_training_took(monkeypatch):
+    import gc
+
+    from subword_spark.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity, "give_back", lambda: seen.append(any(isinstance(x, Texts) for x in gc.get_objects())))
+
+    class Texts(list):
+        pass
+
+    monkeypatch.setattr(toxicity, "sample", lambda *a: (Texts(["bad", "good"] * 20), [1, 0] * 20))
+    assert toxicity.learn(None, None, "doc_id", "text", "toxic").weights is not None
+    assert seen == [False]
