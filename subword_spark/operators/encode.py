@@ -263,13 +263,14 @@ def model_payload(model: BPEModel) -> tuple[str, str]:
     return hashlib.sha1(payload.encode("utf-8")).hexdigest(), payload
 
 
-def _encode_udf(model: BPEModel, order: str):
+def _encode_udf(model: BPEModel, order: str, sep: str | None = None):
     key, payload = model_payload(model)
     key = f"{key}-{order}"
 
     @arrow_udf(ENCODED_DDL)
     def _encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for rows in batches:
+            rows = pc.split_pattern(rows, sep) if sep else rows
             yield from _encoder(key, payload, order).encode_parts(rows)
 
     return _encode
@@ -299,9 +300,10 @@ def encode_column(col: Column, model: BPEModel, order: str = "scan") -> Column:
     return _encode_udf(model, order)(line_sequence(col, opts))
 
 
-def encode_sequences(seqs: Column, model: BPEModel, order: str = "scan") -> Column:
-    """``struct<ids, n_unknown>`` of an array of sequence strings, one after another."""
-    return _encode_udf(model, order)(seqs)
+def encode_sequences(seqs: Column, model: BPEModel, order: str = "scan", sep: str | None = None) -> Column:
+    """``struct<ids, n_unknown>`` of an array of sequence strings, one after another; or of one
+    string, which holds one sequence or, with ``sep`` between them, several."""
+    return _encode_udf(model, order, sep)(seqs)
 
 
 def encode(

@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from ..functions.text import WS, collapse_markers, normalize
 from ..session import shared_table, ship_package
 from ..sources.whole_text import CHUNK_BYTES, read_text_parts
-from .encode import encode_column, encode_sequences
+from . import kernels
+from .encode import _ranges, encode_column, encode_sequences
 from .model import BPEModel
-from .symbols import line_sequence, word_sequences
+from .symbols import line_sequence, splits_in_batches, text_or_words, word_sequences
 
 PIECE_CHARS = 1 << 20
 #: Sequences that one step of the cutting holds.
 SLICE_BYTES = 1 << 22
+#: Characters of pieces in one file; files are what the pieces are dealt out by.
+FILE_CHARS = 1 << 24
 
 
 def crossed_pairs(model: BPEModel) -> np.ndarray:
@@ -100,27 +103,141 @@ def _bounded(seqs: pa.Array) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def encode_long(df: DataFrame, text_col: str, model: BPEModel, out_col: str = "ids", order: str = "scan", piece_chars: int = PIECE_CHARS) -> DataFrame:
+def _split_rows(batches, marker: str) -> Iterator[pa.RecordBatch]:
+    """``(row, text, words)``, the text or the words null, to ``(row, seqs)``: the words of each."""
+    for batch in batches:
+        simple = batch.filter(batch["text"].is_valid())
+        size = pc.binary_length(simple["text"]).to_numpy(zero_copy_only=False).astype(np.int64)
+        for lo, hi in _ranges(np.concatenate(([0], np.cumsum(size)))):
+            words, at = kernels.split_words(simple["text"].slice(lo, hi - lo), marker)
+            seqs = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), words)
+            yield pa.RecordBatch.from_arrays([simple["row"].slice(lo, hi - lo), seqs], names=["row", "seqs"])
+        others = batch.filter(batch["words"].is_valid())
+        if len(others):
+            yield pa.RecordBatch.from_arrays([others["row"], others["words"]], names=["row", "seqs"])
+
+
+def _joined_pieces(batches, crossed: np.ndarray | None, size: int, marker: str | None, sep: str) -> Iterator[pa.RecordBatch]:
+    """:func:`_cut_rows` with a piece's sequences in one string, ``sep`` between them; with a
+    ``marker``, of the rows that :func:`_split_rows` takes."""
+    for batch in _cut_rows(batches if marker is None else _split_rows(batches, marker), crossed, size):
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pc.binary_join(batch["seqs"], sep)], names=["uid", "no", "row", "seq"])
+
+
+def _byte_planes(batches) -> Iterator[pa.RecordBatch]:
+    """``(uid, no, row, ids)`` to ``(uid, no, row, b0, b1, b2, b3)``: the lowest bytes of a
+    piece's ids, then the next ones, null where they are all 0."""
+    for batch in batches:
+        n = batch["ids"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = batch["ids"].flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+        at = np.concatenate(([0], np.cumsum(n)))
+        planes = []
+        for k in range(4):
+            plane = (ids >> np.uint32(8 * k)).astype(np.uint8)
+            has = np.diff(np.concatenate(([0], np.cumsum(plane != 0)))[at]) > 0 if k else np.ones(len(n), bool)
+            size = np.where(has, n, 0)
+            data = plane if has.all() else plane[np.repeat(has, n)]
+            ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+            planes.append(pa.Array.from_buffers(pa.binary(), len(n), [pa.array(has).buffers()[1], pa.py_buffer(ends), pa.py_buffer(data.tobytes())]))
+        yield pa.RecordBatch.from_arrays([batch["uid"], batch["no"], batch["row"], *planes], names=["uid", "no", "row", "b0", "b1", "b2", "b3"])
+
+
+def _stitch(batches) -> Iterator[pa.RecordBatch]:
+    """The pieces of :func:`_byte_planes`, by ``uid`` and ``no``, to ``(row, ids)``. What a batch
+    ends with waits for the next."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        uid = batch["uid"].to_numpy()
+        last = int(np.searchsorted(uid, uid[-1]))
+        if last or held and held[0]["uid"][0].as_py() != uid[-1]:
+            yield from _whole_rows([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield from _whole_rows(held)
+
+
+def _whole_rows(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(row, ids)`` from all pieces of some rows, in slices of bounded length, or one row."""
+    pieces = pa.Table.from_batches(parts)
+    uid = pieces["uid"].to_numpy()
+    ends = np.concatenate(([0], np.cumsum(pc.binary_length(pieces["b0"]).to_numpy().astype(np.int64))))
+    first = np.append(np.flatnonzero(np.concatenate(([True], uid[1:] != uid[:-1]))), len(uid))
+    for lo, hi in _ranges(ends[first]):
+        at = ends[first[lo : hi + 1]] - ends[first[lo]]
+        if at[-1] > np.iinfo(np.int32).max:
+            raise ValueError("a row has more than 2^31 ids")
+        mine = pieces.slice(first[lo], first[hi] - first[lo])
+        rows = pa.concat_arrays(mine["row"].take(pa.array(first[lo:hi] - first[lo])).chunks)
+        ids = np.concatenate([_ids(x) for x in mine.to_batches()])
+        yield pa.RecordBatch.from_arrays([rows, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))], names=["row", "ids"])
+
+
+def _ids(pieces: pa.RecordBatch) -> np.ndarray:
+    """The ids of pieces one after another."""
+    n = pc.binary_length(pieces["b0"]).to_numpy(zero_copy_only=False)
+    out = _bytes_of(pieces["b0"]).astype(np.uint32)
+    for k in (1, 2, 3):
+        has = pieces[f"b{k}"].is_valid().to_numpy(zero_copy_only=False)
+        if has.any():
+            out[np.repeat(has, n)] |= _bytes_of(pieces[f"b{k}"]).astype(np.uint32) << np.uint32(8 * k)
+    return out.view(np.int32)
+
+
+def _bytes_of(values: pa.Array) -> np.ndarray:
+    """The bytes of binary values one after another."""
+    values = values.drop_null()
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and len(values) else np.empty(0, np.uint8)
+
+
+def encode_long(
+    df: DataFrame,
+    text_col: str,
+    model: BPEModel,
+    out_col: str = "ids",
+    order: str = "scan",
+    piece_chars: int = PIECE_CHARS,
+    keep: tuple[str, ...] | None = None,
+) -> DataFrame:
     """:func:`~subword_spark.operators.encode.encode`, where a text of more than ``piece_chars``
     characters is encoded by many tasks: its pieces are dealt out, encoded, and stitched by
     their place. Shorter texts take the narrow path. The same ids, whatever the size of pieces.
 
+    ``keep``: the columns of the result beside ``out_col``, all by default. Others stay behind
+    when the pieces are written and moved, which is most of the disk if the text is one of them.
+    The pieces are in files of bounded text, which are dealt out as they are; only the bytes of
+    their ids are shuffled.
+
     Null texts have null ids. A row's ids are one array again, so its longest row bounds a task.
     """
     spark = df.sparkSession
     ship_package(spark)
+    kept = [F.col(f"`{c}`") for c in (df.columns if keep is None else keep) if c != out_col]
     long = F.coalesce(F.length(text_col) > piece_chars, F.lit(False))
-    short = df.where(~long).withColumn(out_col, encode_column(F.col(text_col), model, order)["ids"])
+    short = df.where(~long).select(*kept, encode_column(F.col(text_col), model, order)["ids"].alias(out_col))
     opts = model.options
     by_word = opts.unit == "word"
-    seqs = word_sequences(F.col(text_col), opts) if by_word else F.array(line_sequence(F.col(text_col), opts))
-    rows = df.where(long).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), seqs.alias("seqs"))
-    cut = partial(_cut_rows, crossed=None if by_word else crossed_pairs(model), size=piece_chars)
+    in_batches = splits_in_batches(opts)
+    if in_batches:
+        text, words = text_or_words(F.col(text_col), opts)
+        seqs = [text.alias("text"), words.alias("words")]
+    else:
+        seqs = [(word_sequences(F.col(text_col), opts) if by_word else F.array(line_sequence(F.col(text_col), opts))).alias("seqs")]
+    rows = df.where(long).select(F.struct(*kept).alias("row"), *seqs)
+    # Words hold no white space but the marker.
+    sep = None if not by_word else " " if opts.marker == "\n" else "\n"
+    cut = partial(_joined_pieces, crossed=None if by_word else crossed_pairs(model), size=piece_chars, marker=opts.marker if in_batches else None, sep=sep or "")
     kind = rows.schema["row"].dataType.simpleString()
-    pieces, _ = shared_table(rows.mapInArrow(cut, f"uid long, no int, row {kind}, seqs array<string>").repartition("uid", "no"), "long-pieces")
-    done = pieces.select("uid", "no", "row", encode_sequences(F.col("seqs"), model, order)["ids"].alias("ids"))
-    whole = done.groupBy("uid").agg(F.first("row", ignorenulls=True).alias("row"), F.array_sort(F.collect_list(F.struct("no", "ids"))).alias("p"))
-    return short.unionByName(whole.select("row.*", F.flatten(F.transform("p", lambda x: x["ids"])).alias(out_col)))
+    per_file = max(1, FILE_CHARS // piece_chars)
+    pieces, _ = shared_table(rows.mapInArrow(cut, f"uid long, no int, row {kind}, seq string"), "long-pieces", compression="zstd", maxRecordsPerFile=per_file)
+    done = pieces.select("uid", "no", "row", encode_sequences(F.col("seq"), model, order, sep)["ids"].alias("ids"))
+    planes = done.mapInArrow(_byte_planes, f"uid long, no int, row {kind}, b0 binary, b1 binary, b2 binary, b3 binary")
+    whole = planes.repartition("uid").sortWithinPartitions("uid", "no").mapInArrow(_stitch, f"row {kind}, ids array<int>")
+    return short.unionByName(whole.select("row.*", F.col("ids").alias(out_col)))
 
 
 def _fragments(batches, crossed: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -115,6 +115,100 @@ def test_pieces_travel_in_few_batches(monkeypatch):
         assert len(out) == 1 and any(len(p) > 1 for p in got.values())
 
 
+def test_pieces_take_little_disk(spark, tmp_path, monkeypatch):
+    """They are written once, without the texts of their rows and not through a shuffle, and
+    take less than the texts; the rows are those of the query that does not cut."""
+    from pathlib import Path
+
+    from subword_spark.operators import encode_pieces as P
+    from subword_spark.plans import catalog
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(300, 900))) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7]), (None, texts[0]), (301, None), (302, ""), (303, "ab ba")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "WORD", catalog.WORD.with_(max_merges=20))
+    monkeypatch.setattr(catalog, "word_model", lambda s, d, m=catalog.word_model(spark, str(tmp_path), catalog.WORD): m)
+    seen = []
+
+    def note(df, name, **options):
+        table, path = write(df, name, **options)
+        seen.append((df._jdf.queryExecution().executedPlan().toString(), sum(f.stat().st_size for f in Path(path.removeprefix("file:")).rglob("*.parquet"))))
+        return table, path
+
+    write = P.shared_table
+    monkeypatch.setattr(P, "shared_table", note)
+    got = sorted(map(tuple, catalog.q_encode_cut_docs(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(map(tuple, catalog.q_encode_docs(spark, str(tmp_path)).collect()), key=str)
+    ((plan, size),) = seen
+    assert "Exchange" not in plan
+    assert size < 0.8 * sum(map(len, texts))
+
+
+def test_pieces_of_one_row_are_in_many_files(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from subword_spark.operators import encode_pieces as P
+
+    paths = []
+
+    def note(df, name, **options):
+        table, path = write(df, name, **options)
+        paths.append(path)
+        return table, path
+
+    write = P.shared_table
+    monkeypatch.setattr(P, "shared_table", note)
+    monkeypatch.setattr(P, "FILE_CHARS", 1000)
+    m = model_of(random.Random(5), OPTIONS[0])
+    df = spark.createDataFrame([(1, "ab ba é " * 2000)], "doc_id long, text string")
+    assert encode_long(df, "text", m, piece_chars=100).first().ids == encode(df, "text", m).first().ids
+    assert len(list(Path(paths[0].removeprefix("file:")).glob("*.parquet"))) >= 10
+
+
+@pytest.mark.parametrize("marker", ["_", " ", "\n", "\u2581"])
+def test_simple_and_other_texts_are_cut_alike(spark, marker):
+    """Words of simple texts are split in batches, those of the others natively."""
+    rng = random.Random(6)
+    opts = BPEOptions(unit="word", marker=marker)
+    base = [marker, *"abé\u4f60."]
+    m = BPEModel(options=opts, tokens=[*opts.specials, *base, "ab", "ba"], merges=[("a", "b"), ("b", "a")], n_alphabet=len(base))
+    texts = [random_text(rng, 40, letters) for letters in ("ab", "abé", "ab\u4f60", "ab.\u03b1", "e\u0301ab") for _ in range(4)]
+    texts += ["a b\n\n " * 30, "\u3000 \n" * 30, " " * 60, "ab" * 50, None, "", "\u4f60"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    want = {r.doc_id: r.ids for r in encode(df, "text", m).collect()}
+    got = encode_long(df, "text", m, piece_chars=20, keep=("doc_id",))
+    assert got.columns == ["doc_id", "ids"] and {r.doc_id: r.ids for r in got.collect()} == want
+
+
+def test_ids_travel_as_bytes(monkeypatch):
+    """Whatever their size, and wherever a batch ends."""
+    import pyarrow as pa
+
+    from subword_spark.operators import encode as E
+    from subword_spark.operators import encode_pieces as P
+
+    monkeypatch.setattr(E, "MAX_SLICE_CHARS", 50)
+    rng = random.Random(7)
+    rows, want = [], []
+    for u in range(60):
+        want.append(({"i": u}, []))
+        for no in range(rng.randint(1, 6)):
+            most = rng.choice([200, 60_000, 2**24 - 1, 2**31 - 1])
+            ids = [rng.choice([-1, rng.randrange(most)]) if most > 2**24 else rng.randrange(most) for _ in range(rng.randint(0, 20))]
+            rows.append({"uid": u * 7, "no": no, "row": {"i": u} if no == 0 else None, "ids": ids})
+            want[-1][1].extend(ids)
+    schema = pa.schema([("uid", pa.int64()), ("no", pa.int32()), ("row", pa.struct([("i", pa.int64())])), ("ids", pa.list_(pa.int32()))])
+    for step in (1, 3, 7, 1000):
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + step], schema) for i in range(0, len(rows), step)]
+        planes = list(P._byte_planes([batches[0].slice(0, 0), *batches]))
+        assert [(r["row"], r["ids"]) for b in P._stitch(planes) for r in b.to_pylist()] == want
+    small = pa.RecordBatch.from_pylist([{"uid": 0, "no": 0, "row": None, "ids": [1, 255]}, {"uid": 0, "no": 1, "row": None, "ids": [256]}], schema)
+    (planes,) = P._byte_planes([small])
+    assert [planes[f"b{k}"].to_pylist() for k in range(4)] == [[b"\x01\xff", b"\x00"], [None, b"\x01"], [None, None], [None, None]]
+
+
 def test_a_task_reads_several_of_very_many_parts(tmp_path, monkeypatch):
     from subword_spark.sources import whole_text as W
 
